@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomstat.session import cut_lineage
+
 _TWO53 = float(2 ** 53)
 
 
@@ -40,6 +42,11 @@ def ordered_index(df: DataFrame, order: list, name: str = "idx",
     ranged = df.repartitionByRange(n, *ordc).withColumn("_pid", F.spark_partition_id())
     local = ranged.withColumn(
         "_ln", F.row_number().over(Window.partitionBy("_pid").orderBy(*ordc)))
+    # Range bounds are sampled with a seed tied to the RDD id, so two reads
+    # of the same plan could split differently. Materialise the numbered
+    # partitions once (reliable checkpoint in the shared folder); counts and
+    # rows then come from the same files, and lineage is cut.
+    local = cut_lineage(local)
     counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select(
         "_pid", (F.sum("_cnt").over(Window.orderBy("_pid")) - F.col("_cnt")).alias("_off"))
@@ -164,6 +171,7 @@ def prefix_sums(df: DataFrame, order: list, cols: list[str],
     local = ranged
     for c in cols:
         local = local.withColumn(f"_l_{c}", F.sum(c).over(w))
+    local = cut_lineage(local)  # one materialisation for rows and totals
     tot = local.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
     wo = Window.orderBy("_pid")
     offs = tot.select("_pid", *[(F.sum(f"_t_{c}").over(wo) - F.col(f"_t_{c}")).alias(f"_o_{c}")

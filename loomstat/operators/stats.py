@@ -169,12 +169,19 @@ def density_vs_histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
 
 def proportion_ztest(df: DataFrame, success: Column, p0: float,
                      alpha: float = 0.025) -> DataFrame:
-    """K1 + F12: one-sample proportion z-test; upper tail; verdict at alpha."""
+    """K1 + F12: one-sample proportion z-test, upper tail; the verdict
+    compares z with the normal critical value at ``alpha``."""
     a = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(success).alias("observed"))
     z = (F.col("observed") - F.col("n") * p0) / F.sqrt(F.col("n") * p0 * (1 - p0))
-    out = a.withColumn("z", z).withColumn("p_value", LF.normal_upper_tail(F.col("z")))
-    return out.withColumn("verdict", F.when(F.col("p_value") < alpha, F.lit("reject"))
-                          .otherwise(F.lit("not rejected")))
+    crit = LF.normal_quantile(F.lit(1 - alpha))
+    return (a.withColumn("z", z)
+            .withColumn("verdict", F.when(F.col("z") > crit, F.lit("reject"))
+                        .otherwise(F.lit("not rejected"))))
+
+
+def with_upper_p(test: DataFrame) -> DataFrame:
+    """K1: upper-tail p-value of ``z`` (pandas UDF on the summary row)."""
+    return test.withColumn("p_value", LF.normal_upper_tail(F.col("z")))
 
 
 def trapezoid(df: DataFrame, x: str, y: str, by: str | None = None) -> DataFrame:
