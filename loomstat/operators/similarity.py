@@ -106,3 +106,33 @@ def extreme_pairs(pairs: DataFrame) -> DataFrame:
         F.col("hi.similarity").alias("max_similarity"),
         F.col("lo.doc1").alias("min_doc1"), F.col("lo.doc2").alias("min_doc2"),
         F.col("lo.similarity").alias("min_similarity"))
+
+
+def dense_centroids(train: DataFrame, vec: str, label: str) -> DataFrame:
+    """Class centroids of dense vectors: mean per (class, position)."""
+    x = train.select(F.col(label).alias("label"),
+                     F.posexplode(F.col(vec).cast("array<double>")).alias("pos", "x"))
+    c = x.groupBy("label", "pos").agg(F.avg("x").alias("x"))
+    return c.groupBy("label").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))), lambda s: s["x"])
+        .alias("centroid"))
+
+
+def cosine_to_centroids(test: DataFrame, centroids: DataFrame, id_col: str, vec: str,
+                        max_classes: int = 100_000) -> DataFrame:
+    """F10 / J8 for dense vectors: every test vector against every class
+    centroid. The centroids are folded into one row (one entry per class,
+    size-checked against ``max_classes``) and broadcast; each test row
+    expands to one row per class, so work is linear in the test rows."""
+    from loomstat import functions as LF
+    from loomstat.operators.joins import attach_row
+    one = centroids.agg(F.collect_list(F.struct("label", "centroid")).alias("_cs"))
+    one = one.select(F.when(F.size("_cs") <= max_classes, F.col("_cs"))
+                     .otherwise(F.raise_error(F.lit("too many classes to broadcast")))
+                     .alias("_cs"))
+    t = attach_row(test.select(id_col, F.col(vec).cast("array<double>").alias("_v")), one)
+    pairs = t.select(id_col, F.explode(F.transform(
+        "_cs", lambda s: F.struct(s["label"].alias("label"),
+                                  LF.cosine(F.col("_v"), s["centroid"]).alias("similarity"))))
+        .alias("_p"))
+    return pairs.select(id_col, "_p.label", "_p.similarity")
