@@ -56,9 +56,16 @@ def estimator(kind: str, label: str = "label", **kw):
     raise ValueError(kind)
 
 
-def fit_predict(train: DataFrame, test: DataFrame, est, keep: list[str]) -> DataFrame:
-    """M8: fit on train, ``transform`` test; keeps ``keep`` + label + prediction."""
-    model = scaled_pipeline(est).fit(train)
+def fit_predict(train: DataFrame, test: DataFrame, est, keep: list[str],
+                scale: bool = True) -> DataFrame:
+    """M8: fit on train, ``transform`` test; keeps ``keep`` + label + prediction.
+
+    ``scale=False`` fits on ``raw`` directly (sparse text counts: centring
+    would densify the vectors)."""
+    if scale:
+        model = scaled_pipeline(est).fit(train)
+    else:
+        model = Pipeline(stages=[est.copy().setFeaturesCol("raw")]).fit(train)
     lab = est.getLabelCol()
     return model.transform(test).select(*keep, F.col(lab).alias("label"),
                                         F.col("prediction").cast("int").alias("prediction"))
@@ -73,7 +80,7 @@ def text_features(df: DataFrame, tokens: str, vocab_from: DataFrame | None = Non
     return model.transform(df), model
 
 
-def grid_search(train: DataFrame, est, grid: dict, fold_col: str,
+def grid_search(train: DataFrame, est, grid: dict, fold_col: str, num_folds: int,
                 metric: str = "accuracy", parallelism: int = 4):
     """M6: exhaustive grid with k-fold on a fold column, refit on all rows."""
     pg = ParamGridBuilder()
@@ -82,7 +89,8 @@ def grid_search(train: DataFrame, est, grid: dict, fold_col: str,
     params = pg.build()
     ev = MulticlassClassificationEvaluator(labelCol=est.getLabelCol(), metricName=metric)
     cv = CrossValidator(estimator=scaled_pipeline(est), estimatorParamMaps=params,
-                        evaluator=ev, foldCol=fold_col, parallelism=parallelism)
+                        evaluator=ev, foldCol=fold_col, numFolds=num_folds,
+                        parallelism=parallelism)
     model = cv.fit(train)
     rows = []
     for pm, score in zip(params, model.avgMetrics):
