@@ -100,15 +100,32 @@ def split_random(df: DataFrame, test_size: float, key: list[str], seed: int = 42
                                       F.lit("train")).otherwise(F.lit("test")))
 
 
+def _cut_keys(df: DataFrame, order: list[str], positions: DataFrame) -> DataFrame:
+    """Order-key values found at the given 0-based positions (column ``_at``).
+
+    Only the key columns are numbered (and checkpointed); the result has one
+    row per requested position.
+    """
+    keys = df.select(*order)
+    idx = ordered_index(keys, order, "_at")
+    return idx.join(F.broadcast(positions), "_at").select("_at", F.struct(*order).alias("_key"))
+
+
 def split_position(df: DataFrame, frac: float, order: list[str],
                    name: str = "split") -> DataFrame:
-    """First ``int(frac * n)`` rows in order are train, the rest test."""
-    idx = ordered_index(df, order, "_pos")
-    cut = df.agg(F.floor(F.count(F.lit(1)) * F.lit(frac)).cast("long").alias("_cut"))
-    return (idx.join(F.broadcast(cut), how="inner")
-            .withColumn(name, F.when(F.col("_pos") < F.col("_cut"), F.lit("train"))
-                        .otherwise(F.lit("test")))
-            .drop("_cut"))
+    """First ``int(frac * n)`` rows in order are train, the rest test.
+
+    A row is in the first ``cut`` positions exactly when its (unique) order
+    key is below the key at position ``cut``; that one key is found by
+    numbering the key columns only, then every row is flagged by a
+    comparison - no wide rows are renumbered or shuffled.
+    """
+    cut = df.agg(F.floor(F.count(F.lit(1)) * F.lit(frac)).cast("long").alias("_at"))
+    at = _cut_keys(df, order, cut)  # zero rows when cut == n: all train
+    t = df.join(F.broadcast(at.select("_key")), how="left")
+    is_train = F.col("_key").isNull() | (F.struct(*order) < F.col("_key"))
+    return t.withColumn(name, F.when(is_train, F.lit("train")).otherwise(F.lit("test"))) \
+        .drop("_key")
 
 
 def split_groups(df: DataFrame, group: str, frac: float, seed: int = 0,
@@ -133,12 +150,23 @@ def kfold_hash(df: DataFrame, k: int, key: list[str], seed: int = 42,
 
 def kfold_contiguous(df: DataFrame, k: int, order: list[str], name: str = "fold") -> DataFrame:
     """Contiguous folds of size ``int(n / k) + 1`` by position
-    (so n = 23, k = 10 gives 8 folds, as the reference does)."""
-    idx = ordered_index(df, order, "_pos")
-    size = df.agg((F.floor(F.count(F.lit(1)) / F.lit(k)) + 1).cast("long").alias("_fs"))
-    return (idx.join(F.broadcast(size), how="inner")
-            .withColumn(name, F.floor(F.col("_pos") / F.col("_fs")).cast("int"))
-            .drop("_fs"))
+    (so n = 23, k = 10 gives 8 folds, as the reference does).
+
+    The first key of each fold (at most ``k`` keys) is found by numbering
+    the key columns only; a row's fold is the number of fold starts at or
+    below its key, minus one.
+    """
+    size = df.agg(F.count(F.lit(1)).alias("_n"),
+                  (F.floor(F.count(F.lit(1)) / F.lit(k)) + 1).cast("long").alias("_fs"))
+    starts = size.select(F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_f"), "_n", "_fs") \
+        .select((F.col("_f") * F.col("_fs")).alias("_at"), "_n").filter(F.col("_at") < F.col("_n")) \
+        .select("_at")
+    keys = _cut_keys(df, order, starts)
+    one = keys.agg(F.collect_list("_key").alias("_starts"))  # at most k entries
+    t = df.join(F.broadcast(one), how="inner")
+    me = F.struct(*order)
+    fold = F.size(F.filter("_starts", lambda s_: s_ <= me)) - 1
+    return t.withColumn(name, fold.cast("int")).drop("_starts")
 
 
 def stratified_folds(df: DataFrame, k: int, label: str, key: list[str], seed: int = 42,

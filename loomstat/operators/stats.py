@@ -99,7 +99,8 @@ def pct_change(df: DataFrame, by: str, order: list[str], value: str) -> DataFram
     from loomstat.operators.sampling import with_previous
     t = with_previous(df, order, [value], by=by)
     return (t.filter(F.col(f"prev_{value}").isNotNull())
-            .withColumn("pct_return", (F.col(value) / F.col(f"prev_{value}") - 1) * 100))
+            .withColumn("pct_return",
+                        (F.try_divide(F.col(value), F.col(f"prev_{value}")) - 1) * 100))
 
 
 def fit_normal(df: DataFrame, col: str) -> DataFrame:

@@ -73,11 +73,17 @@ def speaker_documents(df: DataFrame, speaker: str, order: list[str], line: str,
 
 
 def ngrams(df: DataFrame, tokens: str, n: int, out: str = "ngrams") -> DataFrame:
-    """Space-joined n-grams of a token array."""
-    k = F.size(tokens) - n + 1
+    """Space-joined n-grams of a token array.
+
+    Built by zipping ``n`` shifted slices of the array, so the work is
+    linear in the token count (a per-position ``slice`` lambda would
+    re-evaluate the token array for every position).
+    """
+    k = F.greatest(F.size(tokens) - n + 1, F.lit(0))
+    shifted = [F.slice(tokens, j + 1, k) for j in range(n)]
+    z = F.arrays_zip(*[s_.alias(f"t{j}") for j, s_ in enumerate(shifted)])
     return df.withColumn(out, F.transform(
-        F.sequence(F.lit(1), F.greatest(k, F.lit(0))),
-        lambda i: F.array_join(F.slice(tokens, i, n), " ")))
+        z, lambda e: F.concat_ws(" ", *[e[f"t{j}"] for j in range(n)])))
 
 
 def neighbour_context(df: DataFrame, group: str, order: list[str], line: str,

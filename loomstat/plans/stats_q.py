@@ -130,10 +130,9 @@ def boxplot_stats(spark, d):
 
 
 @query("pct_return", """
-SELECT event_id, user_id, round(pct, 6) AS pct_return FROM (
-  SELECT event_id, user_id,
-         (value / lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) * 100 AS pct
-  FROM events) WHERE pct IS NOT NULL""")
+SELECT event_id, user_id, round((value / nullif(prev, 0) - 1) * 100, 6) AS pct_return FROM (
+  SELECT event_id, user_id, value, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev
+  FROM events) WHERE prev IS NOT NULL""")
 def pct_return(spark, d):
     """Percentage change from the previous value of the same series."""
     e = t(spark, d, "events", "event_id", "user_id", "ts", "value")
