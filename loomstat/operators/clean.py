@@ -79,19 +79,32 @@ def drop_outliers(df: DataFrame, cols: list[str], keep: list[str] | None = None,
     return z.filter(within_bounds(zc)).drop(*zc)
 
 
+def row_digest(cols: list[str]) -> Column:
+    """SHA-256 of the row's values (NULL-aware JSON of the columns): a
+    32-byte stand-in for wide rows as a grouping / join key."""
+    return F.sha2(F.to_json(F.struct(*[F.col(c) for c in cols])), 256)
+
+
 def duplicate_flags(df: DataFrame, cols: list[str], order: str) -> DataFrame:
     """``duplicated()``: a row equal (on ``cols``) to an earlier row.
 
-    The first occurrence per value group is found by an aggregate (map-side
-    partial ``min``, so a hot group collapses before the shuffle) and joined
-    back; no window has to hold a whole group in one task.
+    The first occurrence per value group is found by an aggregate keyed by
+    the row digest (map-side partial ``min``, so a hot group collapses
+    before the shuffle, and 32-byte keys move instead of whole texts) and
+    joined back on the digest; no window has to hold a whole group.
     """
-    first = df.groupBy(*[F.col(c).alias(f"_k_{c}") for c in cols]).agg(
-        F.min(order).alias("_first"))
-    cond = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in cols]
-    return (df.join(first, cond, "inner")
+    d = df.withColumn("_d", row_digest(cols))
+    first = d.groupBy("_d").agg(F.min(order).alias("_first"))
+    return (d.join(first, "_d")
             .withColumn("is_duplicate", F.col(order) != F.col("_first"))
-            .drop("_first", *[f"_k_{c}" for c in cols]))
+            .drop("_d", "_first"))
+
+
+def duplicate_count(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Number of duplicate rows = rows - distinct rows (one pass)."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows"),
+                  F.count_distinct(row_digest(cols)).alias("n_distinct")).withColumn(
+        "n_duplicates", F.col("n_rows") - F.col("n_distinct"))
 
 
 def dedup(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

@@ -552,6 +552,14 @@ def dup_flags(spark, d):
     return clean.duplicate_flags(docs, ["text"], "doc_id").select("doc_id", "is_duplicate")
 
 
+@query("dup_count", """
+SELECT count(*) AS n_rows, count(DISTINCT text) AS n_distinct,
+       count(*) - count(DISTINCT text) AS n_duplicates FROM documents""")
+def dup_count(spark, d):
+    """Count of duplicate rows."""
+    return clean.duplicate_count(t(spark, d, "documents", "text"), ["text"])
+
+
 @query("dedup", """
 SELECT DISTINCT md5(text) AS text_md5, lang FROM documents""")
 def dedup(spark, d):
