@@ -131,7 +131,7 @@ def cosine_to_centroids(test: DataFrame, centroids: DataFrame, id_col: str, vec:
                      .otherwise(F.raise_error(F.lit("too many classes to broadcast")))
                      .alias("_cs"))
     t = attach_row(test.select(id_col, F.col(vec).cast("array<double>").alias("_v")), one)
-    pairs = t.select(id_col, F.explode(F.transform(
+    pairs = t.select(id_col, F.explode_outer(F.transform(
         "_cs", lambda s: F.struct(s["label"].alias("label"),
                                   LF.cosine(F.col("_v"), s["centroid"]).alias("similarity"))))
         .alias("_p"))

@@ -15,6 +15,18 @@ from pyspark.sql import functions as F
 from loomstat import functions as LF
 
 
+def explode_tokens(df: DataFrame, keep: list[str], tokens: str, out: str = "term") -> DataFrame:
+    """One row per token.
+
+    ``explode_outer`` + a NULL filter on the generated column gives the same
+    rows as ``explode`` but stops Catalyst from inferring a ``size(tokens) >
+    0`` filter below the generator, which would evaluate the (regex)
+    tokeniser a second time.
+    """
+    return (df.select(*keep, F.explode_outer(tokens).alias(out))
+            .filter(F.col(out).isNotNull()))
+
+
 def punct_tokens(df: DataFrame, text: str, out: str = "tokens") -> DataFrame:
     """F4 + F5: punctuation spacing, whitespace split (edge empties kept), lower."""
     return df.withColumn(out, LF.regex_tokens(LF.space_punctuation(text)))
@@ -27,15 +39,16 @@ def ws_tokens(df: DataFrame, text: str, out: str = "tokens") -> DataFrame:
 
 def bag_of_words(df: DataFrame, doc: str, tokens: str, lower: bool = False) -> DataFrame:
     """``(doc, term, n)`` term counts."""
-    t = F.explode(tokens)
-    e = df.select(doc, (F.lower(t) if lower else t).alias("term"))
+    e = explode_tokens(df, [doc], tokens)
+    if lower:
+        e = e.withColumn("term", F.lower("term"))
     return e.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def bag_plus_extra(df: DataFrame, doc: str, tokens: str, extra: str) -> DataFrame:
     """Term counts plus one count per extra feature of the document."""
-    words = df.select(doc, F.explode(tokens).alias("term"))
-    extras = df.select(doc, F.explode(extra).alias("term"))
+    words = explode_tokens(df, [doc], tokens)
+    extras = explode_tokens(df, [doc], extra)
     return (words.unionByName(extras).groupBy(doc, "term")
             .agg(F.count(F.lit(1)).alias("n")))
 

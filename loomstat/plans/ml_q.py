@@ -203,31 +203,42 @@ def linear_svm(spark, d):
     """Bag-of-words linear SVM on document quality, 70/30 split;
     the vocabulary is fitted on the training rows only."""
     s = sampling.split_random(_text_set(spark, d), 0.3, ["doc_id"])
+    s = s.select("doc_id", "label", "tokens", "split").persist()
     train, test = s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
     cv = models.text_features(train, "tokens", vocab_from=train)[1]
     return models.fit_predict(cv.transform(train), cv.transform(test),
                               models.estimator("linear_svm", maxIter=50), ["doc_id"], scale=False)
 
 
+def _fold_scores(s, k):
+    train, test = s.filter(F.col("fold") != k), s.filter(F.col("fold") == k)
+    pred = models.fit_predict(train, test, models.estimator("linear_svm", maxIter=30),
+                              ["doc_id"], scale=False)
+    conf = metrics.confusion_long(pred, "label", "prediction", _LABELS)
+    w = metrics.weighted(metrics.per_class(conf))
+    acc = conf.agg((F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")))
+                    / F.sum("n")).alias("accuracy"))
+    row = w.crossJoin(acc).select(F.lit(str(k)).alias("fold"), "precision", "recall", "f1",
+                                  "accuracy")
+    return row
+
+
 @query("cv_report")
 def cv_report(spark, d):
     """10 contiguous folds; for each, fit on the other nine and
-    report weighted precision/recall/F and accuracy; plus their mean."""
+    report weighted precision/recall/F and accuracy; plus their mean.
+
+    The ten fits are independent Spark jobs and are submitted from a thread
+    pool, as MLlib's ``CrossValidator(parallelism=...)`` does."""
+    from concurrent.futures import ThreadPoolExecutor
     s = sampling.kfold_contiguous(_text_set(spark, d), 10, ["doc_id"])
-    s = models.text_features(s, "tokens")[0].cache()
-    folds = [r[0] for r in s.select("fold").distinct().collect()]  # at most 10 fold ids
-    out = None
-    for k in sorted(folds):
-        train, test = s.filter(F.col("fold") != k), s.filter(F.col("fold") == k)
-        pred = models.fit_predict(train, test, models.estimator("linear_svm", maxIter=30),
-                                  ["doc_id"], scale=False)
-        conf = metrics.confusion_long(pred, "label", "prediction", _LABELS)
-        w = metrics.weighted(metrics.per_class(conf))
-        acc = conf.agg((F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")))
-                        / F.sum("n")).alias("accuracy"))
-        row = w.crossJoin(acc).select(F.lit(str(k)).alias("fold"), "precision", "recall", "f1",
-                                      "accuracy")
-        out = row if out is None else out.unionByName(row)
+    s = models.text_features(s, "tokens")[0].select("doc_id", "label", "fold", "raw").cache()
+    folds = sorted(r[0] for r in s.select("fold").distinct().collect())  # at most 10 fold ids
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        rows = list(pool.map(lambda k: _fold_scores(s, k), folds))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
     mean = out.agg(F.lit("mean").alias("fold"), *[F.avg(c).alias(c) for c in
                                                    ("precision", "recall", "f1", "accuracy")])
     return out.unionByName(mean)

@@ -6,7 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomstat.sources import table
+from loomstat.sources import spread, table
+
+# tables whose rows carry long texts: per-row tokenising dominates, so the
+# scan is spread over the cluster's parallelism when it is too narrow
+TEXT_TABLES = {"documents", "conversations", "pages", "benchmark"}
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -23,4 +27,7 @@ def query(name: str, sql: str | None = None):
 
 
 def t(spark: SparkSession, d: str, name: str, *cols: str) -> DataFrame:
-    return table(spark, d, name, *cols)
+    df = table(spark, d, name, *cols)
+    if name in TEXT_TABLES and (not cols or "text" in cols):
+        df = spread(df)
+    return df

@@ -123,7 +123,8 @@ WHERE NOT is_train AND term IN (SELECT term FROM vocab) GROUP BY 1, 2""")
 def term_vectors_closed_vocab(spark, d):
     """Test-document term counts over the training vocabulary only."""
     s = text.ws_tokens(_split_docs(spark, d), "text")
-    bag = text.bag_of_words(s, "doc_id", "tokens").join(s.select("doc_id", "split"), "doc_id")
+    bag = text.bag_of_words(s.select("doc_id", "tokens"), "doc_id", "tokens") \
+        .join(s.select("doc_id", "split"), "doc_id").persist()
     train = bag.filter(F.col("split") == "train")
     test = bag.filter(F.col("split") == "test")
     return similarity.closed_vocabulary(test, train).select("doc_id", "term", "n")
@@ -139,8 +140,10 @@ def _retrieval_vectors(spark, d, caps=None):
         te = text.first_n_per_group(s.filter(F.col("split") == "test"), "source", ["doc_id"], caps[1])
         s = tr.unionByName(te)
     s = text.ws_tokens(s, "text")
-    e = s.select(F.col("source").alias("doc"), "split", F.explode("tokens").alias("term"))
-    bag = e.groupBy("doc", "split", "term").agg(F.count(F.lit(1)).alias("n"))
+    e = text.explode_tokens(s.withColumnRenamed("source", "doc"), ["doc", "split"], "tokens")
+    # the bag feeds the train side, the test side and the vocabulary:
+    # computed once, kept (memory and disk) for the branches
+    bag = e.groupBy("doc", "split", "term").agg(F.count(F.lit(1)).alias("n")).persist()
     train = bag.filter(F.col("split") == "train").drop("split")
     test = similarity.closed_vocabulary(bag.filter(F.col("split") == "test").drop("split"), train)
     return train, test
@@ -173,7 +176,9 @@ SELECT round(avg(rk), 6) AS mean_rank, round(avg(similarity), 6) AS mean_cosine,
 
 def _eval(spark, d, caps=None):
     train, test = _retrieval_vectors(spark, d, caps)
-    pairs = similarity.cosine_pairs(test, train)
+    # the scored pairs (the similarity matrix, one row per pair) feed the
+    # target lookup and the ranking: kept once
+    pairs = similarity.cosine_pairs(test, train).persist()
     ranks = similarity.rank_targets(pairs, test, train)
     s = similarity.ir_scores(ranks)
     return s.select(F.round("mean_rank", 6).alias("mean_rank"),
@@ -248,7 +253,7 @@ def ngrams(spark, d):
     """Bigram counts."""
     c = text.ws_tokens(t(spark, d, "conversations", "text"), "text")
     g = text.ngrams(c, "tokens", 2)
-    return g.select(F.explode("ngrams").alias("ngram")).groupBy("ngram") \
+    return text.explode_tokens(g, [], "ngrams", "ngram").groupBy("ngram") \
         .agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -261,7 +266,7 @@ nd AS (SELECT count(DISTINCT doc_id) AS n FROM tk)
 
 def _doc_bag(spark, d):
     return text.bag_of_words(text.ws_tokens(t(spark, d, "documents", "doc_id", "text"), "text"),
-                             "doc_id", "tokens").withColumnRenamed("doc_id", "doc")
+                             "doc_id", "tokens").withColumnRenamed("doc_id", "doc").persist()
 
 
 @query("df_filter", _DOC_TERMS_SQL + """

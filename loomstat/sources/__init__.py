@@ -21,6 +21,18 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give CPU-heavy per-row work (regex tokenising, explode) at least
+    ``defaultParallelism`` tasks.
+
+    A large input already scans as thousands of splits and is returned as
+    is; a small file with a single row group scans as one task, and only
+    then are its (already pruned) columns spread round-robin.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 # --- S1 / S3: text lines, split without quoting -------------------------
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
