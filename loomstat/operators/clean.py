@@ -33,8 +33,14 @@ def fill_with(df: DataFrame, cols: list[str], stat: str = "median",
               digits: dict[str, int] | None = None) -> DataFrame:
     """Fill NULLs with the column median or mean, then optionally
     round half-to-even (pandas ``round``)."""
-    fn = {"median": F.median, "mean": F.avg}[stat]
-    stats = df.agg(*[fn(c).alias(f"_s_{c}") for c in cols])
+    if stat == "mean":
+        stats = df.agg(*[F.avg(c).alias(f"_s_{c}") for c in cols])
+    else:
+        from loomstat.operators.stats import quantile_frame
+        stats = None
+        for c in cols:  # one exact-median row per column
+            m = quantile_frame(df, c, [0.5]).select(F.get("_q", 0).alias(f"_s_{c}"))
+            stats = m if stats is None else stats.join(F.broadcast(m), how="inner")
     out = attach_row(df, stats)
     for c in cols:
         v = F.coalesce(F.col(c), F.col(f"_s_{c}"))
@@ -148,8 +154,8 @@ def cut_equal_depth(df: DataFrame, col: str, k: int) -> DataFrame:
     """``pd.qcut(x, k)``: edges are exact interpolated quantiles; bins
     right-closed, the lowest edge included; repeated edges raise."""
     probs = [i / k for i in range(k + 1)]
-    e = df.agg(F.percentile(col, F.array(*[F.lit(p) for p in probs])).alias("_e"))
-    t = attach_row(df, e)
+    from loomstat.operators.stats import quantile_frame
+    t = attach_row(df, quantile_frame(df, col, probs, name="_e"))
     strictly = F.forall(F.sequence(F.lit(1), F.lit(k)),
                         lambda i: F.get("_e", i) > F.get("_e", i - 1))
     t = t.withColumn("_e", F.when(strictly, F.col("_e")).otherwise(
@@ -181,8 +187,8 @@ def smooth_by_bin_bounds(df: DataFrame, col: str, k: int, order: str) -> DataFra
     single-partition window is needed: bin = position of the value among
     ``k`` equal-count groups of the sorted column.
     """
-    e = df.agg(F.percentile(col, F.array(*[F.lit(i / k) for i in range(1, k)])).alias("_e"))
-    t = attach_row(df, e)
+    from loomstat.operators.stats import quantile_frame
+    t = attach_row(df, quantile_frame(df, col, [i / k for i in range(1, k)], name="_e"))
     binno = F.lit(k)
     for i in range(k - 1, 0, -1):
         binno = F.when(F.col(col) <= F.get("_e", i - 1), F.lit(i)).otherwise(binno)

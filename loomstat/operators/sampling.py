@@ -231,3 +231,44 @@ def with_previous(df: DataFrame, order: list[str], cols: list[str],
             j = j.withColumn(f"prev_{c}", F.when(same, F.col(f"prev_{c}")))
         j = j.drop("_pby")
     return j.drop("_pos")
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: list[float], by: str | None = None,
+                    name: str = "_q") -> DataFrame:
+    """Exact interpolated quantiles (numpy's linear rule, Spark's
+    ``percentile``) without gathering a group's values in one task.
+
+    1. counts per (group, value): map-side combined, so a value repeated in
+       a third of the rows is one row after the partial aggregate;
+    2. distributed running totals over the sorted distinct values
+       (``prefix_sums``);
+    3. for each probability ``p`` the positions ``floor(h)``, ``ceil(h)`` with
+       ``h = (n - 1) p`` are located by a range join against a table of
+       (groups x probabilities) rows, and interpolated.
+
+    Returns one row per group with ``name`` = array of quantiles in the
+    order of ``probs`` (NULL for an empty group).
+    """
+    g = [by] if by else []
+    vals = df.select(*g, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    cnt = vals.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    pre = prefix_sums(cnt, [*g, "_v"], ["_c"])
+    ends = pre.select(*g, (F.col("cum__c") - F.col("_c")).alias("_lo"), F.col("cum__c").alias("_hi"), "_v")
+    per = ends.groupBy(*g).agg(F.min("_lo").alias("_start"), (F.max("_hi") - F.min("_lo")).alias("_n"))
+    pa = F.array(*[F.lit(float(p)) for p in probs])
+    pos = (per.select(*g, "_start", "_n", F.posexplode(pa).alias("_i", "_p"))
+           .withColumn("_h", (F.col("_n") - 1) * F.col("_p"))
+           .withColumn("_klo", F.col("_start") + F.floor("_h"))
+           .withColumn("_khi", F.col("_start") + F.ceil("_h")))
+    inside = lambda k: (F.col("_lo") <= F.col(k)) & (F.col(k) < F.col("_hi"))
+    cond = inside("_klo") | inside("_khi")
+    if by:
+        j = ends.join(pos, [by]).filter(cond)
+    else:  # pos has one row per probability
+        j = ends.join(F.broadcast(pos), cond, "inner")
+    q = j.groupBy(*g, "_i", "_h").agg(
+        F.max(F.when(inside("_klo"), F.col("_v"))).alias("_vlo"),
+        F.max(F.when(inside("_khi"), F.col("_v"))).alias("_vhi"))
+    q = q.withColumn("_x", F.col("_vlo") + (F.col("_h") - F.floor("_h")) * (F.col("_vhi") - F.col("_vlo")))
+    return q.groupBy(*g).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_i", "_x"))), lambda s: s["_x"]).alias(name))

@@ -21,19 +21,31 @@ from loomstat import functions as LF
 from loomstat.operators.joins import attach_row
 
 
-def _pct(col: str, probs, exact: bool = True) -> Column:
+def quantile_frame(df: DataFrame, col: str, probs, by: str | None = None,
+                   exact: bool = True, name: str = "_q") -> DataFrame:
+    """Quantiles of ``col`` (per ``by`` group) as an array column ``name``.
+
+    ``exact`` uses the distributed exact method (``sampling.exact_quantiles``:
+    counts per value, running totals, range lookup), which never gathers a
+    group's values in one task; otherwise the ``percentile_approx`` sketch.
+    """
+    from loomstat.operators.sampling import exact_quantiles
+    if exact:
+        return exact_quantiles(df, col, list(probs), by=by, name=name)
     arr = F.array(*[F.lit(float(p)) for p in probs])
-    return F.percentile(col, arr) if exact else F.percentile_approx(col, arr, 10000)
+    g = [by] if by else []
+    return df.groupBy(*g).agg(F.percentile_approx(col, arr, 10000).alias(name))
 
 
 def summary(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
     """Mean, median, sample std/var, quartiles, mean +/- one std,
     population excess kurtosis; one row."""
     s = df.agg(F.count(col).alias("n"), F.avg(col).alias("mean"),
-               _pct(col, [0.25, 0.5, 0.75], exact).alias("_q"),
                F.stddev_samp(col).alias("std"), F.var_samp(col).alias("var"),
                F.kurtosis(col).alias("kurtosis"),
                F.min(col).alias("min"), F.max(col).alias("max"))
+    q = quantile_frame(df, col, [0.25, 0.5, 0.75], exact=exact)
+    s = s.join(F.broadcast(q), how="left")  # both sides are single rows
     return s.select("n", "mean", F.get("_q", 1).alias("median"), "std", "var",
                     F.get("_q", 0).alias("p25"), F.get("_q", 2).alias("p75"),
                     (F.col("mean") - F.col("std")).alias("mean_minus_std"),
@@ -76,7 +88,7 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
 def boxplot_stats(df: DataFrame, group: str, col: str, exact: bool = True) -> DataFrame:
     """Quartiles, 1.5 IQR fences, whiskers (furthest points inside the
     fences) and outlier count per group: the numbers behind a box plot."""
-    q = df.groupBy(group).agg(_pct(col, [0.25, 0.5, 0.75], exact).alias("_q"))
+    q = quantile_frame(df, col, [0.25, 0.5, 0.75], by=group, exact=exact)
     q = q.select(group, F.get("_q", 0).alias("q1"), F.get("_q", 1).alias("median"),
                  F.get("_q", 2).alias("q3"))
     q = (q.withColumn("iqr", F.col("q3") - F.col("q1"))
@@ -111,7 +123,7 @@ def fit_normal(df: DataFrame, col: str) -> DataFrame:
 
 def fit_laplace(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
     """K3: location = median, scale = mean absolute deviation from it."""
-    m = df.agg((F.median(col) if exact else F.percentile_approx(col, 0.5, 10000)).alias("loc"))
+    m = quantile_frame(df, col, [0.5], exact=exact).select(F.get("_q", 0).alias("loc"))
     t = attach_row(df.select(col), m)
     return t.groupBy("loc").agg(F.avg(F.abs(F.col(col) - F.col("loc"))).alias("scale"),
                                 F.count(col).alias("n"))

@@ -298,6 +298,10 @@ def read_write_roundtrip(spark, d):
     spark.createDataFrame([("title line",), (",".join(schema.fieldNames()),)], "value string") \
         .unionAll(titled).coalesce(1).write.mode("overwrite").option("encoding", "ISO-8859-1") \
         .text(f"{base}/csv_titled")
+    # Tab-separated with a header recognised by its first field "Id"
+    idt = o.select(F.col("o_orderkey").cast("string").alias("Id"), "o_orderstatus",
+                   F.col("o_totalprice").cast("string"), "o_orderpriority")
+    idt.write.mode("overwrite").option("header", True).option("sep", "\t").csv(f"{base}/tsv_id")
     # S4 / S5 / S15 sinks
     S.write_json_head(o, f"{base}/json_head", 100, ["o_orderkey"])
     S.write_text_single(o.groupBy("o_orderstatus").count()
@@ -310,6 +314,9 @@ def read_write_roundtrip(spark, d):
         "tsv": S.read_csv(spark, f"{base}/tsv", schema, header=True, sep="\t"),
         "csv_titled": S.read_csv(spark, f"{base}/csv_titled", schema, encoding="ISO-8859-1",
                                  header_on_second_line=True),
+        "tsv_id": S.read_tsv_id_header(
+            spark, f"{base}/tsv_id",
+            StructType([StructField("Id", StringType())] + schema.fields[1:])),
         "json_head": spark.read.schema(schema).json(f"{base}/json_head"),
         "text_single": spark.read.text(f"{base}/text_single"),
         "appended": spark.read.json(f"{base}/appended"),

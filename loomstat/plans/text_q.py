@@ -207,6 +207,15 @@ def similarity_matrix(spark, d):
     return p.select("doc1", "doc2", F.round("similarity", 6).alias("similarity"))
 
 
+@query("similarity_pivot")
+def similarity_pivot(spark, d):
+    """T4: the matrix itself, one row per test document and one column per
+    training document (pivot values are bounded by spark.sql.pivotMaxValues)."""
+    train, test = _retrieval_vectors(spark, d)
+    p = similarity.cosine_pairs(test, train)
+    return p.groupBy("doc1").pivot("doc2").agg(F.first("similarity")).na.fill(0.0)
+
+
 @query("extreme_pairs", _retrieval_sql() + """
 SELECT * FROM
  (SELECT doc1 AS max_doc1, doc2 AS max_doc2, round(similarity, 6) AS max_similarity FROM pairs

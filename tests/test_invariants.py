@@ -120,3 +120,13 @@ def test_pca_variance_matches_numpy(spark):
     _, ratios = models.pca(models.vectors(e, "embedding"), 2, ["vec_id"])
     ev = np.linalg.eigvalsh(np.cov(X.T))[::-1]
     assert np.allclose(ratios, ev[:2] / ev.sum(), rtol=1e-6)
+
+
+def test_exact_quantiles_match_numpy(spark, ev):
+    x = np.array([r[0] for r in ev.select("value").collect()])
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0, 1 / 3]
+    got = sampling.exact_quantiles(ev, "value", probs).first()["_q"]
+    assert np.allclose(got, np.percentile(x, [p * 100 for p in probs]), rtol=0, atol=1e-9)
+    # one value holding most rows collapses to one counted row
+    hot = spark.createDataFrame([(7.0,)] * 500 + [(1.0,), (9.0,)], "x double")
+    assert sampling.exact_quantiles(hot, "x", [0.0, 0.5, 1.0]).first()["_q"] == [1.0, 7.0, 9.0]
