@@ -217,13 +217,22 @@ def interval_share(df: DataFrame, col: str, a: float, b: float) -> DataFrame:
                   F.count(col).alias("n"))
 
 
-def sum_distribution(h1: DataFrame, h2: DataFrame) -> DataFrame:
+def sum_distribution(h1: DataFrame, h2: DataFrame, max_support: int = 10_000) -> DataFrame:
     """K8: distribution of X + Y for independent X, Y given as probability
-    tables ``(value, p)``. Both sides are histograms with a fixed bin count,
-    so the pair table has at most bins^2 rows regardless of data size."""
+    tables ``(value, p)`` over a bounded support (binned or rounded values).
+
+    The convolution pairs every support point of X with every one of Y, so
+    the second table is broadcast only after its size is checked against
+    ``max_support``; the pair table never depends on the row count.
+    """
     a = h1.select(F.col("value").alias("x"), F.col("p").alias("px"))
     b = h2.select(F.col("value").alias("y"), F.col("p").alias("py"))
-    return (a.crossJoin(F.broadcast(b))
+    n_b = b.agg(F.count(F.lit(1)).alias("_nb"))
+    b = attach_row(b, n_b).filter(
+        F.when(F.col("_nb") <= max_support, F.lit(True))
+        .otherwise(F.raise_error(F.lit("support too large to convolve"))).cast("boolean")
+    ).drop("_nb")
+    return (a.join(F.broadcast(b), how="inner")
             .groupBy((F.col("x") + F.col("y")).alias("value"))
             .agg(F.sum(F.col("px") * F.col("py")).alias("p")))
 

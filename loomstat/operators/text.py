@@ -101,11 +101,25 @@ def ngrams(df: DataFrame, tokens: str, n: int, out: str = "ngrams") -> DataFrame
 
 def neighbour_context(df: DataFrame, group: str, order: list[str], line: str,
                       k: int = 1) -> DataFrame:
-    """Neighbouring lines of the same group as context (lag/lead)."""
-    w = Window.partitionBy(group).orderBy(*order)
-    prev = [F.lag(line, i).over(w) for i in range(k, 0, -1)]
-    nxt = [F.lead(line, i).over(w) for i in range(1, k + 1)]
-    return df.withColumn("context", F.concat_ws(" ", *prev, F.col(line), *nxt))
+    """Each line with up to ``k`` neighbouring lines of the same group.
+
+    Neighbours are found by position self-joins (global position in
+    (group, order), offset +/- i, same group), so a very long group is
+    spread over many tasks rather than sorted in one window task.
+    """
+    from loomstat.operators.sampling import ordered_index
+    idx = ordered_index(df, [group, *order], "_pos")
+    out = idx
+    offsets = [-i for i in range(k, 0, -1)] + list(range(1, k + 1))
+    for o in offsets:
+        nb = idx.select((F.col("_pos") - o).alias("_pos"), F.col(group).alias(f"_g{o}"),
+                        F.col(line).alias(f"_l{o}"))
+        out = out.join(nb, "_pos", "left").withColumn(
+            f"_l{o}", F.when(F.col(f"_g{o}") == F.col(group), F.col(f"_l{o}"))).drop(f"_g{o}")
+    parts = [F.col(f"_l{o}") for o in offsets if o < 0] + [F.col(line)] + \
+        [F.col(f"_l{o}") for o in offsets if o > 0]
+    return out.withColumn("context", F.concat_ws(" ", *parts)) \
+        .drop("_pos", *[f"_l{o}" for o in offsets])
 
 
 def remove_stopwords(df: DataFrame, tokens: str, stopwords: list[str],

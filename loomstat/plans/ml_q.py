@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loomstat import functions as LF
 from loomstat.operators import metrics, models, sampling, signal, text
+from loomstat.operators.joins import attach_row
 from loomstat.plans.registry import query, t
 
 _LABELS = [0, 1]
@@ -218,7 +219,7 @@ def _fold_scores(s, k):
     w = metrics.weighted(metrics.per_class(conf))
     acc = conf.agg((F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")))
                     / F.sum("n")).alias("accuracy"))
-    row = w.crossJoin(acc).select(F.lit(str(k)).alias("fold"), "precision", "recall", "f1",
+    row = attach_row(w, acc).select(F.lit(str(k)).alias("fold"), "precision", "recall", "f1",
                                   "accuracy")
     return row
 
@@ -266,7 +267,7 @@ def best_model(spark, d):
             .select(F.lit(kind).alias("model"), "accuracy")
         scores = a if scores is None else scores.unionByName(a)
     best = scores.agg(F.max_by("model", "accuracy").alias("best"))
-    return scores.crossJoin(best).select("model", "accuracy",
+    return attach_row(scores, best).select("model", "accuracy",
                                          (F.col("model") == F.col("best")).alias("is_best"))
 
 
