@@ -207,13 +207,16 @@ def similarity_matrix(spark, d):
     return p.select("doc1", "doc2", F.round("similarity", 6).alias("similarity"))
 
 
-@query("similarity_pivot")
+@query("similarity_pivot", _retrieval_sql() + """
+, pr AS (SELECT doc1, doc2, round(similarity, 6) AS similarity FROM pairs)
+SELECT * FROM (PIVOT pr ON doc2 USING first(similarity) GROUP BY doc1)""")
 def similarity_pivot(spark, d):
     """T4: the matrix itself, one row per test document and one column per
     training document (pivot values are bounded by spark.sql.pivotMaxValues)."""
     train, test = _retrieval_vectors(spark, d)
     p = similarity.cosine_pairs(test, train)
-    return p.groupBy("doc1").pivot("doc2").agg(F.first("similarity")).na.fill(0.0)
+    p = p.withColumn("similarity", F.round("similarity", 6))
+    return p.groupBy("doc1").pivot("doc2").agg(F.first("similarity"))
 
 
 @query("extreme_pairs", _retrieval_sql() + """
