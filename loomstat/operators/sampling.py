@@ -31,28 +31,34 @@ def ordered_index(df: DataFrame, order: list, name: str = "idx",
                   partitions: int | None = None) -> DataFrame:
     """0-based position of each row in ``order`` (which must be a total order).
 
-    1. ``repartitionByRange`` on the order key (sampled bounds, balanced).
-    2. ``row_number`` within each range partition.
-    3. per-partition counts -> exclusive running sum (one row per partition).
-    4. position = offset of the partition + local number - 1.
+    1. ``repartitionByRange`` on the order key (sampled bounds, balanced),
+       then ``sortWithinPartitions``;
+    2. ``monotonically_increasing_id`` on the sorted partitions encodes the
+       range partition (high bits) and the row's rank inside it (low 33
+       bits) - no second shuffle;
+    3. per-partition counts -> exclusive running sum (one row per partition);
+    4. position = offset of the partition + rank inside it.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordc = [F.col(c) if isinstance(c, str) else c for c in order]
-    ranged = df.repartitionByRange(n, *ordc).withColumn("_pid", F.spark_partition_id())
-    local = ranged.withColumn(
-        "_ln", F.row_number().over(Window.partitionBy("_pid").orderBy(*ordc)))
-    # Range bounds are sampled with a seed tied to the RDD id, so two reads
-    # of the same plan could split differently. Materialise the numbered
-    # partitions once (reliable checkpoint in the shared folder); counts and
-    # rows then come from the same files, and lineage is cut.
+    mid = F.monotonically_increasing_id()
+    local = (df.repartitionByRange(n, *ordc).sortWithinPartitions(*ordc)
+             .withColumn("_mid", mid)
+             .withColumn("_pid", F.shiftright("_mid", 33))
+             .withColumn("_ln", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
+             .drop("_mid"))
+    # Range bounds are sampled with a seed tied to the RDD id and the ids
+    # depend on the partition a row lands in, so the numbered partitions are
+    # materialised once (reliable checkpoint in the shared folder); counts
+    # and rows then come from the same files, and lineage is cut.
     local = cut_lineage(local)
     counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select(
         "_pid", (F.sum("_cnt").over(Window.orderBy("_pid")) - F.col("_cnt")).alias("_off"))
     # offsets has at most `n` rows (one per range partition): bounded broadcast.
     return (local.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, F.col("_off") + F.col("_ln") - 1)
+            .withColumn(name, F.col("_off") + F.col("_ln"))
             .drop("_pid", "_ln", "_off"))
 
 

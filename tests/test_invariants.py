@@ -130,3 +130,20 @@ def test_exact_quantiles_match_numpy(spark, ev):
     # one value holding most rows collapses to one counted row
     hot = spark.createDataFrame([(7.0,)] * 500 + [(1.0,), (9.0,)], "x double")
     assert sampling.exact_quantiles(hot, "x", [0.0, 0.5, 1.0]).first()["_q"] == [1.0, 7.0, 9.0]
+
+
+def test_hot_key_previous_row_and_duplicates(spark):
+    # one user holds two thirds of the rows; positions still spread over
+    # range partitions and every previous value matches lag()
+    rows = [(i, 0 if i % 3 else 1 + i % 5, float(i % 11)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, user long, v double")
+    wp = sampling.with_previous(df, ["id"], ["v"], by="user")
+    ref = df.withColumn("lv", F.lag("v").over(Window.partitionBy("user").orderBy("id")))
+    j = wp.join(ref.select("id", "lv"), "id")
+    assert j.filter(~F.col("prev_v").eqNullSafe(F.col("lv"))).count() == 0
+    idx = sampling.ordered_index(df, ["user", "id"], "p")
+    per_part = idx.withColumn("pid", F.spark_partition_id()).groupBy("pid").count().collect()
+    assert max(r["count"] for r in per_part) < 3000  # the hot user is not one task
+    from loomstat.operators.clean import duplicate_flags
+    d = duplicate_flags(df.select("id", (F.col("user") == 0).cast("string").alias("t")), ["t"], "id")
+    assert d.filter(~F.col("is_duplicate")).count() == 2
