@@ -16,12 +16,43 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def _canonical_zero(sql: str) -> str:
+    """Wrap each ``round(...)`` as ``(0.0 + round(...))``.
+
+    DuckDB's ``round`` keeps the sign of a tiny negative (``-0.0``) while
+    Spark's decimal-based rounding returns ``0.0``; adding ``0.0`` maps
+    ``-0.0`` to ``0.0`` and changes no other value.
+    """
+    out, i, low = [], 0, sql.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k = 0, j + 5
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        inner = _canonical_zero(sql[j + 6:k])
+        out.append(sql[i:j] + "(0.0 + round(" + inner + "))")
+        i = k + 1
+
+
 def query(name: str, sql: str | None = None):
     """Register ``fn(spark, sf_dir)`` under ``name`` with optional oracle SQL."""
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql.strip()
+            ORACLE[name] = _canonical_zero(sql.strip())
         return fn
     return deco
 
