@@ -9,6 +9,8 @@ term have similarity 0 and are accounted for by counting, not enumeration.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,17 +42,77 @@ def tfidf(vec: DataFrame, doc: str, n: str = "n") -> DataFrame:
     return vec.join(idf, "term").withColumn("w", F.col(n) * F.col("idf")).drop("idf")
 
 
-def cosine_pairs(test: DataFrame, train: DataFrame, w: str = "n") -> DataFrame:
+def _hot_cell_dots(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
+    """Dot products of every test doc with every train doc of one cell over
+    the hot terms (sparse test rows against a dense train block)."""
+    cols = {"doc1": pd.Series(dtype="object"), "doc2": pd.Series(dtype="object"),
+            "dot": pd.Series(dtype="float64")}
+    if q.empty or t.empty:
+        return pd.DataFrame(cols)
+    width = int(max(t["idx"].map(lambda a: max(a) if len(a) else -1).max(),
+                    q["idx"].map(lambda a: max(a) if len(a) else -1).max())) + 1
+    T = np.zeros((len(t), max(width, 1)))
+    for r, (ix, vs) in enumerate(zip(t["idx"], t["val"])):
+        T[r, np.asarray(ix, dtype=np.int64)] = np.asarray(vs, dtype=np.float64)
+    out = []
+    for d1, ix, vs in zip(q["doc"], q["idx"], q["val"]):
+        ix = np.asarray(ix, dtype=np.int64)
+        dots = T[:, ix] @ np.asarray(vs, dtype=np.float64)
+        nz = np.nonzero(dots)[0]
+        if len(nz):
+            out.append(pd.DataFrame({"doc1": d1, "doc2": t["doc"].to_numpy()[nz], "dot": dots[nz]}))
+    return pd.concat(out, ignore_index=True) if out else pd.DataFrame(cols)
+
+
+def cosine_pairs(test: DataFrame, train: DataFrame, w: str = "n",
+                 hot_pairs: int = 1_000_000, cell_docs: int = 2_000) -> DataFrame:
     """T2 / J8 + F10 on sparse vectors ``(doc, term, w)``.
 
     Returns ``(doc1, doc2, similarity)`` for every pair sharing a term; the
     test side must already be restricted to the training vocabulary so that
     unseen terms leave the norm too (2.9-21).
+
+    A term shared by ``df_test`` test and ``df_train`` training documents
+    costs ``df_test * df_train`` joined rows. Terms up to ``hot_pairs`` go
+    through the term equi-join. Hotter terms never pair rows per term: each
+    document's hot-term weights become one sparse row, documents are hashed
+    into cells of at most ``cell_docs`` per side, and each (test chunk,
+    train block) cell meets once in a ``cogroup`` whose numpy product emits
+    one partial dot per document pair. Both parts are summed per pair.
     """
     a = test.select(F.col("doc").alias("doc1"), "term", F.col(w).cast("double").alias("w1"))
     b = train.select(F.col("doc").alias("doc2"), "term", F.col(w).cast("double").alias("w2"))
-    dots = (a.join(b, "term").groupBy("doc1", "doc2")
-            .agg(F.sum(F.col("w1") * F.col("w2")).alias("dot")))
+    d1 = a.groupBy("term").agg(F.count(F.lit(1)).alias("_d1"))
+    d2 = b.groupBy("term").agg(F.count(F.lit(1)).alias("_d2"))
+    cost = d1.join(d2, "term").select("term", (F.col("_d1") * F.col("_d2") > hot_pairs).alias("_hot"))
+    cost = cost.persist()
+    cold = cost.filter(~F.col("_hot")).select("term")
+    hot = cost.filter(F.col("_hot")).select("term")
+    cold_dots = (a.join(cold, "term", "left_semi").join(b.join(cold, "term", "left_semi"), "term")
+                 .groupBy("doc1", "doc2").agg(F.sum(F.col("w1") * F.col("w2")).alias("dot")))
+    dots = cold_dots
+    if hot.limit(1).count() > 0:
+        hot_idx = ordered_index(hot, ["term"], "_ti")
+        n_hot = hot_idx.count()
+        ha = a.join(hot_idx, "term").groupBy("doc1").agg(
+            F.collect_list("_ti").alias("idx"), F.collect_list("w1").alias("val"))
+        hb = b.join(hot_idx, "term").groupBy("doc2").agg(
+            F.collect_list("_ti").alias("idx"), F.collect_list("w2").alias("val"))
+        # dense train rows are n_hot wide: keep a block within ~256 MB
+        per_block = max(1, min(cell_docs, (256 << 20) // (8 * max(n_hot, 1))))
+        n_b = max(1, -(-hb.count() // per_block))
+        n_c = max(1, -(-ha.count() // cell_docs))
+        qa = (ha.withColumnRenamed("doc1", "doc")
+              .withColumn("c", F.pmod(F.xxhash64("doc"), F.lit(n_c)))
+              .withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n_b - 1)))))
+        tb = (hb.withColumnRenamed("doc2", "doc")
+              .withColumn("b", F.pmod(F.xxhash64("doc"), F.lit(n_b)))
+              .withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(n_c - 1)))))
+        schema = (f"doc1 {test.schema['doc'].dataType.simpleString()}, "
+                  f"doc2 {train.schema['doc'].dataType.simpleString()}, dot double")
+        hot_dots = (qa.groupBy("c", "b").cogroup(tb.groupBy("c", "b"))
+                    .applyInPandas(_hot_cell_dots, schema))
+        dots = cold_dots.unionByName(hot_dots).groupBy("doc1", "doc2").agg(F.sum("dot").alias("dot"))
     n1 = a.groupBy("doc1").agg(F.sqrt(F.sum(F.col("w1") * F.col("w1"))).alias("norm1"))
     n2 = b.groupBy("doc2").agg(F.sqrt(F.sum(F.col("w2") * F.col("w2"))).alias("norm2"))
     return (dots.join(n1, "doc1").join(n2, "doc2")

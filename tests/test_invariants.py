@@ -147,3 +147,18 @@ def test_hot_key_previous_row_and_duplicates(spark):
     from loomstat.operators.clean import duplicate_flags
     d = duplicate_flags(df.select("id", (F.col("user") == 0).cast("string").alias("t")), ["t"], "id")
     assert d.filter(~F.col("is_duplicate")).count() == 2
+
+
+def test_cosine_hot_terms_blocked_equals_term_join(spark):
+    from loomstat.operators import similarity
+    rng = np.random.default_rng(3)
+    rows_tr = [(f"d{d}", f"t{t}", int(rng.integers(1, 4))) for d in range(12) for t in range(40)
+               if rng.random() < (0.9 if t < 5 else 0.2)]
+    rows_te = [(f"d{d}", f"t{t}", int(rng.integers(1, 4))) for d in range(9) for t in range(40)
+               if rng.random() < (0.9 if t < 5 else 0.2)]
+    tr = spark.createDataFrame(rows_tr, "doc string, term string, n long")
+    te = similarity.closed_vocabulary(spark.createDataFrame(rows_te, "doc string, term string, n long"), tr)
+    cold = {(r[0], r[1]): r[2] for r in similarity.cosine_pairs(te, tr).collect()}
+    hot = {(r[0], r[1]): r[2] for r in similarity.cosine_pairs(te, tr, hot_pairs=20, cell_docs=4).collect()}
+    assert set(cold) == set(hot)
+    assert all(math.isclose(cold[k], hot[k], rel_tol=1e-12) for k in cold)
