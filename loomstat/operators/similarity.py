@@ -86,12 +86,17 @@ def cosine_pairs(test: DataFrame, train: DataFrame, w: str = "n",
     d2 = b.groupBy("term").agg(F.count(F.lit(1)).alias("_d2"))
     cost = d1.join(d2, "term").select("term", (F.col("_d1") * F.col("_d2") > hot_pairs).alias("_hot"))
     cost = cost.persist()
-    cold = cost.filter(~F.col("_hot")).select("term")
     hot = cost.filter(F.col("_hot")).select("term")
-    cold_dots = (a.join(cold, "term", "left_semi").join(b.join(cold, "term", "left_semi"), "term")
+    any_hot = hot.limit(1).count() > 0
+    if any_hot:
+        cold = cost.filter(~F.col("_hot")).select("term")
+        a_c, b_c = a.join(cold, "term", "left_semi"), b.join(cold, "term", "left_semi")
+    else:
+        a_c, b_c = a, b
+    cold_dots = (a_c.join(b_c, "term")
                  .groupBy("doc1", "doc2").agg(F.sum(F.col("w1") * F.col("w2")).alias("dot")))
     dots = cold_dots
-    if hot.limit(1).count() > 0:
+    if any_hot:
         hot_idx = ordered_index(hot, ["term"], "_ti")
         n_hot = hot_idx.count()
         ha = a.join(hot_idx, "term").groupBy("doc1").agg(
