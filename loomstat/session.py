@@ -56,9 +56,35 @@ def build_session(master: str | None = None, app: str = "loomstat",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``loomstat`` importable in executor Python workers.
+
+    pandas UDFs and ``applyInPandas`` functions live in this package; on a
+    cluster the executors do not have the source tree, so the package is
+    zipped once per session and handed to ``addPyFile`` (Spark distributes
+    it with the job).
+    """
+    import zipfile
+    sc = spark.sparkContext
+    if getattr(sc, "_loomstat_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="loomstat-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
+    sc._loomstat_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
