@@ -261,7 +261,8 @@ def json_nested_pairs(spark, d):
     m = monthly_sum_by_category(spark, d).withColumn("year", F.substring("month", 4, 4))
     item = F.concat(F.lit("["), F.to_json(F.array("month", "category")), F.lit(","),
                     F.col("total").cast("string"), F.lit("]"))
-    docs = m.groupBy("year").agg(
+    # one document per (year, category): at most 12 entries each
+    docs = m.groupBy("year", "category").agg(
         F.concat(F.lit("["), F.array_join(F.collect_list(item), ","), F.lit("]")).alias("doc"))
     r = S.explode_json_nested_pairs(docs, "doc", ("month", "category", "total_text"))
     return r.select("month", "category", F.col("total_text").try_cast("double").alias("total"))
