@@ -28,7 +28,7 @@ def vectors(df: DataFrame, arr: str, out: str = "raw") -> DataFrame:
     return df.withColumn(out, array_to_vector(F.col(arr).cast("array<double>")))
 
 
-def scaled_pipeline(estimator, with_mean: bool = True) -> Pipeline:
+def scaled_model(estimator, with_mean: bool = True) -> Pipeline:
     """M1: ``StandardScaler`` then the estimator. (MLlib divides by the
     sample deviation; sklearn by the population one - 2.9-12.)"""
     return Pipeline(stages=[StandardScaler(inputCol="raw", outputCol="features",
@@ -63,7 +63,7 @@ def fit_predict(train: DataFrame, test: DataFrame, est, keep: list[str],
     ``scale=False`` fits on ``raw`` directly (sparse text counts: centring
     would densify the vectors)."""
     if scale:
-        model = scaled_pipeline(est).fit(train)
+        model = scaled_model(est).fit(train)
     else:
         model = Pipeline(stages=[est.copy().setFeaturesCol("raw")]).fit(train)
     lab = est.getLabelCol()
@@ -88,7 +88,7 @@ def grid_search(train: DataFrame, est, grid: dict, fold_col: str, num_folds: int
         pg = pg.addGrid(getattr(est, param), values)
     params = pg.build()
     ev = MulticlassClassificationEvaluator(labelCol=est.getLabelCol(), metricName=metric)
-    cv = CrossValidator(estimator=scaled_pipeline(est), estimatorParamMaps=params,
+    cv = CrossValidator(estimator=scaled_model(est), estimatorParamMaps=params,
                         evaluator=ev, foldCol=fold_col, numFolds=num_folds,
                         parallelism=parallelism)
     model = cv.fit(train)
