@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomstat.operators.joins import attach_row
 from loomstat.operators.sampling import ordered_index
 
 
@@ -165,10 +166,37 @@ def ir_scores(ranks: DataFrame) -> DataFrame:
                      F.count(F.lit(1)).alias("n_queries"))
 
 
-def extreme_pairs(pairs: DataFrame) -> DataFrame:
-    """Most and least similar (doc1, doc2) among scored pairs."""
+def extreme_pairs(pairs: DataFrame, test_docs: DataFrame | None = None,
+                  train_docs: DataFrame | None = None) -> DataFrame:
+    """Most and least similar (doc1, doc2) over all test x train
+    pairs (ties: larger names for the maximum, smaller for the minimum).
+
+    Pairs sharing no term have similarity 0 and are not enumerated: given
+    the document lists, the first test document with fewer scored partners
+    than there are training documents, and its first unscored training
+    document, give the zero-similarity minimum.
+    """
     s = F.struct("similarity", "doc1", "doc2")
-    return pairs.agg(F.max(s).alias("hi"), F.min(s).alias("lo")).select(
+    ext = pairs.agg(F.max(s).alias("hi"), F.min(s).alias("lo"))
+    if test_docs is not None and train_docs is not None:
+        d1 = test_docs.select(F.col("doc").alias("doc1")).distinct()
+        d2 = train_docs.select(F.col("doc").alias("doc2")).distinct()
+        n2 = d2.agg(F.count(F.lit(1)).alias("_n2"))
+        deg = pairs.groupBy("doc1").agg(F.count(F.lit(1)).alias("_deg"))
+        short = (d1.join(deg, "doc1", "left").join(F.broadcast(n2), how="inner")
+                 .filter(F.coalesce("_deg", F.lit(0)) < F.col("_n2"))
+                 .agg(F.min("doc1").alias("_z1")))
+        z1 = short.filter(F.col("_z1").isNotNull())
+        z2 = (d2.join(F.broadcast(z1), how="inner")
+              .join(pairs.select("doc1", "doc2"),
+                    (F.col("doc1") == F.col("_z1")) & (d2["doc2"] == pairs["doc2"]), "left_anti")
+              .agg(F.min(d2["doc2"]).alias("_z2")))
+        zero = attach_row(z1, z2).select(
+            F.struct(F.lit(0.0).alias("similarity"), F.col("_z1").alias("doc1"),
+                     F.col("_z2").alias("doc2")).alias("_zero"))
+        ext = ext.join(F.broadcast(zero), how="left").select(
+            "hi", F.when(F.col("_zero").isNotNull(), F.col("_zero")).otherwise(F.col("lo")).alias("lo"))
+    return ext.select(
         F.col("hi.doc1").alias("max_doc1"), F.col("hi.doc2").alias("max_doc2"),
         F.col("hi.similarity").alias("max_similarity"),
         F.col("lo.doc1").alias("min_doc1"), F.col("lo.doc2").alias("min_doc2"),

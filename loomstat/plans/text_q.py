@@ -223,12 +223,12 @@ def similarity_pivot(spark, d):
 SELECT * FROM
  (SELECT doc1 AS max_doc1, doc2 AS max_doc2, round(similarity, 6) AS max_similarity FROM pairs
   ORDER BY similarity DESC, doc1 DESC, doc2 DESC LIMIT 1),
- (SELECT doc1 AS min_doc1, doc2 AS min_doc2, round(similarity, 6) AS min_similarity FROM pairs
+ (SELECT doc1 AS min_doc1, doc2 AS min_doc2, round(similarity, 6) AS min_similarity FROM allp
   ORDER BY similarity, doc1, doc2 LIMIT 1)""")
 def extreme_pairs(spark, d):
     """Most and least similar scored pair."""
     train, test = _retrieval_vectors(spark, d)
-    e = similarity.extreme_pairs(similarity.cosine_pairs(test, train))
+    e = similarity.extreme_pairs(similarity.cosine_pairs(test, train), test, train)
     return e.select("max_doc1", "max_doc2", F.round("max_similarity", 6).alias("max_similarity"),
                     "min_doc1", "min_doc2", F.round("min_similarity", 6).alias("min_similarity"))
 

@@ -170,3 +170,12 @@ def test_report_class_never_predicted(spark):
     conf = metrics.confusion_long(df, "label", "prediction", [0, 1])
     pc = {r["cls"]: r for r in metrics.per_class(conf).collect()}
     assert pc[1]["precision"] == 0.0 and pc[1]["recall"] == 0.0
+
+
+def test_extreme_pairs_counts_unscored_zero_pairs(spark):
+    train = spark.createDataFrame([("a", "x", 1), ("b", "y", 1), ("c", "x", 1)], "doc string, term string, n long")
+    test = spark.createDataFrame([("a", "x", 1), ("b", "x", 1), ("b", "y", 1)], "doc string, term string, n long")
+    e = similarity.extreme_pairs(similarity.cosine_pairs(test, train), test, train).first()
+    # test doc "a" shares no term with train doc "b": similarity 0
+    assert (e["min_doc1"], e["min_doc2"], e["min_similarity"]) == ("a", "b", 0.0)
+    assert math.isclose(e["max_similarity"], 1.0)
