@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from loomstat.llm import decontaminate
+from loomstat.llm.decontaminate import op6_fm_index_decontamination
 from loomstat.llm.jaccard_join import op10_ngram_jaccard_join
 
 QUERIES = {f.__name__: f for f in (
+    op6_fm_index_decontamination,
     op10_ngram_jaccard_join,
 )}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_fm_index_decontamination": decontaminate.ORACLE,
+}
