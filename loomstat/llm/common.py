@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.session import cut_lineage, ensure_checkpoint_dir, ship_package
+from loomstat.session import ensure_checkpoint_dir, scratch_path, ship_package
 
 SEGMENT = 2_000_000
 
@@ -45,6 +45,14 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """The rows as a table written to the shared folder: lineage ends there,
+    and so do the constraints that a checkpointed plan would carry on."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -157,16 +165,16 @@ def components(edges: DataFrame) -> DataFrame:
     Minimum-label propagation with a pointer jump in each round; only
     aggregates and equi-joins, checkpointed each round.
     """
-    both = cut_lineage(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = cut(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
                        .where("a <> b").distinct())
-    label = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
+    label = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
                         .select("node", F.least("node", "m").alias("root")))
     while True:
         near = (both.join(label, both["b"] == label["node"]).groupBy("a").agg(F.min("root").alias("m")))
         step = (label.join(near, label["node"] == near["a"])
                 .select("node", F.least("root", "m").alias("root"), F.col("root").alias("old")))
         up = label.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        new = cut_lineage(step.join(up, "root", "left")
+        new = cut(step.join(up, "root", "left")
                           .select("node", F.coalesce(F.least("root", "top"), "root").alias("root"), "old"))
         moved = new.where("root <> old").limit(1).count()
         label = new.select("node", "root")

@@ -29,7 +29,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomstat.llm import common as C
-from loomstat.session import cut_lineage
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
@@ -282,7 +281,7 @@ def contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_
     blocks = [spark.sparkContext.broadcast(p) for p in _blocks(bench, window, block_words)]
     if len(blocks) == 1:
         return _scan(rows, blocks[0]).select("doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"), "items", "spans")
-    rows = cut_lineage(rows)  # the row numbers must be the same in each pass
+    rows = C.cut(rows)  # the row numbers must be the same in each pass
     out = None
     for p in blocks:
         one = _scan(rows, p)

@@ -39,7 +39,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomstat.llm import common as C
-from loomstat.session import cut_lineage
 
 WORDS_KEPT = 200_000     # rows of the table of common words, at most
 SHINGLES_KEPT = 200_000  # rows of the table of common shingles, at most
@@ -92,7 +91,7 @@ def rarity_tables(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
 
     seen = docs.select("text").mapInArrow(count, "kind int, h long, n long").groupBy("kind", "h").agg(F.sum("n").alias("n"))
     out = []
-    seen = cut_lineage(seen)
+    seen = C.cut(seen)
     for kind, most in ((0, WORDS_KEPT), (1, SHINGLES_KEPT)):
         top = seen.where(F.col("kind") == kind).orderBy(F.desc("n"), "h").limit(most).select("h").toArrow()
         out.append(np.sort(np.asarray(top.column("h")).astype(np.int64).view(np.uint64)))
@@ -148,7 +147,7 @@ def candidate_pairs(nodes: DataFrame, t: int) -> DataFrame:
     """``(a, b, star)`` of ``nodes(sid, n, prefix)``, one row per set."""
     tokens = nodes.select("sid", "n", F.posexplode("prefix").alias("pos", "token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    rows = cut_lineage(tokens.join(shared, "token"))
+    rows = C.cut(tokens.join(shared, "token"))
     alpha = F.ceil((F.col("x.n") + F.col("y.n")) * t / (100.0 + t) - 1e-6)  # links need this overlap
     a, b = rows.where(f"c <= {BUCKET}").alias("x"), rows.where(f"c <= {BUCKET}").alias("y")
     pairs = (a.join(b, F.col("x.token") == F.col("y.token"))
@@ -259,16 +258,16 @@ def links(docs: DataFrame, k: int = 3, t: int = 90) -> tuple[DataFrame, DataFram
     """
     spark = C.prepare(docs.sparkSession)
     tables = tuple(spark.sparkContext.broadcast(x) for x in rarity_tables(docs, k))  # at most 1.6 MB each
-    seen = cut_lineage(prefix_rows(docs, k, t, tables))
+    seen = C.cut(prefix_rows(docs, k, t, tables))
     nodes = (seen.where("sid is not null").groupBy("sid")
              .agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")))
-    pairs = cut_lineage(candidate_pairs(nodes, t))
+    pairs = C.cut(candidate_pairs(nodes, t))
     group = C.components(pairs)
     size = group.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
     rep = (seen.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
            .join(group, F.col("sid") == F.col("node")))
     sets = _set_rows(docs, rep.select("doc_id").distinct(), k, t, tables)
-    held = cut_lineage(group.join(size, "root").join(sets, F.col("node") == F.col("sid")).drop("node"))
+    held = C.cut(group.join(size, "root").join(sets, F.col("node") == F.col("sid")).drop("node"))
     body = ["sid", "tokens", "p1", "p2"]
     small = held.where(f"members <= {CELL}").select(F.col("root").alias("cell"), F.lit(1).alias("side"), *body)
     found = _verify(small, t)
@@ -278,9 +277,9 @@ def links(docs: DataFrame, k: int = 3, t: int = 90) -> tuple[DataFrame, DataFram
             block = F.pmod(F.xxhash64("sid", F.lit(r)), F.ceil(F.col("members") / CELL))
             cell = F.concat("root", F.encode(F.concat(F.lit(f"/{r}/"), block.cast("string")), "utf-8"))
             found = found.union(_verify(large.select(cell.alias("cell"), F.lit(1).alias("side"), *body), t))
-        found = cut_lineage(found)
+        found = C.cut(found)
         found = found.union(_outsiders(large, found, t))
-    edges = cut_lineage(found)
+    edges = C.cut(found)
     return seen.select("doc_id", "n", "sid"), C.components(edges)
 
 
@@ -292,7 +291,7 @@ def _outsiders(large: DataFrame, found: DataFrame, t: int) -> DataFrame:
         .select("root", "members", "sid", F.coalesce("comp", "sid").alias("comp"))
     per = at.groupBy("root", "comp").agg(F.count(F.lit(1)).alias("c"))
     main = per.groupBy("root").agg(F.max(F.struct("c", "comp")).alias("m"))
-    out = cut_lineage(at.join(main, "root").where("comp <> m.comp").select("root", "members", "sid"))
+    out = C.cut(at.join(main, "root").where("comp <> m.comp").select("root", "members", "sid"))
     count = out.groupBy("root").agg(F.count(F.lit(1)).alias("outside"))
     chunk = lambda n: F.ceil(F.col(n) / CELL)
     name = lambda i, j: F.concat("root", F.encode(F.concat_ws("/", F.lit(""), i.cast("string"), j.cast("string")), "utf-8"))
