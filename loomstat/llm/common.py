@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from loomstat.session import ensure_checkpoint_dir, scratch_path, ship_package
 
-SEGMENT = 2_000_000
+SEGMENT = 250_000
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32

@@ -42,6 +42,7 @@ from loomstat.llm import common as C
 
 WORDS_KEPT = 200_000     # rows of the table of common words, at most
 SHINGLES_KEPT = 200_000  # rows of the table of common shingles, at most
+SLOT_BITS = 22           # hash slots of either table, as a power of two
 BUCKET = 64              # rows of a token that are paired directly
 CELL = 256               # sets compared in one block
 ROUNDS = 4               # random dealings of a large group
@@ -59,15 +60,45 @@ def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def _documents(batch: pa.RecordBatch, k: int):
-    """Per row: ``(row, word hashes, sorted distinct shingles, index of each shingle's first word)``."""
+def _documents(batch: pa.RecordBatch, k: int, tables: tuple[np.ndarray, np.ndarray] | None = None):
+    """Per row with words: ``(row, sorted distinct shingles)``.
+
+    The low three bits of a shingle hold its grade in the orders: 7 for a
+    common shingle, else 3 less the number of its uncommon words (at most 3).
+    """
     data, offs = C.buffer(batch.column("text"))
     for i, j in C.groups(offs):
         h, _, _, first = C.words(data, offs[i:j + 1], C.SPACES)
+        whole = _graded(h, k, tables) if len(h) >= k else None
         for r in range(i, j):
-            w = h[first[r - i]:first[r - i + 1]]
-            s, at = np.unique(shingle_hashes(w, k), return_index=True)
-            yield r, w, s, at
+            a, z = first[r - i], first[r - i + 1]
+            if z - a >= k:
+                yield r, _distinct(whole[a:z - k + 1])
+            elif z > a:
+                yield r, _graded(h[a:z], k, tables)
+
+
+def _distinct(s: np.ndarray) -> np.ndarray:
+    s = np.sort(s)
+    keep = np.empty(len(s), bool)
+    keep[:1] = True
+    np.not_equal(s[1:], s[:-1], out=keep[1:])
+    return s[keep]
+
+
+def _slot(x: np.ndarray) -> np.ndarray:
+    return (x >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def _graded(h: np.ndarray, k: int, tables) -> np.ndarray:
+    s = shingle_hashes(h, k) & ~np.uint64(7)
+    if tables is None:
+        return s
+    common, hot = tables
+    rare = np.concatenate([[0], np.cumsum(~common[_slot(h)])])
+    m = min(k, len(h))
+    rare = rare[m:] - rare[:len(rare) - m]
+    return s | np.where(hot[_slot(s)], 7, 3 - np.minimum(rare, 3)).astype(np.uint64)
 
 
 def _digest(s: np.ndarray) -> bytes:
@@ -75,52 +106,48 @@ def _digest(s: np.ndarray) -> bytes:
 
 
 def rarity_tables(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of the commonest words and shingles (bounded)."""
+    """Which hash slots the commonest words and shingles fall in: two boolean
+    tables of ``2 ** SLOT_BITS`` entries, whatever the size of the corpus."""
     def count(batches):
         for b in batches:
-            words, shingles = [], []
-            for _, w, s, _ in _documents(b, k):
-                words.append(w)
-                shingles.append(s)
-            for kind, parts in ((0, words), (1, shingles)):
-                if parts:
-                    u, c = np.unique(np.concatenate(parts), return_counts=True)
-                    u, c = u[c >= 4], c[c >= 4]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u), kind, np.int32)), pa.array(u.view(np.int64)), pa.array(c)],
-                                                     names=["kind", "h", "n"])
-
-    seen = docs.select("text").mapInArrow(count, "kind int, h long, n long").groupBy("kind", "h").agg(F.sum("n").alias("n"))
+            data, offs = C.buffer(b.column("text"))
+            parts = [C.words(data, offs[i:j + 1], C.SPACES)[0] for i, j in C.groups(offs)]
+            words = np.bincount(_slot(np.concatenate(parts)), minlength=1) if parts else np.zeros(1, np.int64)
+            shingles = [s for _, s in _documents(b, k)]
+            u, c = np.unique(np.concatenate(shingles), return_counts=True) if shingles else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            often = c >= 4
+            for kind, slot, n in ((0, np.flatnonzero(words >= 4), words[words >= 4]), (1, _slot(u[often]), c[often])):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(slot), kind, np.int32)), pa.array(slot, pa.int64()), pa.array(n, pa.int64())],
+                                                 names=["kind", "slot", "n"])
+
+    seen = C.cut(docs.select("text").mapInArrow(count, "kind int, slot long, n long").groupBy("kind", "slot").agg(F.sum("n").alias("n")))
     out = []
-    seen = C.cut(seen)
     for kind, most in ((0, WORDS_KEPT), (1, SHINGLES_KEPT)):
-        top = seen.where(F.col("kind") == kind).orderBy(F.desc("n"), "h").limit(most).select("h").toArrow()
-        out.append(np.sort(np.asarray(top.column("h")).astype(np.int64).view(np.uint64)))
+        top = seen.where(F.col("kind") == kind).orderBy(F.desc("n"), "slot").limit(most).select("slot").toArrow()
+        table = np.zeros(1 << SLOT_BITS, bool)
+        table[np.asarray(top.column("slot")).astype(np.int64)] = True
+        out.append(table)
     return out[0], out[1]
 
 
-def _found(table: np.ndarray, x: np.ndarray) -> np.ndarray:
-    if not len(table) or not len(x):
-        return np.zeros(len(x), bool)
-    at = np.searchsorted(table, x)
-    at[at == len(table)] = 0
-    return table[at] == x
-
-
-def order_keys(s: np.ndarray, rare: np.ndarray, hot: np.ndarray, seed: np.uint64) -> np.ndarray:
-    """Position of each token in one global order (smaller is earlier): hot
-    shingles last, shingles with more rare words first, ties by a seeded hash."""
-    grade = np.where(hot, 7, 3 - np.minimum(rare, 3)).astype(np.uint64)
-    return (C.mix(s ^ seed) >> np.uint64(3)) | (grade << np.uint64(61))
+def order_keys(s: np.ndarray, seed: np.uint64) -> np.ndarray:
+    """Position of each shingle in one global order (smaller is earlier): by
+    grade, ties by a seeded hash."""
+    return (C.mix(s ^ seed) >> np.uint64(3)) | (s << np.uint64(61))
 
 
 def _prefix(n: int, t: int) -> int:
     return n - (t * n + 99) // 100 + 1
 
 
-def _graded(w: np.ndarray, s: np.ndarray, at: np.ndarray, k: int, common: np.ndarray, hot: np.ndarray):
-    odd = np.concatenate([[0], np.cumsum(~_found(common, w))])
-    m = min(k, len(w))
-    return odd[at + m] - odd[at], _found(hot, s)
+def _first(s: np.ndarray, t: int, seed: np.uint64) -> np.ndarray:
+    """Prefix of a set under one order, in that order."""
+    keys = order_keys(s, seed)
+    p = _prefix(len(s), t)
+    if p < len(s):
+        at = np.argpartition(keys, p - 1)[:p]
+        return s[at[np.argsort(keys[at])]]
+    return s[np.argsort(keys)]
 
 
 def prefix_rows(docs: DataFrame, k: int, t: int, tables) -> DataFrame:
@@ -130,12 +157,8 @@ def prefix_rows(docs: DataFrame, k: int, t: int, tables) -> DataFrame:
     def emit(batches):
         for b in batches:
             n, sid, pre = np.zeros(b.num_rows, np.int64), [None] * b.num_rows, [None] * b.num_rows
-            c, f = common.value, hot.value
-            for r, w, s, at in _documents(b, k):
-                if len(s):
-                    n[r], sid[r] = len(s), _digest(s)
-                    keys = order_keys(s, *_graded(w, s, at, k, c, f), SEEDS[0])
-                    pre[r] = s[np.argsort(keys, kind="stable")[:_prefix(len(s), t)]].view(np.int64)
+            for r, s in _documents(b, k, (common.value, hot.value)):
+                n[r], sid[r], pre[r] = len(s), _digest(s), _first(s, t, SEEDS[0]).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), pa.array(sid, pa.binary()), pa.array(pre, pa.list_(pa.int64()))],
                                              names=["doc_id", "n", "sid", "prefix"])
 
@@ -207,14 +230,11 @@ def _set_rows(docs: DataFrame, wanted: DataFrame, k: int, t: int, tables) -> Dat
     def emit(batches):
         for b in batches:
             sid, tok, one, two = [], [], [], []
-            for _, w, s, at in _documents(b, k):
-                if len(s):
-                    g = _graded(w, s, at, k, common.value, hot.value)
-                    sid.append(_digest(s))
-                    tok.append(s.tobytes())
-                    for out, seed in ((one, SEEDS[1]), (two, SEEDS[2])):
-                        keys = order_keys(s, *g, seed)
-                        out.append(s[np.argsort(keys, kind="stable")[:_prefix(len(s), t)]].tobytes())
+            for _, s in _documents(b, k, (common.value, hot.value)):
+                sid.append(_digest(s))
+                tok.append(s.tobytes())
+                one.append(_first(s, t, SEEDS[1]).tobytes())
+                two.append(_first(s, t, SEEDS[2]).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in (sid, tok, one, two)], names=["sid", "tokens", "p1", "p2"])
 
     want = wanted.select(F.col("doc_id").alias("want"))
@@ -257,7 +277,7 @@ def links(docs: DataFrame, k: int = 3, t: int = 90) -> tuple[DataFrame, DataFram
     ``components`` covers the sets that are linked with another set.
     """
     spark = C.prepare(docs.sparkSession)
-    tables = tuple(spark.sparkContext.broadcast(x) for x in rarity_tables(docs, k))  # at most 1.6 MB each
+    tables = tuple(spark.sparkContext.broadcast(x) for x in rarity_tables(docs, k))  # 4 MB each, fixed
     seen = C.cut(prefix_rows(docs, k, t, tables))
     nodes = (seen.where("sid is not null").groupBy("sid")
              .agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")))
