@@ -265,10 +265,16 @@ class Codec:
         except UnicodeEncodeError:
             return _wide().findall(chunk)
 
+    def _chunks(self, text: str) -> list[str] | None:
+        """Cut at spaces that always start a piece (a space after a character
+        that is no white space); None if the text needs the general way."""
+        if any(a in text for a in self.added) or not text.isascii() and _wide_space(text):
+            return None
+        return _CUT.split(text) if _ODD_SPACE.search(text) else text.split(" ")
+
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
         """``encode`` of each text; new chunks of all of them are merged together."""
-        plain = [not (_ODD_SPACE.search(t) or any(a in t for a in self.added) or not t.isascii() and _wide_space(t)) for t in texts]
-        parts = [t.split(" ") if p else None for t, p in zip(texts, plain)]
+        parts = [self._chunks(t) for t in texts]
         seen = set().union(*(p[1:] for p in parts if p))
         if len(self.inner) + len(seen) > CACHED:
             self.inner.clear()
@@ -278,9 +284,10 @@ class Codec:
         found = [self._pieces_of(" " + c) for c in new]
         todo = list({x for f in found for x in f if x not in self.pieces})
         for x, ids in zip(todo, self.merges.merge_many([x.encode() for x in todo])):
-            dict.__setitem__(self.pieces, x, ids)
+            self.pieces[x] = ids
+        piece = self.pieces.__getitem__
         for c, f in zip(new, found):
-            dict.__setitem__(self.inner, c, b"".join(map(self.pieces.__getitem__, f)))
+            self.inner[c] = piece(f[0]) if len(f) == 1 else b"".join(map(piece, f))
         inner = self.inner.__getitem__
         out = []
         for t, p in zip(texts, parts):
@@ -291,13 +298,9 @@ class Codec:
         return out
 
     def _plain(self, text: str) -> bytes:
-        # A space after a character that is no white space always starts a piece.
-        if _ODD_SPACE.search(text) or not text.isascii() and _wide_space(text):
-            if not text.isascii() and _wide_space(text):
-                return self._split(text)
-            first, *rest = _CUT.split(text)
-        else:
-            first, *rest = text.split(" ")
+        if not text.isascii() and _wide_space(text):
+            return self._split(text)
+        first, *rest = _CUT.split(text)
         if max(map(len, rest), default=0) > 256 or len(first) > 256:
             return b"".join([self._split(first), *(self._split(" " + c) if len(c) > 256 else self.inner[c] for c in rest)])
         return b"".join([self.outer[first], *map(self.inner.__getitem__, rest)])

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from loomstat.llm import decontaminate
+from loomstat.llm.bpe_stream import op4_bpe_round_trip
 from loomstat.llm.decontaminate import op6_fm_index_decontamination
 from loomstat.llm.jaccard_join import op10_ngram_jaccard_join
 from loomstat.llm.token_output import op5_token_output
 
 QUERIES = {f.__name__: f for f in (
+    op4_bpe_round_trip,
     op5_token_output,
     op6_fm_index_decontamination,
     op10_ngram_jaccard_join,
