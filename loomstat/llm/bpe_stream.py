@@ -57,8 +57,6 @@ def _pattern(letter: str, number: str, space: str) -> str:
 
 
 _LATIN = re.compile(_pattern(*_L1))
-_ODD_SPACE = re.compile(r"[\t-\r \x85\xa0] ")          # a space after white space
-_CUT = re.compile(r"(?<=[^\t-\r \x85\xa0]) ")          # a space after anything else
 
 
 @lru_cache(maxsize=1)
@@ -138,7 +136,7 @@ class Merges:
         for n, which in by.items():
             if n > SHORT or len(which) < 4:
                 for k in which:
-                    out[k] = np.array(self.merge(raws[k]), "<i4").tobytes()
+                    out[k] = np.array(self.encode(raws[k]), "<i4").tobytes()
                 continue
             ids = self.first[np.frombuffer(b"".join(raws[k] for k in which), np.uint8)].reshape(-1, n) if n else np.zeros((len(which), 0), np.int32)
             row, length = np.arange(len(which)), np.full(len(which), n)
@@ -224,18 +222,6 @@ class TextDecoder:
         return self.state.decode(b"".join(map(self.of, ids)), last)
 
 
-class _Cache(dict):
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, key):
-        if len(self) >= CACHED:
-            self.clear()
-        out = self[key] = self.make(key)
-        return out
-
-
 class Codec:
     """Text to ids and back for a byte-level vocabulary file."""
 
@@ -247,73 +233,48 @@ class Codec:
         for content, i in self.added.items():
             self.merges.text[i] = content.encode()
         self.find = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
-        self.pieces = _Cache(lambda p: np.array(self.merges.encode(p.encode()), "<i4").tobytes())
-        self.inner = _Cache(lambda c: self._split(" " + c))  # chunks that follow a space
-        self.outer = _Cache(self._split)
-
-    def _piece(self, piece: str) -> bytes:
-        # long pieces are rare and go through the transducer without being kept
-        return self.pieces[piece] if len(piece) <= 256 else np.array(self.merges.encode(piece.encode()), "<i4").tobytes()
+        self.pieces: dict[str, bytes] = {}
 
-    def _split(self, chunk: str) -> bytes:
-        return b"".join(map(self._piece, self._pieces_of(chunk)))
-
-    def _pieces_of(self, chunk: str) -> list[str]:
+    def _pieces_of(self, text: str) -> list[str]:
         try:
-            chunk.encode("latin-1")
-            return _LATIN.findall(chunk)
+            text.encode("latin-1")
+            return _LATIN.findall(text)
         except UnicodeEncodeError:
-            return _wide().findall(chunk)
-
-    def _chunks(self, text: str) -> list[str] | None:
-        """Cut at spaces that always start a piece (a space after a character
-        that is no white space); None if the text needs the general way."""
-        if any(a in text for a in self.added) or not text.isascii() and _wide_space(text):
-            return None
-        return _CUT.split(text) if _ODD_SPACE.search(text) else text.split(" ")
+            return _wide().findall(text)
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of texts without added tokens; the new pieces of all of
+        them are merged together."""
+        found = [self._pieces_of(t) for t in texts]
+        new = [p for p in set().union(*found) if p not in self.pieces]
+        if len(self.pieces) + len(new) > CACHED:
+            self.pieces.clear()
+            new = list(set().union(*found))
+        raws = [p.encode() for p in new]
+        ids = self.pieces.__getitem__
+        self.pieces.update(zip(new, self.merges.merge_many(raws)))
+        out = [b"".join(map(ids, f)) for f in found]
+        for p, r in zip(new, raws):
+            if len(r) > 256:  # long pieces are not kept
+                del self.pieces[p]
+        return out
 
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
-        """``encode`` of each text; new chunks of all of them are merged together."""
-        parts = [self._chunks(t) for t in texts]
-        seen = set().union(*(p[1:] for p in parts if p))
-        if len(self.inner) + len(seen) > CACHED:
-            self.inner.clear()
-        if len(self.pieces) > CACHED:
-            self.pieces.clear()
-        new = [c for c in seen if c not in self.inner and len(c) <= 256]
-        found = [self._pieces_of(" " + c) for c in new]
-        todo = list({x for f in found for x in f if x not in self.pieces})
-        for x, ids in zip(todo, self.merges.merge_many([x.encode() for x in todo])):
-            self.pieces[x] = ids
-        piece = self.pieces.__getitem__
-        for c, f in zip(new, found):
-            self.inner[c] = piece(f[0]) if len(f) == 1 else b"".join(map(piece, f))
-        inner = self.inner.__getitem__
+        """Ids of each text."""
+        whole = [self.find is None or not any(a in t for a in self.added) for t in texts]
+        packed = iter(self._plain([t for t, w in zip(texts, whole) if w]))
         out = []
-        for t, p in zip(texts, parts):
-            if not p or len(p[0]) > 256 or max(map(len, p)) > 256:
-                out.append(self.encode(t))
-            else:
-                out.append(np.frombuffer(b"".join([self.outer[p[0]], *map(inner, p[1:])]), "<i4"))
+        for t, w in zip(texts, whole):
+            if w:
+                out.append(np.frombuffer(next(packed), "<i4"))
+                continue
+            parts = self.find.split(t)
+            plain = iter(self._plain([p for p in parts if p not in self.added]))
+            out.append(np.frombuffer(b"".join(np.array([self.added[p]], "<i4").tobytes() if p in self.added else next(plain) for p in parts), "<i4"))
         return out
 
-    def _plain(self, text: str) -> bytes:
-        if not text.isascii() and _wide_space(text):
-            return self._split(text)
-        first, *rest = _CUT.split(text)
-        if max(map(len, rest), default=0) > 256 or len(first) > 256:
-            return b"".join([self._split(first), *(self._split(" " + c) if len(c) > 256 else self.inner[c] for c in rest)])
-        return b"".join([self.outer[first], *map(self.inner.__getitem__, rest)])
-
     def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, "<i4")
-        if self.find is None or not any(a in text for a in self.added):
-            return np.frombuffer(self._plain(text), "<i4")
-        out = []
-        for part in self.find.split(text):
-            out.append(np.array([self.added[part]], "<i4").tobytes() if part in self.added else self._plain(part) if part else b"")
-        return np.frombuffer(b"".join(out), "<i4")
+        return self.encode_many([text])[0]
 
     def decode(self, ids: list[int]) -> str:
         machine = TextDecoder(self.merges.text)
@@ -322,13 +283,6 @@ class Codec:
         return "".join([*(machine.feed(ids[i:i + BLOCK]) for i in range(0, len(ids), BLOCK)), machine.feed([], True)])
 
 
-_WIDE_SPACE = re.compile("[  -     　]")
-
-
-def _wide_space(text: str) -> bool:
-    return _WIDE_SPACE.search(text) is not None
-
-
 def _portions(texts: list[str | None], size: int = 1_000_000):
     """Consecutive texts of about ``size`` characters together."""
     held, n = [], 0
