@@ -5,7 +5,7 @@ Base rules give exact spans (``base_spans``). Around them the generators of
 ``RUN`` neighbouring parts of a digit cluster, dotted quads, and anything
 around an at sign. Boosted trees, one model for each kind, score a candidate by
 its format (digit and separator counts, check digit, group sizes) and its
-context (neighbouring characters, digits close by). Training is weakly
+context (neighbouring characters, the word before). Training is weakly
 supervised on a bounded sample: a candidate that equals a base span is
 positive; other candidates are negative, except those inside a base match that
 was dropped as a whole, whose truth is unknown - these are what the trees are
@@ -142,13 +142,13 @@ def features(text: str, s: int, e: int) -> list[float]:
     body = text[s:e]
     d = _digits(body)
     groups = [len(g) for g in re.findall("[0-9]+", body)]
-    before, after = text[max(0, s - 20):s], text[e:e + 20]
+    before = text[max(0, s - 20):s]
     word = before.split(" ")[-1] if before else ""
     return [e - s, len(d), len(groups), max(groups, default=0), min(groups, default=0), groups[0] if groups else 0, groups[-1] if groups else 0,
             body.count(" "), body.count("-"), body.count("."), body.count("(") + body.count(")"), body[:1] == "+",
             bool(d) and len(d) < 40 and luhn(d), bool(d) and "." in body and not re.search("[^0-9.]", body) and _quad(body),
             int(d[0]) if d else -1, len(set(d)), sum(c.isalpha() for c in body), sum(not c.isascii() for c in body), body.count("@"),
-            _sort_of(text[s - 1:s] if s else ""), _sort_of(text[e:e + 1]), before[-2:-1].isdigit(), after[1:2].isdigit(),
+            _sort_of(text[s - 1:s] if s else ""), _sort_of(text[e:e + 1]),
             len(word), word[-1:] in "=:#" and word != ""]
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from loomstat.llm import decontaminate
 from loomstat.llm.bpe_stream import op4_bpe_round_trip
+from loomstat.llm.context_tree import op8_context_tree_weighting
 from loomstat.llm.decontaminate import op6_fm_index_decontamination
 from loomstat.llm.jaccard_join import op10_ngram_jaccard_join
 from loomstat.llm.language_id import op2_byte_bigru_language
@@ -16,6 +17,7 @@ QUERIES = {f.__name__: f for f in (
     op4_bpe_round_trip,
     op5_token_output,
     op6_fm_index_decontamination,
+    op8_context_tree_weighting,
     op10_ngram_jaccard_join,
 )}
 ORACLE: dict[str, str] = {
