@@ -11,9 +11,8 @@ tokens first:
    the orders, so what is missing from them costs time and never a link.
 2. ``prefix_rows``: equal sets are folded into one node; each document emits
    its prefix under the first order.
-3. ``candidate_pairs``: rows that share a token, with length and position
-   filters. Buckets up to ``BUCKET`` rows give pairs; larger ones give a star,
-   which only marks their members as one candidate group.
+3. ``candidate_links``: rows that share a token are tied into candidate groups
+   by a number of ties linear in the rows (pairs are never all emitted).
 4. candidate groups are verified in cells of at most ``CELL`` sets. In a cell
    a pair is first tested under the other orders (both prefixes must meet in
    each of them) and then by its exact intersection. Groups above ``CELL`` are dealt
@@ -35,7 +34,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomstat.llm import common as C
@@ -43,7 +42,8 @@ from loomstat.llm import common as C
 WORDS_KEPT = 200_000     # rows of the table of common words, at most
 SHINGLES_KEPT = 200_000  # rows of the table of common shingles, at most
 SLOT_BITS = 22           # hash slots of either table, as a power of two
-BUCKET = 64              # rows of a token that are paired directly
+PAIRED = 6               # rows of a token that are paired directly
+BUCKET = 64              # rows of a token that are chained by size
 CELL = 256               # sets compared in one block
 ROUNDS = 4               # random dealings of a large group
 SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0], np.uint64)
@@ -166,22 +166,33 @@ def prefix_rows(docs: DataFrame, k: int, t: int, tables) -> DataFrame:
         emit, "doc_id long, n long, sid binary, prefix array<long>")
 
 
-def candidate_pairs(nodes: DataFrame, t: int) -> DataFrame:
-    """``(a, b, star)`` of ``nodes(sid, n, prefix)``, one row per set."""
+def candidate_links(nodes: DataFrame, t: int) -> DataFrame:
+    """Pairs ``(a, b)`` whose components hold all candidate pairs of
+    ``nodes(sid, n, prefix)`` (one row per set); linear in the prefix rows.
+
+    A bucket up to ``PAIRED`` rows gives its pairs under the length and
+    position filters; up to ``BUCKET`` rows, neighbours by size under the
+    length filter (between two sizes that pass, all neighbours pass); a larger
+    one, a star.
+    """
     tokens = nodes.select("sid", "n", F.posexplode("prefix").alias("pos", "token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     rows = C.cut(tokens.join(shared, "token"))
+    fits = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * t
     alpha = F.ceil((F.col("x.n") + F.col("y.n")) * t / (100.0 + t) - 1e-6)  # links need this overlap
-    a, b = rows.where(f"c <= {BUCKET}").alias("x"), rows.where(f"c <= {BUCKET}").alias("y")
-    pairs = (a.join(b, F.col("x.token") == F.col("y.token"))
-             .where((F.col("x.sid") < F.col("y.sid"))
-                    & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * t)
+    tiny = rows.where(f"c <= {PAIRED}")
+    pairs = (tiny.alias("x").join(tiny.alias("y"), F.col("x.token") == F.col("y.token"))
+             .where((F.col("x.sid") < F.col("y.sid")) & fits
                     & (F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) >= alpha))
              .select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")))
+    next_ = Window.partitionBy("token").orderBy("n", "sid")  # at most BUCKET rows
+    chain = (rows.where(f"c > {PAIRED} and c <= {BUCKET}")
+             .select(F.struct("n", "sid").alias("x"), F.lead(F.struct("n", "sid")).over(next_).alias("y"))
+             .where(F.col("y").isNotNull()).where(fits).select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")))
     large = rows.where(f"c > {BUCKET}")
     star = (large.join(large.groupBy("token").agg(F.min("sid").alias("hub")), "token")
             .where("sid <> hub").select(F.col("hub").alias("a"), F.col("sid").alias("b")))
-    return pairs.union(star).distinct()
+    return pairs.union(chain).union(star).distinct()
 
 
 def linked(sets: list[np.ndarray], prefixes: list[list[np.ndarray]], t: int, left: int | None = None):
@@ -281,7 +292,7 @@ def links(docs: DataFrame, k: int = 3, t: int = 90) -> tuple[DataFrame, DataFram
     seen = C.cut(prefix_rows(docs, k, t, tables))
     nodes = (seen.where("sid is not null").groupBy("sid")
              .agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")))
-    pairs = C.cut(candidate_pairs(nodes, t))
+    pairs = C.cut(candidate_links(nodes, t))
     group = C.components(pairs)
     size = group.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
     rep = (seen.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
