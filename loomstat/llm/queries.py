@@ -6,12 +6,14 @@ from loomstat.llm import decontaminate
 from loomstat.llm.bpe_stream import op4_bpe_round_trip
 from loomstat.llm.context_tree import op8_context_tree_weighting
 from loomstat.llm.decontaminate import op6_fm_index_decontamination
+from loomstat.llm.html_text import op1_line_block_extraction
 from loomstat.llm.jaccard_join import op10_ngram_jaccard_join
 from loomstat.llm.language_id import op2_byte_bigru_language
 from loomstat.llm.pii import op3_pii_boosted_candidates
 from loomstat.llm.token_output import op5_token_output
 
 QUERIES = {f.__name__: f for f in (
+    op1_line_block_extraction,
     op2_byte_bigru_language,
     op3_pii_boosted_candidates,
     op4_bpe_round_trip,
