@@ -159,6 +159,23 @@ def words(data: np.ndarray, offs: np.ndarray, sep: np.ndarray, lower: bool = Tru
     return h, s, e, np.searchsorted(s, cuts)
 
 
+def word_grams(raw: np.ndarray, start: np.ndarray, end: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Grams of words (byte ranges of ``raw``), each with its closing space:
+    ``context << 8 | byte``, with up to ``depth`` bytes of context back to the
+    space before the word, and the index of the word."""
+    n = end - start + 1
+    word = np.repeat(np.arange(len(start)), n)
+    k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)  # place in the word
+    at = np.repeat(start, n) + k
+    padded = np.concatenate([raw, [0x20]]).astype(np.int64)
+    byte = np.where(k == n[word] - 1, 0x20, padded[np.minimum(at, len(raw))])
+    key = byte
+    for d in range(1, depth + 1):  # the space before the word is context too
+        c = np.where(k >= d, padded[np.maximum(at - d, 0)], np.where(k == d - 1, 0x20, 0))
+        key = key | (c << (8 * d))
+    return key, word
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Smallest node reachable from each node of ``edges(a, b)``: ``(node, root)``.
 
