@@ -11,6 +11,7 @@ from loomstat.llm.jaccard_join import op10_ngram_jaccard_join
 from loomstat.llm.language_id import op2_byte_bigru_language
 from loomstat.llm.pii import op3_pii_boosted_candidates
 from loomstat.llm.quality import op9_kneser_ney_bands
+from loomstat.llm.suffix_dedup import op7_difference_cover_dedup
 from loomstat.llm.token_output import op5_token_output
 
 QUERIES = {f.__name__: f for f in (
@@ -20,6 +21,7 @@ QUERIES = {f.__name__: f for f in (
     op4_bpe_round_trip,
     op5_token_output,
     op6_fm_index_decontamination,
+    op7_difference_cover_dedup,
     op8_context_tree_weighting,
     op9_kneser_ney_bands,
     op10_ngram_jaccard_join,
