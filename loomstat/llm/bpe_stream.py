@@ -326,23 +326,26 @@ def decode(tokens: DataFrame, vocabulary: str = BYTE_FILE) -> DataFrame:
     return tokens.select("doc_id", "ids").mapInArrow(go, "doc_id long, text string")
 
 
-def round_trip(docs: DataFrame, vocabulary: str = BYTE_FILE) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: encodes and decodes in
-    one pass, so the ids of the whole corpus are not kept."""
+def round_trip(docs: DataFrame, vocabulary: str = BYTE_FILE, keep_ids: bool = False) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256[, ids]``: encodes and
+    decodes in one pass, so the ids of the whole corpus need not be kept."""
     def go(batches):
         c = codec(vocabulary)
         name = [str(i) for i in range(len(c.merges.text))]
         for b in batches:
-            n, one, two = [], [], []
+            n, one, two, every = [], [], [], []
             for ids in (i.tolist() for p in _portions(b.column("text").to_pylist()) for i in c.encode_many(p)):
                 n.append(len(ids))
+                if keep_ids:
+                    every.append(ids)
                 one.append(hashlib.sha256(",".join(map(name.__getitem__, ids)).encode()).hexdigest())
                 two.append(hashlib.sha256(c.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(one, pa.string()), pa.array(two, pa.string())],
-                                             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(one, pa.string()), pa.array(two, pa.string()),
+                                              *([pa.array(every, pa.list_(pa.int32()))] if keep_ids else [])],
+                                             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if keep_ids else [])])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        go, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        go, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if keep_ids else ""))
 
 
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -205,28 +205,32 @@ def _spans(starts: np.ndarray, lengths: np.ndarray, n: int) -> tuple[np.ndarray,
 SCHEMA = "_row long, doc_id long, n_words long, hits array<long>, items array<string>, spans array<array<long>>"
 
 
+def _shard(p: Phrases, b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word ids of all documents of a batch, each row's first word, and the
+    byte range of every word of the vocabulary."""
+    data, offs = C.buffer(b.column("text"))
+    parts = []
+    for i, j in C.groups(offs):
+        h, s, e, first = C.words(data, offs[i:j + 1], C.PUNCT)
+        ids = p.ids(h)
+        known = np.where(ids > 0, [s, e], 0) + np.where(ids > 0, int(offs[i]), 0)
+        parts.append((ids, first, known))
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros((2, 0), np.int64)
+    base = np.cumsum([0] + [len(x[0]) for x in parts])
+    first = np.concatenate([x[1][:-1] + o for x, o in zip(parts, base)] + [base[-1:]])
+    return np.concatenate([x[0] for x in parts]), first, np.concatenate([x[2] for x in parts], 1)
+
+
 def _scan(docs: DataFrame, phrases) -> DataFrame:
     def go(batches):
         p = phrases.value
         for b in batches:
-            data, offs = C.buffer(b.column("text"))
             rows = {"n_words": [], "hits": [], "items": [], "spans": []}
-            parts = []  # the shard: ids of all documents of the batch
-            for i, j in C.groups(offs):
-                h, s, e, first = C.words(data, offs[i:j + 1], C.PUNCT)
-                ids = p.ids(h)
-                keep = ids > 0
-                parts.append((ids.astype(np.int32), first, np.where(keep, s, 0)[keep], e[keep], keep, int(offs[i])))
-            ids = np.concatenate([x[0] for x in parts]) if parts else np.zeros(0, np.int32)
-            base = np.cumsum([0] + [len(x[0]) for x in parts])
-            first = np.concatenate([x[1][:-1] + o for x, o in zip(parts, base)] + [base[-1:]])
-            ids = ids.astype(np.int64)
+            ids, first, place = _shard(p, b)
+            offs = C.buffer(b.column("text"))[1]
             starts, lengths, found = p.find(ids, first)
             hit, lo, hi = _spans(starts, lengths, len(ids))
-            place = np.zeros((2, len(ids)), np.int64)  # byte range of the words that may be hit
-            for (_, _, s, e, keep, _), o, b0 in zip(parts, base, [x[5] for x in parts]):
-                at = np.flatnonzero(keep) + o
-                place[0, at], place[1, at] = s + b0, e + b0
             names: dict[int, set] = {}
             doc_of = np.searchsorted(first, [f[0] for f in found], "right") - 1 if found else []
             for d, (_, k, x) in zip(np.asarray(doc_of).tolist(), found):
@@ -254,6 +258,27 @@ def _scan(docs: DataFrame, phrases) -> DataFrame:
     return docs.mapInArrow(go, SCHEMA)
 
 
+def drop_contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of ``docs`` (all columns) without an occurring phrase."""
+    sc = C.prepare(docs.sparkSession).sparkContext
+    for phrases in _blocks(bench, window, block_words):
+        docs = _clean(docs, sc.broadcast(phrases))
+    return docs
+
+
+def _clean(docs: DataFrame, phrases) -> DataFrame:
+    def go(batches):
+        p = phrases.value
+        for b in batches:
+            ids, first, _ = _shard(p, b)
+            starts, _, _ = p.find(ids, first)
+            keep = np.ones(b.num_rows, bool)
+            keep[np.searchsorted(first, starts, "right") - 1] = False
+            yield b.filter(pa.array(keep))
+
+    return docs.mapInArrow(go, docs.schema)
+
+
 def _blocks(bench: DataFrame, window: int, block_words: int):
     """Phrases of the benchmark, at most about ``block_words`` words at a time."""
     size = bench.agg(F.sum(F.length("text"))).first()[0] or 0

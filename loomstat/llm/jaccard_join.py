@@ -350,5 +350,14 @@ def near_components(docs: DataFrame, k: int = 3, t: int = 90) -> DataFrame:
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
+def keep_one(docs: DataFrame, k: int = 3, t: int = 90) -> DataFrame:
+    """The rows of ``docs`` (all columns) with one document of each component:
+    the one with the smallest id. Rows equal in id and text count once."""
+    one = near_components(docs, k, t).where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    mark = docs.withColumn("_text", F.xxhash64("text"))
+    return (mark.join(one, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+            .dropDuplicates(["doc_id", "_text"]).select(*docs.columns))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(C.documents(spark, sf_dir))

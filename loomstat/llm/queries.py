@@ -14,6 +14,13 @@ from loomstat.llm.quality import op9_kneser_ney_bands
 from loomstat.llm.suffix_dedup import op7_difference_cover_dedup
 from loomstat.llm.token_output import op5_token_output
 
+
+def pipeline(spark, sf_dir):
+    """All stages of the corpus pipeline over ``documents``."""
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_block_extraction,
     op2_byte_bigru_language,
@@ -25,6 +32,7 @@ QUERIES = {f.__name__: f for f in (
     op8_context_tree_weighting,
     op9_kneser_ney_bands,
     op10_ngram_jaccard_join,
+    pipeline,
 )}
 ORACLE: dict[str, str] = {
     "op6_fm_index_decontamination": decontaminate.ORACLE,
