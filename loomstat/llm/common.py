@@ -8,6 +8,7 @@ which bounds the memory of a task however long one text is.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,6 +54,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the shuffle files of finished steps go: Spark removes them when the
+    driver's garbage collector finds their plans unused."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

@@ -13,13 +13,15 @@ tokens first:
    its prefix under the first order.
 3. ``candidate_links``: rows that share a token are tied into candidate groups
    by a number of ties linear in the rows (pairs are never all emitted).
-4. candidate groups are verified in cells of at most ``CELL`` sets. In a cell
+4. groups too large for one cell are cut down by the other orders: members
+   stay together only if they are tied under each of them.
+5. candidate groups are verified in cells of at most ``CELL`` sets. In a cell
    a pair is first tested under the other orders (both prefixes must meet in
    each of them) and then by its exact intersection. Groups above ``CELL`` are dealt
    into random blocks a few times; sets that the blocks left outside the
    group's main component are then compared, block by block, with the whole
    group, so no link between components is lost and no task holds a group.
-5. the links give connected components.
+6. the links give connected components.
 
 Defined results: null or wordless text has no set, ``n_shingles`` 0 and is
 its own component; fewer words than the shingle length make one shingle;
@@ -45,7 +47,7 @@ SLOT_BITS = 22           # hash slots of either table, as a power of two
 PAIRED = 6               # rows of a token that are paired directly
 BUCKET = 64              # rows of a token that are chained by size
 CELL = 256               # sets compared in one block
-ROUNDS = 4               # random dealings of a large group
+ROUNDS = 3               # random dealings of a large group
 SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0], np.uint64)
 
 
@@ -235,7 +237,7 @@ def linked(sets: list[np.ndarray], prefixes: list[list[np.ndarray]], t: int, lef
 
 def _set_rows(docs: DataFrame, wanted: DataFrame, k: int, t: int, tables) -> DataFrame:
     """``(sid, tokens, p1, p2)`` of the wanted sets: tokens and the prefixes
-    under the second and third order, as packed 64-bit integers."""
+    under the second and third order."""
     common, hot = tables
 
     def emit(batches):
@@ -244,13 +246,14 @@ def _set_rows(docs: DataFrame, wanted: DataFrame, k: int, t: int, tables) -> Dat
             for _, s in _documents(b, k, (common.value, hot.value)):
                 sid.append(_digest(s))
                 tok.append(s.tobytes())
-                one.append(_first(s, t, SEEDS[1]).tobytes())
-                two.append(_first(s, t, SEEDS[2]).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in (sid, tok, one, two)], names=["sid", "tokens", "p1", "p2"])
+                one.append(_first(s, t, SEEDS[1]).view(np.int64))
+                two.append(_first(s, t, SEEDS[2]).view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in (sid, tok)] + [pa.array(x, pa.list_(pa.int64())) for x in (one, two)],
+                                             names=["sid", "tokens", "p1", "p2"])
 
     want = wanted.select(F.col("doc_id").alias("want"))
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(want, F.col("doc_id").eqNullSafe(F.col("want")))
-    return text.select("text").mapInArrow(emit, "sid binary, tokens binary, p1 binary, p2 binary").dropDuplicates(["sid"])
+    return text.select("text").mapInArrow(emit, "sid binary, tokens binary, p1 array<long>, p2 array<long>").dropDuplicates(["sid"])
 
 
 def _verify(cells: DataFrame, t: int) -> DataFrame:
@@ -260,9 +263,10 @@ def _verify(cells: DataFrame, t: int) -> DataFrame:
     def go(g: pa.Table) -> pa.Table:
         g = g.sort_by("side")
         side = np.asarray(g.column("side"))
-        load = lambda c: [np.frombuffer(x, np.uint64) for x in g.column(c).to_pylist()]
+        sets = [np.frombuffer(x, np.uint64) for x in g.column("tokens").to_pylist()]
+        first = [[np.array(x, np.int64).view(np.uint64) for x in g.column(c).to_pylist()] for c in ("p1", "p2")]
         left = int((side == 0).sum())
-        i, j = linked(load("tokens"), [load("p1"), load("p2")], t, left if 0 < left < len(side) else None)
+        i, j = linked(sets, first, t, left if 0 < left < len(side) else None)
         sid = g.column("sid").to_pylist()
         root = list(range(len(sid)))
 
@@ -282,6 +286,25 @@ def _verify(cells: DataFrame, t: int) -> DataFrame:
     return cells.groupBy("cell").applyInArrow(go, "a binary, b binary")
 
 
+def _large(group: DataFrame) -> DataFrame:
+    """``node, root, members`` of the groups above one cell."""
+    size = group.groupBy("root").agg(F.count(F.lit(1)).alias("members")).where(f"members > {CELL}")
+    return group.join(size, "root").select("node", "root", "members")
+
+
+def _refined(group: DataFrame, sets: DataFrame, prefix: str, t: int) -> DataFrame:
+    """Candidate groups with the large ones cut down by one more order: members
+    stay together only while they are tied under that order as well."""
+    large = C.cut(_large(group))
+    if not large.limit(1).count():
+        return group
+    nodes = large.join(sets, F.col("node") == F.col("sid")).select(
+        "sid", (F.length("tokens") / 8).cast("long").alias("n"),
+        F.transform(prefix, lambda x: F.xxhash64("root", x)).alias("prefix"))  # ties within a group
+    parts = C.components(C.cut(candidate_links(nodes, t)))
+    return C.cut(group.join(large, "node", "left_anti").select("node", "root").union(parts.select("node", "root")))
+
+
 def links(docs: DataFrame, k: int = 3, t: int = 90) -> tuple[DataFrame, DataFrame]:
     """``(documents(doc_id, n, sid), components(node, root))``.
 
@@ -292,25 +315,32 @@ def links(docs: DataFrame, k: int = 3, t: int = 90) -> tuple[DataFrame, DataFram
     seen = C.cut(prefix_rows(docs, k, t, tables))
     nodes = (seen.where("sid is not null").groupBy("sid")
              .agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")))
-    pairs = C.cut(candidate_links(nodes, t))
-    group = C.components(pairs)
-    size = group.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
+    group = C.components(C.cut(candidate_links(nodes, t)))
+    C.release(spark)
     rep = (seen.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
            .join(group, F.col("sid") == F.col("node")))
-    sets = _set_rows(docs, rep.select("doc_id").distinct(), k, t, tables)
-    held = C.cut(group.join(size, "root").join(sets, F.col("node") == F.col("sid")).drop("node"))
+    sets = C.cut(_set_rows(docs, rep.select("doc_id").distinct(), k, t, tables).join(group.select("node"), F.col("sid") == F.col("node"), "left_semi"))
+    C.release(spark)
+    for prefix in ("p1", "p2"):
+        group = _refined(group, sets, prefix, t)
+    C.release(spark)
+    size = group.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
+    held = group.join(size, "root").join(sets, F.col("node") == F.col("sid")).drop("node")
     body = ["sid", "tokens", "p1", "p2"]
     small = held.where(f"members <= {CELL}").select(F.col("root").alias("cell"), F.lit(1).alias("side"), *body)
-    found = _verify(small, t)
-    large = held.where(f"members > {CELL}")
+    found = C.cut(_verify(small, t))
+    C.release(spark)
+    large = C.cut(held.where(f"members > {CELL}"))
     if large.limit(1).count():
         for r in range(ROUNDS):
             block = F.pmod(F.xxhash64("sid", F.lit(r)), F.ceil(F.col("members") / CELL))
             cell = F.concat("root", F.encode(F.concat(F.lit(f"/{r}/"), block.cast("string")), "utf-8"))
             found = found.union(_verify(large.select(cell.alias("cell"), F.lit(1).alias("side"), *body), t))
         found = C.cut(found)
+        C.release(spark)
         found = found.union(_outsiders(large, found, t))
     edges = C.cut(found)
+    C.release(spark)
     return seen.select("doc_id", "n", "sid"), C.components(edges)
 
 

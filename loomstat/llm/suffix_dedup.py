@@ -197,19 +197,14 @@ def _ranges(run: np.ndarray, offset: np.ndarray, length: int):
     return run[a], offset[a], offset[z] + length
 
 
-def _release(spark: SparkSession) -> None:
-    """Shuffle files of finished steps go when the driver collects its garbage."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def repeated_ranges(docs: DataFrame) -> DataFrame:
     """``id, tag, s, e``: byte ranges to remove, per ``docs(id, text)`` row
     (``tag`` is the crc32 of the text; ranges may overlap)."""
     spark = C.prepare(docs.sparkSession)
     shared = C.cut(runs(docs, True).groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key"))
-    _release(spark)
+    C.release(spark)
     rows = C.cut(runs(docs, False).join(shared, "key"))
-    _release(spark)
+    C.release(spark)
     # the first member of a class is its least place; one row for each class
     classes = C.cut(rows.groupBy("key", "content").agg(F.min(F.struct("id", "first", "tag", "n")).alias("lead"), F.count(F.lit(1)).alias("m")))
     many = C.cut(classes.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
@@ -234,7 +229,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
 
     bodies = C.cut(docs.join(leads, "id").select("id", "tag", "text", "runs").mapInArrow(
         cut_out, "key long, k long, id long, tag int, first int, n int, body binary"))
-    _release(spark)
+    C.release(spark)
     # keys are dealt to shards by their running share; sizes are even as keys are hashes
     total = bodies.where(f"k <= {SHARD_RUNS}").count()
     shards = max(1, -(-2 * total // SHARD_RUNS))
@@ -283,7 +278,7 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     keyed = docs.select(F.coalesce("doc_id", lowest).alias("id"), "text")
     found = (repeated_ranges(keyed).groupBy("id", "tag").agg(F.collect_list(F.struct("s", "e")).alias("ranges")))  # of one text
     found = C.cut(found)
-    _release(docs.sparkSession)
+    C.release(docs.sparkSession)
     found = found.select(F.col("id").alias("_id"), F.col("tag").alias("_tag"), "ranges")
     tag = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
     return (docs.withColumn("_key", F.coalesce("doc_id", lowest))
