@@ -56,12 +56,13 @@ def drop_missing(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def zscores(df: DataFrame, cols: list[str], keep: list[str] | None = None) -> DataFrame:
-    """``(x - mean) / sample std``; NULLs stay NULL."""
+    """``(x - mean) / sample std``; NULLs stay NULL, and a constant column
+    has no z-score (NULL, pandas' NaN)."""
     stats = df.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols],
                    *[F.stddev_samp(c).alias(f"_d_{c}") for c in cols])
     z = attach_row(df, stats)
     return z.select(*(keep or []),
-                    *[((F.col(c) - F.col(f"_m_{c}")) / F.col(f"_d_{c}")).alias(c) for c in cols])
+                    *[F.try_divide(F.col(c) - F.col(f"_m_{c}"), F.col(f"_d_{c}")).alias(c) for c in cols])
 
 
 def within_bounds(cols: list[str], lo: float = -3.0, hi: float = 3.0) -> Column:
@@ -137,17 +138,23 @@ def map_values(col: str, mapping: dict, strict: bool = True) -> Column:
 def cut_equal_width(df: DataFrame, col: str, k: int) -> DataFrame:
     """``pd.cut(x, k)``: right-closed equal-width bins; the lowest edge
     is lowered by 0.1 % of the range so the minimum falls in bin 1.
-    Adds ``bin`` (1..k), ``lower`` and ``upper``."""
-    b = df.agg(F.min(col).alias("_mn"), F.max(col).alias("_mx"))
+    Adds ``bin`` (1..k; NULL for a NULL value), ``lower`` and ``upper``. A
+    constant column is cut over 0.1 % of its value on either side."""
+    b = df.agg(F.min(col).cast("double").alias("_mn"), F.max(col).cast("double").alias("_mx"))
+    same = F.col("_mn") == F.col("_mx")
+    pad = F.when(F.col("_mn") == 0, F.lit(0.001)).otherwise(F.abs("_mn") * 0.001)
+    b = b.select(F.when(same, F.col("_mn") - pad).otherwise(F.col("_mn")).alias("_mn"),
+                 F.when(same, F.col("_mx") + pad).otherwise(F.col("_mx")).alias("_mx"), same.alias("_same"))
     t = attach_row(df, b)
     w = (F.col("_mx") - F.col("_mn")) / k
-    binno = F.greatest(F.lit(1), F.least(F.lit(k), F.ceil((F.col(col) - F.col("_mn")) / w)))
-    return (t.withColumn("bin", binno.cast("int"))
-            .withColumn("lower", F.when(F.col("bin") == 1,
+    binno = F.when(F.col("_same"), F.lit((k + 1) // 2)).otherwise(
+        F.greatest(F.lit(1), F.least(F.lit(k), F.ceil((F.col(col) - F.col("_mn")) / w))))
+    return (t.withColumn("bin", F.when(F.col(col).isNotNull(), binno.cast("int")))
+            .withColumn("lower", F.when((F.col("bin") == 1) & ~F.col("_same"),
                                         F.col("_mn") - (F.col("_mx") - F.col("_mn")) * 0.001)
                         .otherwise(F.col("_mn") + (F.col("bin") - 1) * w))
             .withColumn("upper", F.col("_mn") + F.col("bin") * w)
-            .drop("_mn", "_mx"))
+            .drop("_mn", "_mx", "_same"))
 
 
 def cut_equal_depth(df: DataFrame, col: str, k: int) -> DataFrame:
@@ -163,38 +170,42 @@ def cut_equal_depth(df: DataFrame, col: str, k: int) -> DataFrame:
     binno = F.lit(k)
     for i in range(k - 1, 0, -1):
         binno = F.when(F.col(col) <= F.get("_e", i), F.lit(i)).otherwise(binno)
-    return (t.withColumn("bin", binno.cast("int"))
+    return (t.withColumn("bin", F.when(F.col(col).isNotNull(), binno.cast("int")))
             .withColumn("lower", F.get("_e", F.col("bin") - 1))
             .withColumn("upper", F.get("_e", F.col("bin")))
             .drop("_e"))
 
 
 def minmax_scale(df: DataFrame, cols: list[str], keep: list[str] | None = None) -> DataFrame:
-    """``(x - min) / (max - min)``."""
+    """``(x - min) / (max - min)``; NULL for a constant column (pandas' NaN)."""
     s = df.agg(*[F.min(c).alias(f"_lo_{c}") for c in cols],
                *[F.max(c).alias(f"_hi_{c}") for c in cols])
     t = attach_row(df, s)
-    return t.select(*(keep or []), *[((F.col(c) - F.col(f"_lo_{c}")) /
-                                      (F.col(f"_hi_{c}") - F.col(f"_lo_{c}"))).alias(c)
+    return t.select(*(keep or []), *[F.try_divide(F.col(c) - F.col(f"_lo_{c}"),
+                                                  F.col(f"_hi_{c}") - F.col(f"_lo_{c}")).alias(c)
                                      for c in cols])
 
 
-def smooth_by_bin_bounds(df: DataFrame, col: str, k: int, order: str) -> DataFrame:
-    """Equal-frequency bins (``ntile``-style by rank), each value replaced
-    by the nearer of its bin's min and max (ties to the min).
+def smooth_by_bin_bounds(df: DataFrame, col: str, k: int, order: list[str]) -> DataFrame:
+    """``k`` bins of equal counts by rank in ``order`` (the first bins take
+    the remainder, as ``ntile``), each value replaced by the nearer of its
+    bin's min and max (ties to the min). NULL values have no bin and are left out.
 
-    Bin membership is computed from exact rank via quantile edges so no
-    single-partition window is needed: bin = position of the value among
-    ``k`` equal-count groups of the sorted column.
+    Ranks come from the distributed ``ordered_index``; the ``k`` bounds are
+    folded into one row and attached, so no bin is gathered in one task.
     """
-    from loomstat.operators.stats import quantile_frame
-    t = attach_row(df, quantile_frame(df, col, [i / k for i in range(1, k)], name="_e"))
-    binno = F.lit(k)
-    for i in range(k - 1, 0, -1):
-        binno = F.when(F.col(col) <= F.get("_e", i - 1), F.lit(i)).otherwise(binno)
-    t = t.withColumn("bin", binno.cast("int")).drop("_e")
-    bounds = t.groupBy("bin").agg(F.min(col).alias("bin_min"), F.max(col).alias("bin_max"))
-    out = t.join(bounds, "bin")
+    from loomstat.operators.sampling import ordered_index
+    idx = ordered_index(df.filter(F.col(col).isNotNull()), order, "_i")
+    n = df.agg(F.count(col).alias("_n"))
+    t = attach_row(idx, n)
+    q, rem = F.floor(F.col("_n") / k), F.col("_n") % k
+    binno = F.when(F.col("_i") < rem * (q + 1), F.floor(F.col("_i") / (q + 1))).otherwise(
+        rem + F.floor(F.try_divide(F.col("_i") - rem * (q + 1), q))) + 1
+    t = t.withColumn("bin", binno.cast("int")).drop("_i", "_n")
+    bounds = t.groupBy("bin").agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
+    one = bounds.agg(F.map_from_entries(F.collect_list(F.struct("bin", F.struct("lo", "hi")))).alias("_b"))  # k entries
+    out = attach_row(t, one).withColumn("_b", F.col("_b")[F.col("bin")])
+    out = out.withColumn("bin_min", F.col("_b.lo")).withColumn("bin_max", F.col("_b.hi")).drop("_b")
     near = F.when(F.col(col) - F.col("bin_min") <= F.col("bin_max") - F.col(col),
                   F.col("bin_min")).otherwise(F.col("bin_max"))
     return out.withColumn("smoothed", near)

@@ -23,6 +23,18 @@ def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.join(F.broadcast(one_row), how="inner")
 
 
+def salted_join(rows: DataFrame, few: DataFrame, key: str, salts: int = 64) -> DataFrame:
+    """Many rows against one row for each key, when a key may hold most rows.
+
+    Every row takes one of ``salts`` by the hash of its values; each row of
+    ``few`` is repeated for all of them, so a hot key is spread over that many
+    join keys.
+    """
+    many = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
+    each = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return many.join(each, [key, "_salt"]).drop("_salt")
+
+
 def equi_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
     """Bag-semantics equi-join; duplicate keys multiply (2.9-4)."""
     return left.join(right, on, how)

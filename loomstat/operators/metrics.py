@@ -93,8 +93,8 @@ def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
     c = prefix_sums(g.withColumn("_o", -F.col("threshold")), ["_o"], ["pos", "neg"]).drop("_o")
     return (c.join(F.broadcast(tot), how="inner")
             .select("threshold", "pos", "neg",
-                    (F.col("cum_pos") / F.col("P")).alias("tpr"),
-                    (F.col("cum_neg") / F.col("N")).alias("fpr"),
+                    F.try_divide(F.col("cum_pos"), F.col("P")).alias("tpr"),
+                    F.try_divide(F.col("cum_neg"), F.col("N")).alias("fpr"),
                     "P", "N", "cum_pos"))
 
 
@@ -103,8 +103,8 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     slice is ``neg * (positives scored higher + pos / 2) / (P * N)``."""
     pts = roc_points(df, label, score)
     return pts.agg(
-        (F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") + F.col("pos") / 2))
-         / (F.first("P") * F.first("N"))).alias("auc"),
+        F.try_divide(F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") + F.col("pos") / 2)),
+                     F.first("P") * F.first("N")).alias("auc"),  # NULL with one class
         F.first("P").alias("n_pos"), F.first("N").alias("n_neg"))
 
 

@@ -2,7 +2,7 @@
 
 Estimators are MLlib's distributed ones; features are vectors made from
 ``array<float>`` columns with ``array_to_vector`` or from tokens with
-``CountVectorizer``. Scores stay in DataFrames; only fitted-model metadata
+``HashingTF``. Scores stay in DataFrames; only fitted-model metadata
 (a handful of metric numbers) is read on the driver.
 """
 
@@ -17,7 +17,7 @@ from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegress
                                        MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import PCA, CountVectorizer, StandardScaler
+from pyspark.ml.feature import PCA, HashingTF, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
@@ -71,13 +71,17 @@ def fit_predict(train: DataFrame, test: DataFrame, est, keep: list[str],
                                         F.col("prediction").cast("int").alias("prediction"))
 
 
-def text_features(df: DataFrame, tokens: str, vocab_from: DataFrame | None = None,
-                  min_df: float = 1.0) -> tuple[DataFrame, object]:
-    """T1 / A21 for MLlib: ``CountVectorizer`` fitted on ``vocab_from``
-    (training rows) and applied to ``df``; unseen terms vanish (2.9-21)."""
-    cv = CountVectorizer(inputCol=tokens, outputCol="raw", minDF=min_df)
-    model = cv.fit(vocab_from if vocab_from is not None else df)
-    return model.transform(df), model
+TEXT_WIDTH = 1 << 20  # hashed feature space of the text models, a model parameter
+
+
+def text_features(df: DataFrame, tokens: str, width: int = TEXT_WIDTH) -> DataFrame:
+    """T1 / A21 for MLlib: token counts in a hashed space of ``width`` features.
+
+    Nothing is fitted, so there is no vocabulary to pass through the driver,
+    to cut at a size or to leak from one fold to another; a term unseen in
+    training has weight 0 unless it shares a slot.
+    """
+    return HashingTF(inputCol=tokens, outputCol="raw", numFeatures=width).transform(df)
 
 
 def grid_search(train: DataFrame, est, grid: dict, fold_col: str, num_folds: int,
@@ -123,21 +127,22 @@ def _topk_block(k: int):
         tid = t["tid"].to_numpy()
         tl = t["label"].to_numpy()
         out = []
-        for s in range(0, len(Q), 256):
-            qs = Q[s:s + 256]
-            d = np.sqrt(((qs[:, None, :] - T[None, :, :]) ** 2).sum(axis=2))
-            kk = min(k, d.shape[1])
-            for r in range(d.shape[0]):
-                row = d[r]
-                if kk < len(row):
-                    kth = np.partition(row, kk - 1)[kk - 1]
-                    cand = np.nonzero(row <= kth)[0]
-                else:
-                    cand = np.arange(len(row))
-                order = np.lexsort((tid[cand], row[cand]))[:kk]
-                c = cand[order]
-                out.append(pd.DataFrame({"qid": q["qid"].iat[s + r], "tid": tid[c],
-                                         "nlabel": tl[c], "dist": row[c]}))
+        norm = (T * T).sum(axis=1)
+        step = max(1, (32 << 20) // (8 * len(T)))  # 32 MB of distances at a time
+        for s in range(0, len(Q), step):
+            qs = Q[s:s + step]
+            # |q|^2 + |t|^2 - 2 q.t finds the candidates, exact differences rank them
+            square = norm[None, :] - 2 * (qs @ T.T)
+            scale = (qs * qs).sum(axis=1)
+            kk = min(k, len(T))
+            kth = np.partition(square, kk - 1, axis=1)[:, kk - 1]
+            for r in range(len(qs)):
+                slack = 1e-9 * (scale[r] + np.abs(norm).max() + 1)
+                cand = np.nonzero(square[r] <= kth[r] + slack)[0]
+                exact = np.sqrt(((T[cand] - qs[r]) ** 2).sum(axis=1))
+                order = np.lexsort((tid[cand], exact))[:kk]
+                out.append(pd.DataFrame({"qid": q["qid"].iat[s + r], "tid": tid[cand[order]],
+                                         "nlabel": tl[cand[order]], "dist": exact[order]}))
         return pd.concat(out, ignore_index=True)
     return fn
 

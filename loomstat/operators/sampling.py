@@ -16,15 +16,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomstat.operators.joins import salted_join
 from loomstat.session import cut_lineage
 
-_TWO53 = float(2 ** 53)
+_HEX = 13  # digits: 52 bits, exact in a double
+
+
+def hash_int(seed, *cols) -> Column:
+    """Seeded 52-bit number from the row key: the first hex digits of the md5
+    of ``seed:key[:key...]`` (NULL keys count as empty), so that any SQL
+    engine draws the same sample."""
+    seed = seed if isinstance(seed, Column) else F.lit(str(seed))
+    keys = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in cols]
+    digits = F.substring(F.md5(F.concat_ws(":", seed, *keys)), 1, _HEX)
+    return F.conv(digits, 16, 10).cast("bigint")
 
 
 def hash_unit(seed: int, *cols) -> Column:
     """Seeded uniform number in [0, 1) from the row key."""
-    h = F.xxhash64(F.lit(seed), *[F.col(c) if isinstance(c, str) else c for c in cols])
-    return F.shiftrightunsigned(h, 11).cast("double") / F.lit(_TWO53)
+    return hash_int(seed, *cols) / F.lit(float(16 ** _HEX))
 
 
 def ordered_index(df: DataFrame, order: list, name: str = "idx",
@@ -71,13 +81,17 @@ def sample_n(df: DataFrame, n: int, key: list[str], seed: int = 0) -> DataFrame:
 def sample_fraction(df: DataFrame, frac: float, key: list[str], seed: int = 0) -> DataFrame:
     """Exact ``round(frac * n)`` rows without replacement, seeded.
 
-    Rows are ranked by their seeded hash with ``ordered_index``; the first
-    ``m`` positions are kept. ``m`` comes from a one-row count aggregate.
+    Keys are ranked by their seeded hash with ``ordered_index``; the rows up
+    to the key at position ``m`` are kept (keys are unique).
     """
-    ranked = ordered_index(df.withColumn("_u", hash_unit(seed, *key)), ["_u", *key], "_r")
+    # only the keys are numbered; the rows are then filtered by the hash at the cut
+    draw = df.withColumn("_u", hash_unit(seed, *key))
+    ranked = ordered_index(draw.select("_u", *key), ["_u", *key], "_r")
     m = df.agg(F.round(F.count(F.lit(1)) * F.lit(frac)).cast("long").alias("_m"))
-    return (ranked.join(F.broadcast(m), how="inner")
-            .filter(F.col("_r") < F.col("_m")).drop("_u", "_r", "_m"))
+    last = (ranked.join(F.broadcast(m), F.col("_r") == F.col("_m") - 1)
+            .agg(F.max(F.struct("_u", *key)).alias("_cut")))
+    return (draw.join(F.broadcast(last), F.struct("_u", *key) <= F.col("_cut"))
+            .drop("_u", "_cut"))
 
 
 def sample_with_replacement(df: DataFrame, frac: float, key: list[str],
@@ -94,7 +108,7 @@ def sample_with_replacement(df: DataFrame, frac: float, key: list[str],
     m = stats.select("_m").first()[0]  # one scalar: the number of draws
     draws = spark.range(int(m or 0)).withColumnRenamed("id", "draw")
     draws = (draws.join(F.broadcast(stats.select("_n")), how="inner")
-             .withColumn("_pos", F.pmod(F.xxhash64(F.lit(seed), "draw"), F.col("_n")))
+             .withColumn("_pos", F.pmod(hash_int(seed, "draw"), F.col("_n")))
              .drop("_n"))
     return draws.join(idx, "_pos").drop("_pos")
 
@@ -144,7 +158,7 @@ def split_groups(df: DataFrame, group: str, frac: float, seed: int = 0,
     flags = (ranked.join(F.broadcast(cut), how="inner")
              .select(group, F.when(F.col("_g") < F.col("_cut"), F.lit(yes))
                      .otherwise(F.lit(no)).alias(name)))
-    return df.join(flags, group)
+    return salted_join(df, flags, group)  # a group may hold most rows
 
 
 def kfold_hash(df: DataFrame, k: int, key: list[str], seed: int = 42,
@@ -186,7 +200,9 @@ def stratified_folds(df: DataFrame, k: int, label: str, key: list[str], seed: in
     """
     idx = ordered_index(df.withColumn("_u", hash_unit(seed, *key)), [label, "_u", *key], "_p")
     start = idx.groupBy(label).agg(F.min("_p").alias("_s"))
-    return (idx.join(start, label)
+    # classes are few and may be huge
+    return (salted_join(idx.withColumn("_l", F.coalesce(F.col(label).cast("string"), F.lit(""))),
+                        start.select(F.coalesce(F.col(label).cast("string"), F.lit("")).alias("_l"), "_s"), "_l").drop("_l")
             .withColumn(name, F.pmod(F.col("_p") - F.col("_s"), F.lit(k)).cast("int"))
             .drop("_u", "_p", "_s"))
 

@@ -59,7 +59,7 @@ def _hot_cell_dots(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
     for d1, ix, vs in zip(q["doc"], q["idx"], q["val"]):
         ix = np.asarray(ix, dtype=np.int64)
         dots = T[:, ix] @ np.asarray(vs, dtype=np.float64)
-        nz = np.nonzero(dots)[0]
+        nz = np.nonzero((T[:, ix] != 0).any(axis=1))[0]  # all that share a term, as the term join gives them
         if len(nz):
             out.append(pd.DataFrame({"doc1": d1, "doc2": t["doc"].to_numpy()[nz], "dot": dots[nz]}))
     return pd.concat(out, ignore_index=True) if out else pd.DataFrame(cols)
@@ -214,19 +214,21 @@ def dense_centroids(train: DataFrame, vec: str, label: str) -> DataFrame:
 
 
 def cosine_to_centroids(test: DataFrame, centroids: DataFrame, id_col: str, vec: str,
-                        max_classes: int = 100_000) -> DataFrame:
+                        block: int = 256, salts: int = 64) -> DataFrame:
     """F10 / J8 for dense vectors: every test vector against every class
-    centroid. The centroids are folded into one row (one entry per class,
-    size-checked against ``max_classes``) and broadcast; each test row
-    expands to one row per class, so work is linear in the test rows."""
+    centroid. The centroids are folded into rows of about ``block`` classes;
+    every test row meets each of these rows once by an equi-join on (block,
+    salt), so work is linear in the test rows and nothing is broadcast by hint."""
     from loomstat import functions as LF
     from loomstat.operators.joins import attach_row
-    one = centroids.agg(F.collect_list(F.struct("label", "centroid")).alias("_cs"))
-    one = one.select(F.when(F.size("_cs") <= max_classes, F.col("_cs"))
-                     .otherwise(F.raise_error(F.lit("too many classes to broadcast")))
-                     .alias("_cs"))
-    t = attach_row(test.select(id_col, F.col(vec).cast("array<double>").alias("_v")), one)
-    pairs = t.select(id_col, F.explode_outer(F.transform(
+    n = centroids.agg(F.greatest(F.ceil(F.count(F.lit(1)) / block), F.lit(1)).cast("int").alias("_k"))
+    few = (attach_row(centroids, n).withColumn("_b", F.pmod(F.xxhash64("label"), F.col("_k")).cast("int"))
+           .groupBy("_b").agg(F.collect_list(F.struct("label", "centroid")).alias("_cs"))
+           .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
+    rows = attach_row(test.select(id_col, F.col(vec).cast("array<double>").alias("_v")), n)
+    rows = (rows.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int"))
+            .withColumn("_b", F.explode(F.sequence(F.lit(0), F.col("_k") - 1))))
+    pairs = rows.join(few, ["_b", "_salt"]).select(id_col, F.explode(F.transform(
         "_cs", lambda s: F.struct(s["label"].alias("label"),
                                   LF.cosine(F.col("_v"), s["centroid"]).alias("similarity"))))
         .alias("_p"))

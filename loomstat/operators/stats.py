@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomstat import functions as LF
-from loomstat.operators.joins import attach_row
+from loomstat.operators.joins import attach_row, salted_join
 
 
 def quantile_frame(df: DataFrame, col: str, probs, by: str | None = None,
@@ -61,9 +61,11 @@ def pearson_by_group(df: DataFrame, group: str, x: str, y: str) -> DataFrame:
 def pearson_p(by_group: DataFrame) -> DataFrame:
     """Two-sided p-value of r from Student's t with n - 2 degrees of
     freedom; the UDF runs on the summary rows only (one per group)."""
-    t = F.col("r") * F.sqrt((F.col("n") - 2) / (1 - F.col("r") * F.col("r")))
-    return by_group.withColumn("t", t).withColumn(
-        "p_value", LF.t_two_sided_p(F.col("t"), (F.col("n") - 2).cast("double")))
+    exact = F.abs("r") >= 1  # t is infinite: p = 0
+    t = F.col("r") * F.sqrt(F.try_divide(F.col("n") - 2, F.greatest(1 - F.col("r") * F.col("r"), F.lit(0.0))))
+    return by_group.withColumn("t", F.when(exact, F.signum("r") * F.lit(float("inf"))).otherwise(t)).withColumn(
+        "p_value", F.when(exact, F.lit(0.0)).otherwise(
+            LF.t_two_sided_p(F.coalesce(F.when(exact, F.lit(0.0)).otherwise(t), F.lit(0.0)), (F.col("n") - 2).cast("double"))))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
@@ -71,6 +73,10 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     bin closed; empty bins reported with 0; density = count / (n * width)."""
     b = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"),
                F.count(col).alias("n_total"))
+    # one value: numpy widens the range by one half on either side
+    same = F.col("lo") == F.col("hi")
+    b = b.select(F.when(same, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+                 F.when(same, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"), "n_total")
     w = (F.col("hi") - F.col("lo")) / bins
     t = attach_row(df.select(col).filter(F.col(col).isNotNull()), b)
     counts = (t.select(F.least(F.lit(bins - 1),
@@ -94,7 +100,9 @@ def boxplot_stats(df: DataFrame, group: str, col: str, exact: bool = True) -> Da
     q = (q.withColumn("iqr", F.col("q3") - F.col("q1"))
          .withColumn("lower_fence", F.col("q1") - 1.5 * F.col("iqr"))
          .withColumn("upper_fence", F.col("q3") + 1.5 * F.col("iqr")))
-    j = df.select(group, col).join(q, group)
+    # few groups, many rows each: the summary is spread over salts, so that no
+    # task gets a whole group
+    j = salted_join(df.select(group, col), q, group)
     inside = (F.col(col) >= F.col("lower_fence")) & (F.col(col) <= F.col("upper_fence"))
     return j.groupBy(group, "q1", "median", "q3", "iqr", "lower_fence", "upper_fence").agg(
         F.min(F.when(inside, F.col(col))).alias("whisker_low"),
@@ -200,11 +208,12 @@ def with_upper_p(test: DataFrame) -> DataFrame:
 def trapezoid(df: DataFrame, x: str, y: str, by: str | None = None) -> DataFrame:
     """K7: integral of tabulated ``y(x)`` by the trapezoid rule.
 
-    Consecutive points are paired by a position self-join, not a window, so
+    Points are ordered by (x, y), so the area does not depend on input order
+    when x repeats. Consecutive points are paired by a position self-join, not a window, so
     the sum is computed in parallel across the whole curve.
     """
     from loomstat.operators.sampling import with_previous
-    t = with_previous(df.select(*([by] if by else []), x, y), [x], [x, y], by=by)
+    t = with_previous(df.select(*([by] if by else []), x, y), [x, y], [x, y], by=by)
     t = t.filter(F.col(f"prev_{x}").isNotNull())
     area = (F.col(x) - F.col(f"prev_{x}")) * (F.col(y) + F.col(f"prev_{y}")) / 2
     g = [by] if by else []
@@ -217,22 +226,24 @@ def interval_share(df: DataFrame, col: str, a: float, b: float) -> DataFrame:
                   F.count(col).alias("n"))
 
 
-def sum_distribution(h1: DataFrame, h2: DataFrame, max_support: int = 10_000) -> DataFrame:
+def sum_distribution(h1: DataFrame, h2: DataFrame, block: int = 1_000) -> DataFrame:
     """K8: distribution of X + Y for independent X, Y given as probability
     tables ``(value, p)`` over a bounded support (binned or rounded values).
 
-    The convolution pairs every support point of X with every one of Y, so
-    the second table is broadcast only after its size is checked against
-    ``max_support``; the pair table never depends on the row count.
+    The convolution pairs every support point of X with every one of Y (work
+    by definition). Y is dealt into blocks of about ``block`` points; each
+    point of X meets every block by an equi-join on (block, salt), whatever
+    the sizes, and no side is broadcast.
     """
-    a = h1.select(F.col("value").alias("x"), F.col("p").alias("px"))
-    b = h2.select(F.col("value").alias("y"), F.col("p").alias("py"))
-    n_b = b.agg(F.count(F.lit(1)).alias("_nb"))
-    b = attach_row(b, n_b).filter(
-        F.when(F.col("_nb") <= max_support, F.lit(True))
-        .otherwise(F.raise_error(F.lit("support too large to convolve"))).cast("boolean")
-    ).drop("_nb")
-    return (a.join(F.broadcast(b), how="inner")
+    n = h2.agg(F.greatest(F.ceil(F.count(F.lit(1)) / block), F.lit(1)).cast("int").alias("_k"))
+    salts = 16
+    a = attach_row(h1.select(F.col("value").alias("x"), F.col("p").alias("px")), n)
+    a = (a.withColumn("_b", F.explode(F.sequence(F.lit(0), F.col("_k") - 1))).drop("_k")
+         .withColumn("_s", F.pmod(F.xxhash64("x"), F.lit(salts)).cast("int")))
+    b = attach_row(h2.select(F.col("value").alias("y"), F.col("p").alias("py")), n)
+    b = (b.withColumn("_b", F.pmod(F.xxhash64("y"), F.col("_k")).cast("int")).drop("_k")
+         .withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
+    return (a.join(b, ["_b", "_s"])
             .groupBy((F.col("x") + F.col("y")).alias("value"))
             .agg(F.sum(F.col("px") * F.col("py")).alias("p")))
 

@@ -279,10 +279,19 @@ def csv_strings(spark, d):
     return r.select("month", F.col("n_text").try_cast("bigint").alias("n"))
 
 
-@query("read_write_roundtrip")
+_LAYOUTS = ("csv_header", "csv_plain", "tsv", "csv_titled", "tsv_id", "appended")
+
+
+@query("read_write_roundtrip", " UNION ALL ".join(
+    f"SELECT '{x}' AS layout, count(*) AS n_rows, sum(o_orderkey) AS keys, round(sum(o_totalprice), 2) AS total, "
+    "count(DISTINCT o_orderpriority || o_orderstatus) AS kinds FROM orders" for x in _LAYOUTS) + """
+ UNION ALL SELECT 'json_head', count(*), sum(o_orderkey), round(sum(o_totalprice), 2), count(DISTINCT o_orderpriority || o_orderstatus)
+ FROM (SELECT * FROM orders ORDER BY o_orderkey LIMIT 100)
+ UNION ALL SELECT 'text_single', count(DISTINCT o_orderstatus), count(*), NULL, count(DISTINCT o_orderstatus) FROM orders""")
 def read_write_roundtrip(spark, d):
     """Write orders in several text layouts into the
-    shared checkpoint folder and read each back with an explicit schema."""
+    shared checkpoint folder, read each back with an explicit schema and
+    compare values."""
     from pyspark.sql.types import (DoubleType, LongType, StringType, StructField,
                                    StructType)
     o = t(spark, d, "orders", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
@@ -295,11 +304,16 @@ def read_write_roundtrip(spark, d):
     o.write.mode("overwrite").option("header", True).csv(f"{base}/csv_header")
     o.write.mode("overwrite").csv(f"{base}/csv_plain")
     o.write.mode("overwrite").option("header", True).option("sep", "\t").csv(f"{base}/tsv")
-    # A title line above the header, Latin-1
-    titled = o.select(F.concat_ws(",", *[F.col(c).cast("string") for c in o.columns]).alias("value"))
-    spark.createDataFrame([("title line",), (",".join(schema.fieldNames()),)], "value string") \
-        .unionAll(titled).coalesce(1).write.mode("overwrite").option("encoding", "ISO-8859-1") \
-        .text(f"{base}/csv_titled")
+    # Latin-1 files that begin with a title line and the header, one per key hash
+    parts = 4
+    line = o.select(F.pmod(F.xxhash64("o_orderkey"), F.lit(parts)).alias("part"), F.lit(2).alias("at"),
+                    F.concat_ws(",", *[F.col(c).cast("string") for c in o.columns]).alias("value"))
+    head = spark.range(parts).select(F.col("id").alias("part"), F.explode(F.array(
+        F.struct(F.lit(0).alias("at"), F.lit("title line").alias("value")),
+        F.struct(F.lit(1).alias("at"), F.lit(",".join(schema.fieldNames())).alias("value")))).alias("h"))
+    line.unionAll(head.select("part", "h.at", "h.value")).repartition(parts, "part") \
+        .sortWithinPartitions("part", "at").select("part", "value") \
+        .write.mode("overwrite").partitionBy("part").option("encoding", "ISO-8859-1").text(f"{base}/csv_titled")
     # Tab-separated with a header recognised by its first field "Id"
     idt = o.select(F.col("o_orderkey").cast("string").alias("Id"), "o_orderstatus",
                    F.col("o_totalprice").cast("string"), "o_orderpriority")
@@ -314,26 +328,39 @@ def read_write_roundtrip(spark, d):
         "csv_header": S.read_csv(spark, f"{base}/csv_header", schema, header=True),
         "csv_plain": S.read_csv(spark, f"{base}/csv_plain", schema),
         "tsv": S.read_csv(spark, f"{base}/tsv", schema, header=True, sep="\t"),
-        "csv_titled": S.read_csv(spark, f"{base}/csv_titled", schema, encoding="ISO-8859-1",
+        "csv_titled": S.read_csv(spark, f"{base}/csv_titled/*", schema, encoding="ISO-8859-1",
                                  header_on_second_line=True),
         "tsv_id": S.read_tsv_id_header(
             spark, f"{base}/tsv_id",
-            StructType([StructField("Id", StringType())] + schema.fields[1:])),
+            StructType([StructField("Id", StringType())] + schema.fields[1:]))
+        .withColumn("o_orderkey", F.col("Id").cast("long")),
         "json_head": spark.read.schema(schema).json(f"{base}/json_head"),
-        "text_single": spark.read.text(f"{base}/text_single"),
-        "appended": spark.read.json(f"{base}/appended"),
+        "appended": spark.read.schema(schema).json(f"{base}/appended"),
     }
     out = None
     for name, df in reads.items():
-        c = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("layout"), "n_rows")
+        c = df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("o_orderkey").alias("keys"),
+                   F.round(F.sum("o_totalprice"), 2).alias("total"),
+                   F.count_distinct(F.concat("o_orderpriority", "o_orderstatus")).alias("kinds")) \
+            .select(F.lit(name).alias("layout"), "n_rows", "keys", "total", "kinds")
         out = c if out is None else out.unionByName(c)
-    return out
+    parts_ = S.split_fields("value")
+    text = spark.read.text(f"{base}/text_single").select(S.field(parts_, 0).alias("k"), S.field(parts_, 1).cast("long").alias("n"))
+    return out.unionByName(text.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n").alias("keys"),
+                                    F.lit(None).cast("double").alias("total"), F.count_distinct("k").alias("kinds"))
+                           .withColumn("layout", F.lit("text_single")))
 
 
-@query("file_listing")
+@query("file_listing", " UNION ALL ".join(
+    f"SELECT '{x}.parquet' AS file_name, count(*) AS n_rows FROM {x}" for x in ("customer", "orders", "part", "supplier")))
 def file_listing(spark, d):
-    """The parquet files of the data folder, file name as key."""
-    return S.list_files(spark, d, "*.parquet").select("file_name", "length")
+    """The files of a folder, file name as key, joined to the rows each holds."""
+    out = None
+    for name in ("customer", "orders", "part", "supplier"):
+        rows = S.table(spark, d, name).select(F.regexp_extract(F.input_file_name(), r"([^/]+\.parquet)(?:/[^/]*)?$", 1).alias("file_name"))
+        out = rows if out is None else out.unionAll(rows)
+    counts = out.groupBy("file_name").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.select("file_name", "n_rows")
 
 
 # --- projections and labels ---------------------------------------------------------

@@ -125,24 +125,24 @@ def roc_points(spark, d):
 
 @query("argmax", """
 SELECT vec_id, list_position(s, list_max(s)) - 1 AS pred, label
-FROM (SELECT vec_id, label, embedding[1:10] AS s FROM embeddings)""")
+FROM (SELECT vec_id, label, embedding AS s FROM embeddings)""")
 def argmax(spark, d):
-    """index of the largest of the first ten scores."""
+    """index of the largest score."""
     e = t(spark, d, "embeddings", "vec_id", "embedding", "label")
-    return e.select("vec_id", LF.argmax_index(F.slice("embedding", 1, 10)).alias("pred"), "label")
+    return e.select("vec_id", LF.argmax_index("embedding").alias("pred"), "label")
 
 
 @query("cross_entropy", """
-WITH s AS (SELECT label, CAST(embedding[1:10] AS DOUBLE[]) AS s FROM embeddings),
+WITH s AS (SELECT label, CAST(embedding AS DOUBLE[]) AS s FROM embeddings),
 l AS (SELECT label, list_position(s, list_max(s)) - 1 AS pred,
              ln(list_sum(list_transform(s, lambda x: exp(x - list_max(s))))) + list_max(s)
              - s[label + 1] AS loss FROM s)
 SELECT round(avg(loss), 6) AS cross_entropy, avg(CAST(pred = label AS DOUBLE)) AS accuracy,
        count(*) AS n FROM l""")
 def cross_entropy(spark, d):
-    """Mean cross-entropy of the first ten scores as logits, and accuracy."""
+    """Mean cross-entropy of the vector as logits, and accuracy."""
     e = t(spark, d, "embeddings", "embedding", "label")
-    s = e.select(F.slice(F.col("embedding").cast("array<double>"), 1, 10).alias("s"), "label")
+    s = e.select(F.col("embedding").cast("array<double>").alias("s"), "label")
     return metrics.scored_loss(s, "s", "label").select(_r("cross_entropy"), "accuracy", "n")
 
 
@@ -203,13 +203,11 @@ def _text_set(spark, d):
 
 @query("linear_svm")
 def linear_svm(spark, d):
-    """Bag-of-words linear SVM on document quality, 70/30 split;
-    the vocabulary is fitted on the training rows only."""
+    """Bag-of-words linear SVM on document quality, 70/30 split."""
     s = sampling.split_random(_text_set(spark, d), 0.3, ["doc_id"])
     s = s.select("doc_id", "label", "tokens", "split").persist()
     train, test = s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
-    cv = models.text_features(train, "tokens", vocab_from=train)[1]
-    return models.fit_predict(cv.transform(train), cv.transform(test),
+    return models.fit_predict(models.text_features(train, "tokens"), models.text_features(test, "tokens"),
                               models.estimator("linear_svm", maxIter=50), ["doc_id"], scale=False)
 
 
@@ -235,7 +233,7 @@ def cv_report(spark, d):
     pool, as MLlib's ``CrossValidator(parallelism=...)`` does."""
     from concurrent.futures import ThreadPoolExecutor
     s = sampling.kfold_contiguous(_text_set(spark, d), 10, ["doc_id"])
-    s = models.text_features(s, "tokens")[0].select("doc_id", "label", "fold", "raw").cache()
+    s = models.text_features(s, "tokens").select("doc_id", "label", "fold", "raw").cache()
     folds = sorted(r[0] for r in s.select("fold").distinct().collect())  # at most 10 fold ids
     with ThreadPoolExecutor(max_workers=4) as pool:
         rows = list(pool.map(lambda k: _fold_scores(s, k), folds))

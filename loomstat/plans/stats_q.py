@@ -14,15 +14,10 @@ def _r(c, n=6):
     return F.round(F.col(c), n).alias(c)
 
 
-_GAP_MONTHS = "NOT (o_orderdate >= TIMESTAMP '1997-02-01' AND o_orderdate < TIMESTAMP '1997-05-01')"
-_GAP_YEAR = "year(o_orderdate) <> 1998"
-
-
-def _calendar_sql(where, unit, end):
+def _calendar_sql(unit, end):
     return f"""
-WITH o AS (SELECT * FROM orders WHERE {where}),
-per AS (SELECT CAST(date_trunc('{unit}', o_orderdate) AS DATE) AS period,
-               sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total, count(*) AS n FROM o GROUP BY 1),
+WITH per AS (SELECT CAST(date_trunc('{unit}', o_orderdate) AS DATE) AS period,
+               sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total, count(*) AS n FROM orders GROUP BY 1),
 spine AS (SELECT CAST(unnest(generate_series((SELECT min(period) FROM per),
                                              (SELECT max(period) FROM per), INTERVAL 1 {unit}))
                       AS DATE) AS period)
@@ -30,23 +25,23 @@ SELECT {end} AS period_end, CAST(coalesce(total, 0) AS DOUBLE) AS total, coalesc
 FROM spine LEFT JOIN per USING (period)"""
 
 
-def _calendar(spark, d, where, unit):
-    o = t(spark, d, "orders", "o_orderdate", "o_totalprice").filter(F.expr(where))
+def _calendar(spark, d, unit):
+    o = t(spark, d, "orders", "o_orderdate", "o_totalprice")
     o = o.withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)"))
     return calendar.calendar_sum(o, "o_orderdate", "o_totalprice", unit)
 
 
-@query("calendar_month_sum", _calendar_sql(_GAP_MONTHS, "month", "last_day(spine.period)"))
+@query("calendar_month_sum", _calendar_sql("month", "last_day(spine.period)"))
 def calendar_month_sum(spark, d):
     """Monthly sums with a zero row for each empty month."""
-    return _calendar(spark, d, _GAP_MONTHS, "month")
+    return _calendar(spark, d, "month")
 
 
-@query("calendar_year_sum", _calendar_sql(_GAP_YEAR, "year",
+@query("calendar_year_sum", _calendar_sql("year",
                                           "make_date(year(spine.period), 12, 31)"))
 def calendar_year_sum(spark, d):
     """Yearly sums with a zero row for each empty year."""
-    return _calendar(spark, d, _GAP_YEAR, "year")
+    return _calendar(spark, d, "year")
 
 
 _SUMMARY_COLS = ["mean", "median", "std", "var", "p25", "p75", "mean_minus_std",
@@ -314,39 +309,51 @@ def interval_share(spark, d):
         _r("share", 9), "n")
 
 
-# --- samples and splits (rows only where the draw is a seeded hash) ---------------
+# --- samples and splits: the draw is a seeded md5, which the oracle repeats ---------
 
-@query("sample_n")
+@query("sample_n", """
+SELECT * FROM orders ORDER BY CAST(('0x' || substr(md5('7:' || o_orderkey), 1, 13)) AS BIGINT) / 4503599627370496.0, o_orderkey LIMIT 3""")
 def sample_n(spark, d):
     """3 rows without replacement."""
     return sampling.sample_n(t(spark, d, "orders"), 3, ["o_orderkey"], seed=7)
 
 
-@query("sample_frac")
+@query("sample_frac", """
+SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (ORDER BY CAST(('0x' || substr(md5('1:' || o_orderkey), 1, 13)) AS BIGINT) / 4503599627370496.0, o_orderkey) AS r FROM orders)
+WHERE r <= (SELECT round(count(*) * 0.01) FROM orders)""")
 def sample_frac(spark, d):
     """Exactly round(0.01 n) rows without replacement, seeded."""
     return sampling.sample_fraction(t(spark, d, "orders"), 0.01, ["o_orderkey"], seed=1)
 
 
-@query("sample_replace")
+@query("sample_replace", """
+WITH o AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos FROM orders),
+j AS (SELECT unnest(range(CAST((SELECT round(count(*) * 0.01) FROM orders) AS BIGINT))) AS draw),
+k AS (SELECT draw, CAST(('0x' || substr(md5('1:' || draw), 1, 13)) AS BIGINT) % (SELECT count(*) FROM orders) AS pos FROM j)
+SELECT draw, o.* EXCLUDE (pos) FROM k JOIN o USING (pos)""")
 def sample_replace(spark, d):
     """Exactly round(0.01 n) draws with replacement, seeded."""
     return sampling.sample_with_replacement(t(spark, d, "orders"), 0.01, ["o_orderkey"], seed=1)
 
 
-@query("split_random")
+@query("split_random", """
+SELECT doc_id, source, CASE WHEN CAST(('0x' || substr(md5('42:' || doc_id), 1, 13)) AS BIGINT) / 4503599627370496.0 < 0.7 THEN 'train' ELSE 'test' END AS split FROM documents""")
 def split_random(spark, d):
     """70/30 split by seeded hash of the key."""
     return sampling.split_random(t(spark, d, "documents", "doc_id", "source"), 0.3, ["doc_id"])
 
 
-@query("split_group")
+@query("split_group", """
+WITH g AS (SELECT source, row_number() OVER (ORDER BY CAST(('0x' || substr(md5('0:' || source), 1, 13)) AS BIGINT) / 4503599627370496.0, source) - 1 AS r FROM (SELECT DISTINCT source FROM documents))
+SELECT doc_id, source, CASE WHEN r < floor((SELECT count(*) FROM g) * 0.9) THEN 'training' ELSE 'heldout' END AS split
+FROM documents JOIN g USING (source)""")
 def split_group(spark, d):
     """90/10 split with whole sources on one side."""
     return sampling.split_groups(t(spark, d, "documents", "doc_id", "source"), "source", 0.9)
 
 
-@query("kfold_hash")
+@query("kfold_hash", """
+SELECT doc_id, CAST((row_number() OVER (ORDER BY CAST(('0x' || substr(md5('42:' || doc_id), 1, 13)) AS BIGINT) / 4503599627370496.0, doc_id) - 1) % 5 AS INTEGER) AS fold FROM documents""")
 def kfold_hash(spark, d):
     """Shuffled 5-fold assignment."""
     return sampling.kfold_hash(t(spark, d, "documents", "doc_id"), 5, ["doc_id"])
@@ -380,23 +387,22 @@ def all_but_fold(spark, d):
     return joins.all_but(kfold_contiguous(spark, d), "fold", 0)
 
 
-@query("stratified_fold")
+@query("stratified_fold", """
+SELECT *, CAST((row_number() OVER (PARTITION BY quality ORDER BY CAST(('0x' || substr(md5('42:' || doc_id), 1, 13)) AS BIGINT) / 4503599627370496.0, doc_id) - 1) % 5 AS INTEGER) AS fold FROM labels""")
 def stratified_fold(spark, d):
     """5 folds stratified by the quality label."""
     return sampling.stratified_folds(t(spark, d, "labels"), 5, "quality", ["doc_id"])
 
 
 @query("binning_smooth", """
-WITH e AS (SELECT quantile_cont(l_quantity, [1/3, 2/3]) AS q FROM lineitem),
-b AS (SELECT l_quantity, CASE WHEN l_quantity <= q[1] THEN 1 WHEN l_quantity <= q[2] THEN 2 ELSE 3 END
-             AS bin FROM lineitem, e),
+WITH b AS (SELECT l_quantity, CAST(ntile(3) OVER (ORDER BY l_quantity, l_orderkey, l_linenumber) AS INTEGER) AS bin FROM lineitem),
 m AS (SELECT bin, min(l_quantity) AS lo, max(l_quantity) AS hi FROM b GROUP BY 1)
 SELECT bin, CASE WHEN l_quantity - lo <= hi - l_quantity THEN lo ELSE hi END AS smoothed, count(*) AS n
 FROM b JOIN m USING (bin) GROUP BY 1, 2""")
 def binning_smooth(spark, d):
     """Equal-frequency bins into 3, smoothing by bin boundaries."""
-    s = clean.smooth_by_bin_bounds(t(spark, d, "lineitem", "l_quantity"), "l_quantity", 3,
-                                   "l_quantity")
+    s = clean.smooth_by_bin_bounds(t(spark, d, "lineitem", "l_quantity", "l_orderkey", "l_linenumber"),
+                                   "l_quantity", 3, ["l_quantity", "l_orderkey", "l_linenumber"])
     return s.groupBy("bin", "smoothed").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -207,16 +207,17 @@ def similarity_matrix(spark, d):
     return p.select("doc1", "doc2", F.round("similarity", 6).alias("similarity"))
 
 
-@query("similarity_pivot", _retrieval_sql() + """
-, pr AS (SELECT doc1, doc2, round(similarity, 6) AS similarity FROM pairs)
-SELECT * FROM (PIVOT pr ON doc2 USING first(similarity) GROUP BY doc1)""")
+_SOURCES = [f"src{i}" for i in range(20)]
+
+
+@query("similarity_pivot", _retrieval_sql() + ", pr AS (SELECT doc1, doc2, round(similarity, 6) AS similarity FROM pairs) SELECT doc1, " + ", ".join(f"max(CASE WHEN doc2 = '{s}' THEN similarity END) AS {s}" for s in _SOURCES) + " FROM pr GROUP BY doc1")
 def similarity_pivot(spark, d):
     """T4: the matrix itself, one row per test document and one column per
-    training document (pivot values are bounded by spark.sql.pivotMaxValues)."""
+    training document, for a fixed list of training documents."""
     train, test = _retrieval_vectors(spark, d)
     p = similarity.cosine_pairs(test, train)
     p = p.withColumn("similarity", F.round("similarity", 6))
-    return p.groupBy("doc1").pivot("doc2").agg(F.first("similarity"))
+    return p.groupBy("doc1").pivot("doc2", _SOURCES).agg(F.first("similarity"))
 
 
 @query("extreme_pairs", _retrieval_sql() + """

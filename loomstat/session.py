@@ -91,11 +91,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the setting names a shared folder and is used as is. Only
     when it is unset (local tests) do we pick a fresh local folder.
     """
+    sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="loomstat-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if getattr(sc, "_loomstat_checkpoints", None) != d:  # each call would open a new sub-folder
+        sc.setCheckpointDir(d)
+        sc._loomstat_checkpoints = d
     return d
 
 

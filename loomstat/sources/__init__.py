@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 TABLES = ("region nation customer supplier part orders lineitem events "
           "documents embeddings pages benchmark labels conversations").split()
@@ -101,24 +101,25 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, *,
     """S9-S12 with one reader.
 
     ``header_on_second_line`` (S9): the CSV reader skips the first physical
-    line of each file as its header (the explicit schema wins over it) and
-    the real header, now a data row, is dropped by matching the schema's
-    first field name.
+    line of each file as its header and reads text columns; the real header,
+    now a data row, is dropped by its text, and only then are the columns
+    cast (a field that does not parse becomes NULL, its row stays).
     """
     opts = dict(sep=sep, encoding=encoding, mode="PERMISSIVE")
     if not header_on_second_line:
         return spark.read.options(**opts).schema(schema).csv(path, header=header)
-    df = spark.read.options(**opts).schema(schema).csv(path, header=True)
-    first = schema.fields[0]
-    return df.filter(F.col(first.name).cast("string").isNull()
-                     | (F.col(first.name).cast("string") != first.name))
+    text = StructType([StructField(f.name, StringType()) for f in schema.fields])
+    df = spark.read.options(**opts).schema(text).csv(path, header=True)
+    first = schema.fields[0].name
+    return df.filter(~F.col(first).eqNullSafe(first)).select(
+        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_tsv_id_header(spark: SparkSession, path: str, schema: StructType,
                        first_field: str = "Id") -> DataFrame:
     """Tab-separated; a line whose first field is ``first_field`` is a header."""
     df = spark.read.options(sep="\t", mode="PERMISSIVE").schema(schema).csv(path)
-    return df.filter(F.col(schema.fieldNames()[0]) != first_field)
+    return df.filter(~F.col(schema.fieldNames()[0]).eqNullSafe(first_field))
 
 
 # --- S14: file listing ---------------------------------------------------
