@@ -15,8 +15,7 @@ down without loss first:
    windows. Their bytes go, dealt by key, to shards; each shard builds a suffix
    array with the difference cover {1, 2} modulo 3: sampled triples are
    sorted and named, the names recursed on, the remaining suffixes sorted by
-   first symbol and rank and merged in; names that span ``LENGTH`` bytes end
-   the recursion. Adjacent suffixes with equal prefixes form groups whose
+   first symbol and rank and merged in. Adjacent suffixes with equal prefixes form groups whose
    earliest window stays.
 4. A key with more than ``SHARD_RUNS`` classes would overload a shard: its
    windows are compared by 128-bit hashes in a map-side combined aggregate.
@@ -42,6 +41,7 @@ from loomstat.llm import common as C
 LENGTH = 100
 GRAM = 32
 SHARD_RUNS = 12_000   # runs of at most 2 * LENGTH - GRAM bytes in a shard
+MOST_BYTES = 3_000_000  # sorted together: their names fit in 21 bits
 PART = 250_000        # bytes that one pass of the run search takes
 _PLACE = np.uint64((1 << 20) - 1)
 
@@ -119,10 +119,9 @@ def runs(docs: DataFrame, keys_only: bool) -> DataFrame:
     return docs.mapInArrow(go, "key long" if keys_only else "key long, content long, id long, tag int, first int, n int")
 
 
-def suffix_order(s: np.ndarray, depth: int, size: int = 1) -> np.ndarray:
+def suffix_order(s: np.ndarray) -> np.ndarray:
     """Order of the suffixes of ``s`` (positive symbols below 2**21) by the
-    difference cover {1, 2} modulo 3; equal prefixes of ``depth`` characters,
-    each symbol standing for ``size`` of them, may be in any order."""
+    difference cover {1, 2} modulo 3."""
     n = len(s)
     if n < 3:
         return np.array(sorted(range(n), key=lambda i: s[i:].tolist()), np.int64)
@@ -131,10 +130,10 @@ def suffix_order(s: np.ndarray, depth: int, size: int = 1) -> np.ndarray:
     sample = np.concatenate([one, two])
     triple = (pad[sample] << 42) | (pad[sample + 1] << 21) | pad[sample + 2]
     names, name = np.unique(triple, return_inverse=True)
-    if len(names) == len(sample) or 3 * size >= depth:
+    if len(names) == len(sample):
         order = np.argsort(name, kind="stable")
     else:
-        order = suffix_order(name + 1, depth, 3 * size)
+        order = suffix_order(name + 1)
     rank = np.zeros(n + 4, np.int64)
     rank[sample[order]] = np.arange(1, len(order) + 1)
     order = sample[order]
@@ -167,7 +166,7 @@ def repeated_windows(texts: list[bytes], ids: np.ndarray, first: np.ndarray, cou
     offset = np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
     of = np.full(len(s), -1, np.int64)
     of[head[run] + offset] = np.arange(len(run))
-    order = of[suffix_order(s, length)]
+    order = of[suffix_order(s)]
     order = order[order >= 0]                       # window starts, in suffix order
     at = head[run[order]] + offset[order]
     same = np.ones(max(0, len(at) - 1), bool)       # adjacent prefixes
@@ -235,8 +234,20 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     shards = max(1, -(-2 * total // SHARD_RUNS))
 
     def sort_shard(t: pa.Table) -> pa.Table:
-        ids, tag, first, n = (np.asarray(t.column(c)).astype(np.int64) for c in ("id", "tag", "first", "n"))
-        run, s, e = _ranges(*repeated_windows(t.column("body").to_pylist(), ids, first, n), LENGTH)
+        t = t.sort_by("key")
+        key, ids, tag, first, n = (np.asarray(t.column(c)).astype(np.int64) for c in ("key", "id", "tag", "first", "n"))
+        body, found = t.column("body").to_pylist(), []
+        size = np.concatenate([[0], np.cumsum(n + LENGTH)])
+        cut = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
+        lo = 0
+        for k in range(1, len(cut)):  # whole keys, at most MOST_BYTES together: a key has SHARD_RUNS runs at most
+            if k + 1 < len(cut) and size[cut[k + 1]] - size[cut[lo]] <= MOST_BYTES:
+                continue
+            a, z = cut[lo], cut[k]
+            run, offset = repeated_windows(body[a:z], ids[a:z], first[a:z], n[a:z])
+            found.append((run + a, offset))
+            lo = k
+        run, s, e = _ranges(*(np.concatenate(x) for x in zip(*found)), LENGTH)
         return pa.table({"id": ids[run], "tag": tag[run].astype(np.int32), "s": (first[run] + s).astype(np.int32), "e": (first[run] + e).astype(np.int32)})
 
     part = (bodies.where(f"k <= {SHARD_RUNS}").withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))

@@ -181,7 +181,14 @@ def test_suffix_order():
     rng = random.Random(1)
     for _ in range(1500):
         s = [rng.randint(1, 3) for _ in range(rng.randint(0, 60))]
-        assert suffix_dedup.suffix_order(np.array(s, np.int64), 10 ** 9).tolist() == sorted(range(len(s)), key=lambda i: s[i:])
+        assert suffix_dedup.suffix_order(np.array(s, np.int64)).tolist() == sorted(range(len(s)), key=lambda i: s[i:])
+
+
+def test_suffix_order_of_repeats():
+    rng = random.Random(2)
+    pool = [[rng.randint(2, 5) for _ in range(rng.randint(100, 168))] for _ in range(6)]
+    s = [x for _ in range(40) for x in [*rng.choice(pool)[rng.randint(0, 40):], 1]]
+    assert suffix_dedup.suffix_order(np.array(s, np.int64)).tolist() == sorted(range(len(s)), key=lambda i: s[i:])
 
 
 def brute_dedup(rows, length=100):
