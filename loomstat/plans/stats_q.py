@@ -154,7 +154,24 @@ def qq_laplace(spark, d):
     return q.select("rank", "sample", _r("prob", 9), _r("theoretical"))
 
 
-@query("qq_normal")
+def _rational(coef, x, plus_one=False):
+    """Horner form of a polynomial as SQL."""
+    sql = str(coef[0])
+    for c in coef[1:]:
+        sql = f"({sql} * {x} + {c})"
+    return f"({sql} * {x} + 1)" if plus_one else sql
+
+
+def _normal_quantile_sql(p):
+    centre = f"({_rational(LF._NQ_A, f'(({p} - 0.5) * ({p} - 0.5))')} * ({p} - 0.5) / {_rational(LF._NQ_B, f'(({p} - 0.5) * ({p} - 0.5))', True)})"
+    tail = lambda x: f"({_rational(LF._NQ_C, x)} / {_rational(LF._NQ_D, x, True)})"
+    return (f"CASE WHEN {p} < 0.02425 THEN {tail(f'sqrt(-2 * ln({p}))')} WHEN {p} > 1 - 0.02425 THEN -{tail(f'sqrt(-2 * ln(1 - {p}))')} ELSE {centre} END")
+
+
+@query("qq_normal", f"""
+WITH r AS (SELECT value AS sample, row_number() OVER (ORDER BY value, event_id) AS rank, count(*) OVER () AS n FROM events WHERE value IS NOT NULL),
+f AS (SELECT avg(value) AS m, stddev_pop(value) AS s FROM events), p AS (SELECT *, (rank - 0.5) / n AS q FROM r, f)
+SELECT rank, sample, round(q, 9) AS prob, round(m + s * {_normal_quantile_sql('q')}, 6) AS theoretical FROM p""")
 def qq_normal(spark, d):
     """Ordered sample against fitted normal quantiles."""
     q = stats.qq_table(t(spark, d, "events", "event_id", "value"), "value", "normal",

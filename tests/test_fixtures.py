@@ -179,3 +179,94 @@ def test_extreme_pairs_counts_unscored_zero_pairs(spark):
     # test doc "a" shares no term with train doc "b": similarity 0
     assert (e["min_doc1"], e["min_doc2"], e["min_similarity"]) == ("a", "b", 0.0)
     assert math.isclose(e["max_similarity"], 1.0)
+
+
+def _fresh(tmp_path, name, text, encoding="utf-8"):
+    p = tmp_path / name
+    p.write_bytes(text.encode(encoding))
+    return str(p)
+
+
+def test_csv_header_on_second_line_with_typed_first_column(spark, tmp_path):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+    from loomstat import sources
+    schema = StructType([StructField("k", LongType()), StructField("v", StringType())])
+    path = _fresh(tmp_path, "t.csv", "title\nk,v\n1,café\n,empty\nx,bad\n", "latin-1")
+    got = sources.read_csv(spark, path, schema, encoding="ISO-8859-1", header_on_second_line=True).collect()
+    assert sorted(map(tuple, got), key=repr) == [(1, "café"), (None, "bad"), (None, "empty")]
+
+
+def test_tsv_keeps_rows_with_an_empty_first_field(spark, tmp_path):
+    from pyspark.sql.types import StringType, StructField, StructType
+    from loomstat import sources
+    schema = StructType([StructField("Id", StringType()), StructField("v", StringType())])
+    path = _fresh(tmp_path, "t.tsv", "Id\tv\n1\ta\n\tb\n")
+    assert {r["v"] for r in sources.read_tsv_id_header(spark, path, schema).collect()} == {"a", "b"}
+
+
+def test_trapezoid_does_not_depend_on_input_order(spark):
+    pts = [(0.0, 0.0), (1.0, 4.0), (1.0, 0.0), (2.0, 6.0)]
+    areas = {stats.trapezoid(spark.createDataFrame(p, "x double, y double"), "x", "y").first()["area"] for p in (pts, pts[::-1], pts[2:] + pts[:2])}
+    assert areas == {0.0 + 0.0 + 5.0}  # (0, 0) (1, 0) (1, 4) (2, 6)
+
+
+def test_constant_columns(spark):
+    df = spark.createDataFrame([(5.0, 1), (5.0, 1), (5.0, 0), (None, 1)], "x double, y int")
+    assert {r["x"] for r in clean.zscores(df, ["x"]).collect()} == {None}
+    assert {r["x"] for r in clean.minmax_scale(df, ["x"]).collect()} == {None}
+    bins = clean.cut_equal_width(df, "x", 4).collect()
+    assert sorted((r["x"] is None, r["bin"]) for r in bins) == [(False, 2)] * 3 + [(True, None)]
+    h = stats.histogram(df, "x", 10).orderBy("bin").collect()
+    assert (h[0]["lower"], h[9]["upper"]) == (4.5, 5.5) and [r["n"] for r in h] == [0] * 5 + [3] + [0] * 4
+    one = metrics.roc_auc(df.select(F.lit(1).alias("label"), F.lit(0.3).alias("score")), "label", "score").first()
+    assert one["auc"] is None
+    p = stats.pearson_p(spark.createDataFrame([("a", 1.0, 9), ("b", -1.0, 5), ("c", 0.0, 5)], "g string, r double, n long")).orderBy("g").collect()
+    assert [r["p_value"] for r in p] == [0.0, 0.0, 1.0] and p[1]["t"] == -math.inf
+
+
+def test_null_has_no_bin(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (4.0,), (None,)], "x double")
+    assert [r["bin"] for r in clean.cut_equal_depth(df, "x", 2).orderBy(F.col("x").asc_nulls_last()).collect()] == [1, 1, 2, 2, None]
+
+
+def test_equal_frequency_bins_with_ties(spark):
+    rows = [(i, v) for i, v in enumerate([1.0, 1.0, 1.0, 1.0, 2.0, 3.0, 9.0])]
+    got = clean.smooth_by_bin_bounds(spark.createDataFrame(rows, "i long, x double"), "x", 3, ["x", "i"]).orderBy("i").collect()
+    assert [r["bin"] for r in got] == [1, 1, 1, 2, 2, 3, 3]  # sizes 3, 2, 2 as ntile
+    assert [r["smoothed"] for r in got] == [1.0, 1.0, 1.0, 1.0, 2.0, 3.0, 9.0]
+
+
+def test_cosine_hot_and_cold_terms_agree_on_a_zero_dot(spark):
+    test = spark.createDataFrame([("a", "x", 1.0), ("a", "y", 1.0), ("b", "x", 2.0)], "doc string, term string, n double")
+    train = spark.createDataFrame([("c", "x", 1.0), ("c", "y", -1.0), ("d", "y", 3.0)], "doc string, term string, n double")
+    pairs = [sorted((r["doc1"], r["doc2"], round(r["similarity"], 9)) for r in similarity.cosine_pairs(test, train, hot_pairs=h).collect()) for h in (1_000_000, 0)]
+    assert pairs[0] == pairs[1] and ("a", "c", 0.0) in pairs[0]
+
+
+def test_text_features_keep_every_term(spark):
+    from loomstat.operators import models
+    n = 300_000
+    df = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.concat(F.lit("t"), i.cast("string"))).alias("tokens"))
+    v = models.text_features(df, "tokens").first()["raw"]
+    assert v.values.sum() == n and v.size == models.TEXT_WIDTH
+
+
+def test_knn_blocks_are_exact(spark):
+    import numpy as np
+    from loomstat.operators import models
+    rng = np.random.default_rng(0)
+    rows = [(i, [float(x) for x in rng.integers(0, 4, 6)], i % 3) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, label int")
+    train, test = df.where("id < 200"), df.where("id >= 200")
+    got = {r["id"]: r["predicted"] for r in models.knn_vote(train, test, "id", "v", "label", k=5, block_rows=64).collect()}
+    for i, v, _ in rows[200:]:
+        near = sorted((math.dist(v, w), j, y) for j, w, y in rows[:200])[:5]
+        votes = {y: sum(z == y for *_, z in near) for *_, y in near}
+        assert got[i] == min(votes, key=lambda y: (-votes[y], y))
+
+
+def test_convolution_in_blocks(spark):
+    h = spark.createDataFrame([(float(i), 0.1) for i in range(10)], "value double, p double")
+    one = {r["value"]: round(r["p"], 9) for r in stats.sum_distribution(h, h).collect()}
+    many = {r["value"]: round(r["p"], 9) for r in stats.sum_distribution(h, h, block=3).collect()}
+    assert one == many and len(one) == 19 and one[9.0] == 0.1
