@@ -2,9 +2,10 @@
 
 Vectors are sparse long tables ``(doc, term, w)``. Cosine scores are an
 equi-join on ``term`` followed by a (doc1, doc2) aggregate: only pairs that
-share a term are produced, never the full product. A frequent term is a hot
-join key; AQE's skew-join rule splits it across tasks. Pairs with no shared
-term have similarity 0 and are accounted for by counting, not enumeration.
+share a term are produced, never the full product. Terms shared by many
+documents are scored in blocked cells instead of per-term pairs; both ways
+give the same pairs. Pairs with no shared term have similarity 0 and are
+accounted for by counting, not enumeration.
 """
 
 from __future__ import annotations
