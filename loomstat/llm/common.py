@@ -184,12 +184,38 @@ def word_grams(raw: np.ndarray, start: np.ndarray, end: np.ndarray, depth: int)
     return key, word
 
 
+def _forest(edges: DataFrame) -> DataFrame:
+    """Each task replaces its edges by stars with the same components."""
+    def go(batches):
+        root: dict = {}
+
+        def top(x):
+            while (y := root.setdefault(x, x)) != x:
+                root[x] = x = root[y]
+            return x
+
+        schema = None
+        for batch in batches:
+            schema = batch.schema
+            for x, y in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+                x, y = top(x), top(y)
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+        if schema is not None:
+            node = [x for x in root if top(x) != x]
+            yield pa.RecordBatch.from_arrays([pa.array([top(x) for x in node], schema.field("a").type), pa.array(node, schema.field("b").type)], names=["a", "b"])
+
+    return edges.select("a", "b").mapInArrow(go, edges.select("a", "b").schema)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Smallest node reachable from each node of ``edges(a, b)``: ``(node, root)``.
 
     Minimum-label propagation with a pointer jump in each round; only
-    aggregates and equi-joins, checkpointed each round.
+    aggregates and equi-joins, cut each round. Tasks first reduce their edges
+    to stars, and once more after these are dealt by their roots.
     """
+    edges = cut(_forest(_forest(edges).repartition("a")))
     both = cut(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
                        .where("a <> b").distinct())
     label = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))

@@ -11,17 +11,16 @@ tokens first:
    the orders, so what is missing from them costs time and never a link.
 2. ``prefix_rows``: equal sets are folded into one node; each document emits
    its prefix under the first order.
-3. ``candidate_links``: rows that share a token are tied into candidate groups
-   by a number of ties linear in the rows (pairs are never all emitted).
-4. groups too large for one cell are cut down by the other orders: members
-   stay together only if they are tied under each of them.
-5. candidate groups are verified in cells of at most ``CELL`` sets. In a cell
+3. ``candidate_links``: rows that share a token give pairs under the length
+   and position filters, in buckets above ``BUCKET`` rows a star; each task
+   reduces its pairs to stars at once, so candidate groups, not pairs, are kept.
+4. candidate groups are verified in cells of at most ``CELL`` sets. In a cell
    a pair is first tested under the other orders (both prefixes must meet in
    each of them) and then by its exact intersection. Groups above ``CELL`` are dealt
    into random blocks a few times; sets that the blocks left outside the
    group's main component are then compared, block by block, with the whole
    group, so no link between components is lost and no task holds a group.
-6. the links give connected components.
+5. the links give connected components.
 
 Defined results: null or wordless text has no set, ``n_shingles`` 0 and is
 its own component; fewer words than the shingle length make one shingle;
@@ -36,7 +35,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomstat.llm import common as C
@@ -44,8 +43,7 @@ from loomstat.llm import common as C
 WORDS_KEPT = 200_000     # rows of the table of common words, at most
 SHINGLES_KEPT = 200_000  # rows of the table of common shingles, at most
 SLOT_BITS = 22           # hash slots of either table, as a power of two
-PAIRED = 6               # rows of a token that are paired directly
-BUCKET = 64              # rows of a token that are chained by size
+BUCKET = 64              # rows of a token that are paired directly
 CELL = 256               # sets compared in one block
 ROUNDS = 3               # random dealings of a large group
 SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0], np.uint64)
@@ -169,32 +167,26 @@ def prefix_rows(docs: DataFrame, k: int, t: int, tables) -> DataFrame:
 
 
 def candidate_links(nodes: DataFrame, t: int) -> DataFrame:
-    """Pairs ``(a, b)`` whose components hold all candidate pairs of
-    ``nodes(sid, n, prefix)`` (one row per set); linear in the prefix rows.
+    """Candidate pairs ``(a, b)`` of ``nodes(sid, n, prefix)`` (one row per set).
 
-    A bucket up to ``PAIRED`` rows gives its pairs under the length and
-    position filters; up to ``BUCKET`` rows, neighbours by size under the
-    length filter (between two sizes that pass, all neighbours pass); a larger
-    one, a star.
+    Buckets up to ``BUCKET`` rows give pairs under the length and position
+    filters, at most ``BUCKET / 2`` for each row; a larger bucket gives a star, which
+    only ties its members into one candidate group.
     """
     tokens = nodes.select("sid", "n", F.posexplode("prefix").alias("pos", "token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     rows = C.cut(tokens.join(shared, "token"))
-    fits = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * t
     alpha = F.ceil((F.col("x.n") + F.col("y.n")) * t / (100.0 + t) - 1e-6)  # links need this overlap
-    tiny = rows.where(f"c <= {PAIRED}")
-    pairs = (tiny.alias("x").join(tiny.alias("y"), F.col("x.token") == F.col("y.token"))
-             .where((F.col("x.sid") < F.col("y.sid")) & fits
+    small = rows.where(f"c <= {BUCKET}")
+    pairs = (small.alias("x").join(small.alias("y"), F.col("x.token") == F.col("y.token"))
+             .where((F.col("x.sid") < F.col("y.sid"))
+                    & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * t)
                     & (F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) >= alpha))
              .select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")))
-    next_ = Window.partitionBy("token").orderBy("n", "sid")  # at most BUCKET rows
-    chain = (rows.where(f"c > {PAIRED} and c <= {BUCKET}")
-             .select(F.struct("n", "sid").alias("x"), F.lead(F.struct("n", "sid")).over(next_).alias("y"))
-             .where(F.col("y").isNotNull()).where(fits).select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")))
     large = rows.where(f"c > {BUCKET}")
     star = (large.join(large.groupBy("token").agg(F.min("sid").alias("hub")), "token")
             .where("sid <> hub").select(F.col("hub").alias("a"), F.col("sid").alias("b")))
-    return pairs.union(chain).union(star).distinct()
+    return pairs.union(star)
 
 
 def linked(sets: list[np.ndarray], prefixes: list[list[np.ndarray]], t: int, left: int | None = None):
@@ -286,25 +278,6 @@ def _verify(cells: DataFrame, t: int) -> DataFrame:
     return cells.groupBy("cell").applyInArrow(go, "a binary, b binary")
 
 
-def _large(group: DataFrame) -> DataFrame:
-    """``node, root, members`` of the groups above one cell."""
-    size = group.groupBy("root").agg(F.count(F.lit(1)).alias("members")).where(f"members > {CELL}")
-    return group.join(size, "root").select("node", "root", "members")
-
-
-def _refined(group: DataFrame, sets: DataFrame, prefix: str, t: int) -> DataFrame:
-    """Candidate groups with the large ones cut down by one more order: members
-    stay together only while they are tied under that order as well."""
-    large = C.cut(_large(group))
-    if not large.limit(1).count():
-        return group
-    nodes = large.join(sets, F.col("node") == F.col("sid")).select(
-        "sid", (F.length("tokens") / 8).cast("long").alias("n"),
-        F.transform(prefix, lambda x: F.xxhash64("root", x)).alias("prefix"))  # ties within a group
-    parts = C.components(C.cut(candidate_links(nodes, t)))
-    return C.cut(group.join(large, "node", "left_anti").select("node", "root").union(parts.select("node", "root")))
-
-
 def links(docs: DataFrame, k: int = 3, t: int = 90) -> tuple[DataFrame, DataFrame]:
     """``(documents(doc_id, n, sid), components(node, root))``.
 
@@ -315,15 +288,12 @@ def links(docs: DataFrame, k: int = 3, t: int = 90) -> tuple[DataFrame, DataFram
     seen = C.cut(prefix_rows(docs, k, t, tables))
     nodes = (seen.where("sid is not null").groupBy("sid")
              .agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")))
-    group = C.components(C.cut(candidate_links(nodes, t)))
+    group = C.components(candidate_links(nodes, t))
     C.release(spark)
     rep = (seen.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
            .join(group, F.col("sid") == F.col("node")))
     sets = C.cut(_set_rows(docs, rep.select("doc_id").distinct(), k, t, tables).join(group.select("node"), F.col("sid") == F.col("node"), "left_semi"))
     C.release(spark)
-    for prefix in ("p1", "p2"):
-        group = _refined(group, sets, prefix, t)
-    C.release(spark)
     size = group.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
     held = group.join(size, "root").join(sets, F.col("node") == F.col("sid")).drop("node")
     body = ["sid", "tokens", "p1", "p2"]

@@ -347,11 +347,10 @@ def brute_join(rows, k=3, t=90):
     return {d: (len(sets[i]), least[top(i)]) for i, (d, _) in enumerate(rows)}
 
 
-@pytest.mark.parametrize("cell,bucket,paired", [(256, 64, 6), (8, 4, 2)])
-def test_join_brute_force(spark, cell, bucket, paired, monkeypatch):
+@pytest.mark.parametrize("cell,bucket", [(256, 64), (8, 4)])
+def test_join_brute_force(spark, cell, bucket, monkeypatch):
     monkeypatch.setattr(jaccard_join, "CELL", cell)
     monkeypatch.setattr(jaccard_join, "BUCKET", bucket)
-    monkeypatch.setattr(jaccard_join, "PAIRED", paired)
     rng = random.Random(13)
     vocab = [f"w{i}" for i in range(400)]
     say = lambda n: [rng.choice(vocab) for _ in range(n)]
