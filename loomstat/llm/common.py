@@ -66,6 +66,16 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def hashed_sample(df: DataFrame, n: int, seed: int, *cols: str) -> pa.Table:
+    """The ``n`` rows whose id has the least seeded hash: columns ``cols``.
+
+    The cut is found on the hashes alone, so no task gathers texts.
+    """
+    u = F.xxhash64(F.lit(seed), "doc_id")
+    least = df.select(u.alias("u")).orderBy("u").limit(n).agg(F.max("u")).first()[0]
+    return df.where(u <= F.lit(least)).orderBy(u, *cols).limit(n).select(*cols).toArrow()
+
+
 def held_out(col: str, mod: int, rest: int) -> Column:
     """crc32 of the id as text, modulo ``mod``, equals ``rest`` (null id: false)."""
     return F.coalesce(F.crc32(F.col(col).cast("string").cast("binary")) % mod == rest, F.lit(False))

@@ -9,7 +9,7 @@ worker. A document pools the mean position log-probabilities of all segments
 of its whole text.
 
 Training takes a bounded sample: the ``sample_rows`` labelled rows with the
-least seeded hash of id and text (a top-k, not a prefix), and of their
+least seeded hash of the id (a top-k, not a prefix), and of their
 segments at most ``sample_segments`` distinct ones. Languages weigh alike.
 
 Defined results: null text or text without a letter is ``und`` with score 0;
@@ -235,8 +235,7 @@ def has_letter(text: str | None) -> bool:
 
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_segments: int = SAMPLE_SEGMENTS) -> BiGRU | None:
     """Fit on a bounded sample of ``docs(doc_id, text, lang)``; None without labels."""
-    rows = (docs.where("text is not null and lang is not null")
-            .select("text", "lang", F.xxhash64(F.lit(11), "doc_id", "text").alias("u")).orderBy("u", "text", "lang").limit(sample_rows).toArrow())
+    rows = C.hashed_sample(docs.where("text is not null and lang is not null"), sample_rows, 11, "text", "lang")
     lang = rows.column("lang").to_pylist()
     labels = sorted(set(lang))
     if not labels:

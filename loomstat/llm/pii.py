@@ -278,8 +278,7 @@ def _overlaps(ranges: list[tuple[int, int]], c) -> bool:
 
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Selector:
     """Fit on the ``sample_rows`` rows with a digit or at sign that have the least seeded hash."""
-    rows = (docs.where("text rlike '[0-9@]'").select("text", F.xxhash64(F.lit(3), "doc_id", "text").alias("u"))
-            .orderBy("u", "text").limit(sample_rows).select("text").toArrow())
+    rows = C.hashed_sample(docs.where("text rlike '[0-9@]'"), sample_rows, 3, "text")
     return Selector(rows.column("text").to_pylist())
 
 
