@@ -71,7 +71,7 @@ def fit_predict(train: DataFrame, test: DataFrame, est, keep: list[str],
                                         F.col("prediction").cast("int").alias("prediction"))
 
 
-TEXT_WIDTH = 1 << 20  # hashed feature space of the text models, a model parameter
+TEXT_WIDTH = 1 << 18  # hashed feature space of the text models, a model parameter
 
 
 def text_features(df: DataFrame, tokens: str, width: int = TEXT_WIDTH) -> DataFrame:
