@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from loomstat.llm import bpe_stream, common, decontaminate, jaccard_join, language_id, pii
 from loomstat.session import scratch_path
 
+NEAR_WORDS, NEAR_PERCENT = 5, 80  # word shingles and Jaccard similarity of near copies; op10 has its own
 LEAST_SCORE = 0.3  # a text whose best language has less is rejected, as is a text without a letter
 
 
@@ -27,7 +28,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near copies."""
     common.prepare(spark)
-    return jaccard_join.keep_one(docs)
+    return jaccard_join.keep_one(docs, k=NEAR_WORDS, t=NEAR_PERCENT)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -396,3 +396,19 @@ def test_pipeline(spark):
         assert r["n_tokens"] == len(r["ids"]) and hashlib.sha256(k.decode(r["ids"], skip_special_tokens=False).encode()).hexdigest() == r["decoded_sha256"]
     for _, stage in corpus_pipeline.STAGES[:4]:
         assert stage(spark, docs.limit(0), SF).columns == docs.columns
+
+
+def test_pipeline_near_copies(spark):
+    import corpus_pipeline
+    rng = random.Random(14)
+    text = [f"w{rng.randrange(5000)}" for _ in range(100)]
+    near, far = list(text), list(text)
+    near[30] = near[60] = "changed"  # 5 words: 86/106 = 0.81, 3 words: 92/104 = 0.885
+    far[20] = far[50] = far[80] = "changed"  # 5 words: 81/111 = 0.73
+    rows = [(1, " ".join(text)), (2, " ".join(near)), (3, " ".join(far)), (4, None), (5, "one two")]
+    rows += [(100 + i, t) for i, t in texts_of(spark).items()]
+    want = brute_join(rows, 5, 80)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(r[0] for r in corpus_pipeline.drop_near_copies(spark, docs, SF).select("doc_id").collect())
+    assert got == sorted(d for d, (n, least) in want.items() if least == d)
+    assert 2 not in got and 3 in got
