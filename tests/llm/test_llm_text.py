@@ -224,6 +224,24 @@ def test_quality_edges(spark):
     assert quality.judge(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("copies", [50, 500])  # of 145 documents
+def test_copies_do_not_move_the_bands(spark, copies):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    one = docs.where("lang = 'fr'").orderBy(F.length("text").desc(), "doc_id").first()
+    more = spark.range(copies).select((F.col("id") + 1_000_000).alias("doc_id"), F.lit(one["text"]).alias("text"), F.lit("fr").alias("lang"))
+    was = {r["doc_id"]: r for r in quality.judge(docs).collect()}
+    got = {r["doc_id"]: r for r in quality.judge(docs.union(more)).collect()}
+    assert len(got) == len(was) + copies and all(got[i]["kept"] == r["kept"] for i, r in was.items())
+    assert all(got[1_000_000 + i]["kept"] == was[one["doc_id"]]["kept"] for i in range(copies)) and was[one["doc_id"]]["kept"]
+    assert abs(got[1_000_000]["width"] - was[one["doc_id"]]["width"]) < 1e-9
+
+
+def test_bands_of_one_text_have_a_width(spark):
+    text = " ".join(f"word{i % 61} and{i % 17}" for i in range(60))
+    got = quality.judge(spark.createDataFrame([(i, text + " x" * (i % 2), "en") for i in range(40)], "doc_id long, text string, lang string")).collect()
+    assert all(r["kept"] and r["width"] >= quality.LEAST_WIDTH for r in got)
+
+
 def test_words_match_the_pattern():
     rng = random.Random(4)
     for sep, pattern in ((C.SPACES, rb"[^\x20\x09-\x0D]+"), (C.PUNCT, rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")):
