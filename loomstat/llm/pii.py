@@ -1,19 +1,19 @@
 """Personal data by candidate gradient boosting.
 
 Base rules give exact spans (``base_spans``). Around them the generators of
-``candidates`` propose overlapping spans with high recall: all runs of up to
-``RUN`` neighbouring parts of a digit cluster, dotted quads, and anything
-around an at sign. Boosted trees, one model for each kind, score a candidate by
+``candidates`` propose overlapping spans with high recall: all runs of
+neighbouring parts of a digit cluster up to ``LENGTH`` characters and ``DIGITS``
+digits (phones with or without a prefix), dotted quads, and anything around an at sign. Boosted trees, one model for each kind, score a candidate by
 its format (digit and separator counts, check digit, group sizes) and its
 context (neighbouring characters, the word before). Training is weakly
 supervised on a bounded sample: a candidate that equals a base span is
-positive; other candidates are negative, except those inside a base match that
-was dropped as a whole, whose truth is unknown - these are what the trees are
-for. Thresholds are calibrated on a held-out part: the least score whose
+positive; one whose form rules its kind out (not ``looks_valid``: check digit,
+digit count, octets, shape) is negative; the truth of the others is unknown -
+these are what the trees are for. Thresholds are calibrated on a held-out part: the least score whose
 precision there reaches ``PRECISION``.
 
-All base spans stay; a scored candidate is added when it passes its kind's
-threshold and overlaps no base span and no better candidate.
+All base spans stay; a scored candidate is added when it looks valid, passes its
+kind's threshold and overlaps no base span and no better candidate.
 
 Defined results: null text counts as empty and has no spans; with no positive
 example of a kind nothing is added for it; repeated rows stay repeated; extra
@@ -35,7 +35,7 @@ from loomstat.llm import common as C
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_ROWS = 8000
-RUN = 4
+LENGTH, DIGITS = 40, 19
 PRECISION = 0.99
 
 # Base patterns. The quantifiers are possessive where a shorter run can never
@@ -48,6 +48,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
 _CLUSTER = re.compile(r"[+(]{0,2}[0-9](?:[ ().-]{0,3}[0-9])++")
 _PART = re.compile(r"[^ ]+")
+_ADDRESS = re.compile(r"[^\s@]+@[^\s@.]+(?:\.[^\s@.]+)+")
+_NUMBER = re.compile(r"\+?(?:[0-9]{1,4}[ .-]{0,2})?(?:\([0-9]{1,5}\)[ .-]{0,2})?[0-9]{1,8}(?:[ .-]{1,2}[0-9]{1,8})*+")
 _NEAR_AT = re.compile(r"""[^\s@<>()\[\]",;:]{1,128}+@[^\s@<>()\[\]",;:]{1,253}+""")
 
 
@@ -117,22 +119,39 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
         if m.end() - m.start() < 7:
             continue
         parts = [(m.start() + p.start(), m.start() + p.end()) for p in _PART.finditer(m[0])]
+        sizes = [len(_digits(text[s:e])) for s, e in parts]
         for i in range(len(parts)):
-            for j in range(i, min(i + RUN, len(parts))):
+            n = 0
+            for j in range(i, len(parts)):  # at most LENGTH / 2 parts fit
                 s, e = parts[i][0], parts[j][1]
-                if e - s > 40:
+                n += sizes[j]
+                if e - s > LENGTH or n > DIGITS:
                     break
+                if n < 7 and i < j:
+                    continue
                 body = text[s:e]
-                n = len(_digits(body))
                 if i == j and _IP.fullmatch(body):
                     out.append((s, e, "ip"))
-                elif n >= 9 and body[0] in "+(" and body[-1].isdigit():
+                    continue
+                if n >= 7 and body[-1].isdigit():
                     out.append((s, e, "phone"))
-                elif n >= 13 and body[0].isdigit() and body[-1].isdigit() and not set(body) & set("().+"):
+                if n >= 13 and body[0].isdigit() and body[-1].isdigit() and not set(body) & set("().+"):
                     out.append((s, e, "card"))
     return out
 
 
+def looks_valid(text: str, c: tuple[int, int, str]) -> bool:
+    """Whether a candidate could be its kind by its form alone."""
+    body, d = text[c[0]:c[1]], _digits(text[c[0]:c[1]])
+    if c[2] == "email":
+        return _ADDRESS.fullmatch(body) is not None
+    if c[2] == "ip":
+        return _quad(body)
+    if c[2] == "card":
+        return 13 <= len(d) <= 19 and luhn(d)
+    return 7 <= len(d) <= 15 and _NUMBER.fullmatch(body) is not None
+
+
 def _sort_of(c: str) -> int:
     return 0 if not c else 1 if c.isspace() else 2 if c.isdigit() else 3 if c.isalpha() else 4 if c in ".,;!?" else 5
 
@@ -218,15 +237,10 @@ class Selector:
     def __init__(self, texts: list[str], precision: float = PRECISION):
         rows: dict[str, list] = {k: [] for k in KINDS}
         for t in texts:
-            base, dropped = base_spans(t)
-            truth = set(base)
-            starts = [s for s, _ in sorted(dropped)]
-            ends = [e for _, e in sorted(dropped)]
+            truth = set(base_spans(t)[0])
             for c in candidates(t):
-                k = bisect_right(starts, c[0]) - 1
-                if c not in truth and any(c[0] < ends[i] and starts[i] < c[1] for i in range(max(0, k - 2), min(len(starts), k + 3))):
-                    continue  # inside a match that was dropped whole: unknown
-                rows[c[2]].append((features(t, c[0], c[1]), c in truth))
+                if c in truth or not looks_valid(t, c):  # other valid-looking ones: unknown
+                    rows[c[2]].append((features(t, c[0], c[1]), c in truth))
         self.models: dict[str, tuple[BoostedTrees, float]] = {}
         for kind, r in rows.items():
             y = np.array([b for _, b in r], float)
@@ -247,21 +261,19 @@ class Selector:
 
     def spans(self, text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
         """Base spans, and all spans with the added ones."""
-        base, dropped = base_spans(text)
-        if not dropped and not any(k not in ("email",) for _, _, k in base) and "@" not in text:
-            return base, base
+        base = base_spans(text)[0]
         taken, scored = sorted((s, e) for s, e, _ in base), []
         known = set(base)
         for c in candidates(text):
-            if c in known or c[2] not in self.models or _overlaps(taken, c):
+            if c in known or c[2] not in self.models or _overlaps(taken, c) or not looks_valid(text, c):
                 continue
             model, least = self.models[c[2]]
             value = model.score(features(text, c[0], c[1]))
             if value >= least:
-                scored.append((-value, c))
+                scored.append((-value, c[0] - c[1], c))  # the longer of equals
         added: list[tuple[int, int]] = []
         out = list(base)
-        for _, c in sorted(scored):
+        for *_, c in sorted(scored):
             if not _overlaps(added, c):
                 added.append(c[:2])
                 added.sort()

@@ -156,6 +156,31 @@ def test_selector_adds_what_a_dropped_match_hid():
     assert pii.redact_text(None, []) is None
 
 
+def test_candidates_of_every_digit_run():
+    def spans(t):
+        return {(t[s:e], k) for s, e, k in pii.candidates(t)}
+    assert ("+33 6 12 34 56 78", "phone") in spans("+33 6 12 34 56 78 (2024-01-15")
+    assert ("030 1234567", "phone") in spans("tel 030 1234567 now")
+    assert ("(555) 123-4567", "phone") in spans("Tel (555) 123-4567")
+    assert ("4111 1111  1111 1111", "card") in spans("4111 1111  1111 1111")
+    assert max(len(_digits(t)) for t, _ in spans("1 " * 1000)) <= 19
+
+
+def _digits(t):
+    return re.sub("[^0-9]", "", t)
+
+
+def test_selector_looks_at_texts_without_a_base_match():
+    texts = [f"call +1 (202) 555-{1000 + i} or 4{i:03d} now, v{i}.2.3" for i in range(400)]
+    texts += [f"tel +33 6 12 {i % 90 + 10} 56 78 ok" for i in range(200)]
+    texts += [f"pay {' '.join(re.findall('....', str(4000000000000000 + 997 * i)))} soon" for i in range(800)]
+    s = pii.Selector(texts)
+    t = "pay 4111 1111  1111 1111 soon"
+    assert s.spans(t) == ([], [(4, 24, "card")])
+    assert s.spans(t.replace("4111", "4112")) == ([], [])
+    assert s.spans("call +33 6 12 34 56 78 (2024-01-15") == ([], [(5, 22, "phone")])
+
+
 def test_pii_edges(spark):
     docs = edge(spark, [(8, "mail a.b@c.example.com, 10.0.0.1", "en", "s", 1, 1, "k")])
     sel = pii.train(docs)
