@@ -51,7 +51,18 @@ def cut(df: DataFrame) -> DataFrame:
     and so do the constraints that a checkpointed plan would carry on."""
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._loomstat_table = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables written by ``cut`` that nothing reads any more (their
+    successors are written in full)."""
+    for t in tables:
+        jvm = t.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t._loomstat_table)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:
