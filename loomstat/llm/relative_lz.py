@@ -244,7 +244,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """``id, tag, s, e``: word ranges to remove from ``docs(id, text)`` (they may overlap)."""
     spark = C.prepare(docs.sparkSession)
     every = C.cut(runs(docs))
-    shared = every.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    shared = C.cut(every.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"))  # written: a hot key of the join can be split
     rows = C.cut(every.join(shared, "key"))
     C.discard(every)
     C.release(spark)
@@ -254,7 +254,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                   .select("id", tag.alias("tag"), first.cast("int").alias("s"), (first + n + WINDOW - 1).cast("int").alias("e")))
     C.discard(rows)
     C.release(spark)
-    many = classes.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    many = C.cut(classes.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
     leads = C.cut(classes.join(many, "key").drop("content"))
     C.discard(classes)
     bodies = C.cut(_bodies(docs, leads))
