@@ -147,8 +147,9 @@ def group_variants(docs: DataFrame) -> DataFrame:
     C.prepare(docs.sparkSession)
     words = C.cut(vocabulary(docs))
     pairs = near_words(words)
-    sides = pairs.select(F.col("a").alias("word"), F.col("b").alias("near"), F.col("b_n").alias("near_n")).union(
-        pairs.select(F.col("b").alias("word"), F.col("a").alias("near"), F.col("a_n").alias("near_n")))
+    sides = F.array(F.struct(F.col("a").alias("word"), F.col("b").alias("near"), F.col("b_n").alias("near_n")),
+                    F.struct(F.col("b").alias("word"), F.col("a").alias("near"), F.col("a_n").alias("near_n")))
+    sides = pairs.select(F.inline(sides))
     best = sides.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("best"))
     found = (words.join(best, "word", "left")
              .withColumn("ok", F.coalesce(-F.col("best.less") >= F.lit(RATIO) * F.col("n"), F.lit(False)))
