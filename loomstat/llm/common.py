@@ -9,7 +9,7 @@ which bounds the memory of a task however long one text is.
 from __future__ import annotations
 
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +65,17 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_EMPTY: dict[str, Callable[[], None]] = {}
+
+
+def in_use(owner: str, empty: Callable[[], None] = lambda: None) -> None:
+    """Called in a worker by the step that runs there: the caches of all other
+    steps are emptied, as workers outlive the steps that filled them."""
+    for k in [k for k in _EMPTY if k != owner]:
+        _EMPTY.pop(k)()
+    _EMPTY[owner] = empty
+
+
 def release(spark: SparkSession) -> None:
     """Let the shuffle files of finished steps go: Spark removes them when the
     driver's garbage collector finds their plans unused."""
@@ -236,11 +247,13 @@ def components(edges: DataFrame) -> DataFrame:
     aggregates and equi-joins, cut each round. Tasks first reduce their edges
     to stars, and once more after these are dealt by their roots.
     """
-    edges = cut(_forest(_forest(edges).repartition("a")))
-    both = cut(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    stars = cut(_forest(_forest(edges).repartition("a")))
+    both = cut(stars.select("a", "b").union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
                        .where("a <> b").distinct())
-    label = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
+    discard(stars)
+    table = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
                         .select("node", F.least("node", "m").alias("root")))
+    label = table
     while True:
         near = (both.join(label, both["b"] == label["node"]).groupBy("a").agg(F.min("root").alias("m")))
         step = (label.join(near, label["node"] == near["a"])
@@ -249,6 +262,8 @@ def components(edges: DataFrame) -> DataFrame:
         new = cut(step.join(up, "root", "left")
                           .select("node", F.coalesce(F.least("root", "top"), "root").alias("root"), "old"))
         moved = new.where("root <> old").limit(1).count()
-        label = new.select("node", "root")
+        discard(table)
+        table, label = new, new.select("node", "root")
         if not moved:
+            discard(both)
             return label

@@ -109,6 +109,7 @@ def rarity_tables(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Which hash slots the commonest words and shingles fall in: two boolean
     tables of ``2 ** SLOT_BITS`` entries, whatever the size of the corpus."""
     def count(batches):
+        C.in_use("jaccard_join")
         for b in batches:
             data, offs = C.buffer(b.column("text"))
             parts = [C.words(data, offs[i:j + 1], C.SPACES)[0] for i, j in C.groups(offs)]
@@ -127,6 +128,7 @@ def rarity_tables(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
         table = np.zeros(1 << SLOT_BITS, bool)
         table[np.asarray(top.column("slot")).astype(np.int64)] = True
         out.append(table)
+    C.discard(seen)
     return out[0], out[1]
 
 
@@ -166,8 +168,9 @@ def prefix_rows(docs: DataFrame, k: int, t: int, tables) -> DataFrame:
         emit, "doc_id long, n long, sid binary, prefix array<long>")
 
 
-def candidate_links(nodes: DataFrame, t: int) -> DataFrame:
-    """Candidate pairs ``(a, b)`` of ``nodes(sid, n, prefix)`` (one row per set).
+def candidate_links(nodes: DataFrame, t: int) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs ``(a, b)`` of ``nodes(sid, n, prefix)`` (one row per set),
+    and the written table that they are read from.
 
     Buckets up to ``BUCKET`` rows give pairs under the length and position
     filters, at most ``BUCKET / 2`` for each row; a larger bucket gives a star, which
@@ -186,7 +189,7 @@ def candidate_links(nodes: DataFrame, t: int) -> DataFrame:
     large = rows.where(f"c > {BUCKET}")
     star = (large.join(large.groupBy("token").agg(F.min("sid").alias("hub")), "token")
             .where("sid <> hub").select(F.col("hub").alias("a"), F.col("sid").alias("b")))
-    return pairs.union(star)
+    return pairs.union(star), rows
 
 
 def linked(sets: list[np.ndarray], prefixes: list[list[np.ndarray]], t: int, left: int | None = None):
@@ -288,7 +291,9 @@ def links(docs: DataFrame, k: int = 3, t: int = 90) -> tuple[DataFrame, DataFram
     seen = C.cut(prefix_rows(docs, k, t, tables))
     nodes = (seen.where("sid is not null").groupBy("sid")
              .agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")))
-    group = C.components(candidate_links(nodes, t))
+    pairs, rows = candidate_links(nodes, t)
+    group = C.components(pairs)
+    C.discard(rows)
     C.release(spark)
     rep = (seen.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
            .join(group, F.col("sid") == F.col("node")))
@@ -305,11 +310,12 @@ def links(docs: DataFrame, k: int = 3, t: int = 90) -> tuple[DataFrame, DataFram
         for r in range(ROUNDS):
             block = F.pmod(F.xxhash64("sid", F.lit(r)), F.ceil(F.col("members") / CELL))
             cell = F.concat("root", F.encode(F.concat(F.lit(f"/{r}/"), block.cast("string")), "utf-8"))
-            found = found.union(_verify(large.select(cell.alias("cell"), F.lit(1).alias("side"), *body), t))
+            found = found.union(C.cut(_verify(large.select(cell.alias("cell"), F.lit(1).alias("side"), *body), t)))
+            C.release(spark)  # the bodies of one dealing at a time
         found = C.cut(found)
-        C.release(spark)
         found = found.union(_outsiders(large, found, t))
     edges = C.cut(found)
+    C.discard(sets, large)
     C.release(spark)
     return seen.select("doc_id", "n", "sid"), C.components(edges)
 
