@@ -41,7 +41,7 @@ from loomstat.llm import common as C
 from loomstat.llm.token_output import byte_letters, vocabulary_path
 
 BYTE_FILE = "byte_bpe_50k.json"
-CACHED = 700_000
+CACHED = 300_000  # pieces of a worker's cache (some 300 bytes each)
 SHORT = 48        # bytes up to which the plain loop is faster than the heap
 BLOCK = 8192      # tokens per step of the decoder
 
@@ -297,10 +297,17 @@ def _portions(texts: list[str | None], size: int = 1_000_000):
 
 
 @lru_cache(maxsize=2)
-def codec(name: str) -> Codec:
+def _codec(name: str) -> Codec:
     return Codec(name)
 
 
+def codec(name: str) -> Codec:
+    """The worker's codec for this file, its pieces kept from task to task."""
+    c = _codec(name)
+    C.in_use("bpe_stream", c.pieces.clear)
+    return c
+
+
 def encode(docs: DataFrame, vocabulary: str = BYTE_FILE) -> DataFrame:
     """``doc_id, ids`` of every whole text."""
     def go(batches):
@@ -333,16 +340,19 @@ def round_trip(docs: DataFrame, vocabulary: str = BYTE_FILE, keep_ids: bool = Fa
         c = codec(vocabulary)
         name = [str(i) for i in range(len(c.merges.text))]
         for b in batches:
-            n, one, two, every = [], [], [], []
-            for ids in (i.tolist() for p in _portions(b.column("text").to_pylist()) for i in c.encode_many(p)):
-                n.append(len(ids))
-                if keep_ids:
-                    every.append(ids)
-                one.append(hashlib.sha256(",".join(map(name.__getitem__, ids)).encode()).hexdigest())
-                two.append(hashlib.sha256(c.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(one, pa.string()), pa.array(two, pa.string()),
-                                              *([pa.array(every, pa.list_(pa.int32()))] if keep_ids else [])],
-                                             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if keep_ids else [])])
+            at = 0
+            for p in _portions(b.column("text").to_pylist()):  # a portion's ids are passed on before the next is read
+                packed, one, two = c.encode_many(p), [], []
+                for ids in packed:
+                    ids = ids.tolist()
+                    one.append(hashlib.sha256(",".join(map(name.__getitem__, ids)).encode()).hexdigest())
+                    two.append(hashlib.sha256(c.decode(ids).encode()).hexdigest())
+                n = np.array([len(i) for i in packed], np.int64)
+                offs = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
+                every = [pa.ListArray.from_arrays(offs, pa.array(np.concatenate(packed), pa.int32()))] if keep_ids else []
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(at, len(p)), pa.array(n), pa.array(one, pa.string()), pa.array(two, pa.string()), *every],
+                                                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if keep_ids else [])])
+                at += len(p)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         go, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if keep_ids else ""))

@@ -224,6 +224,7 @@ def _shard(p: Phrases, b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.nd
 
 def _scan(docs: DataFrame, phrases) -> DataFrame:
     def go(batches):
+        C.in_use("decontaminate")
         p = phrases.value
         for b in batches:
             rows = {"n_words": [], "hits": [], "items": [], "spans": []}
@@ -268,6 +269,7 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW, b
 
 def _clean(docs: DataFrame, phrases) -> DataFrame:
     def go(batches):
+        C.in_use("decontaminate")
         p = phrases.value
         for b in batches:
             ids, first, _ = _shard(p, b)

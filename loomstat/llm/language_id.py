@@ -6,7 +6,9 @@ time. A segment is a run of letters, digits and non-ASCII bytes (ASCII letters
 in lower case), cut every ``SEGMENT`` bytes; the states start anew at each segment, so
 a segment's label is the same wherever it stands and is computed once per
 worker. A document pools the mean position log-probabilities of all segments
-of its whole text.
+of its whole text; ``score`` is the share of the best label in the mean over its
+segments, so it does not grow with the length. A segment with a byte that was
+not learned (another script) counts as undecided.
 
 Training takes a bounded sample: the ``sample_rows`` labelled rows with the
 least seeded hash of the id (a top-k, not a prefix), and of their
@@ -33,7 +35,8 @@ SEGMENT = 32             # bytes
 SAMPLE_ROWS = 6000
 SAMPLE_SEGMENTS = 40_000
 HIDDEN, EMBED = 16, 8
-CACHED = 1_000_000
+SEEN = 1e-5              # least share of a byte in the distinct learned segments
+CACHED = 300_000         # segments of a worker's cache (some 150 bytes each)
 _ASCII_LETTER = re.compile("[A-Za-z]")
 
 
@@ -200,13 +203,16 @@ class Predictor:
         new = [i for i, x in enumerate(u.tolist()) if x not in self.known]
         if new:
             body = raw.tobytes()
-            values = self.model.pooled([body[s[at[i]]:e[at[i]]] for i in new])
+            parts = [body[s[at[i]]:e[at[i]]] for i in new]
+            values = self.model.pooled(parts)
+            strange = [k for k, x in enumerate(parts) if x.translate(None, self.model.seen)]
+            values[strange] = -np.log(len(self.model.labels))  # bytes that were never learned say nothing
             self.known.update(zip(u[new].tolist(), range(len(self.rows), len(self.rows) + len(new))))
             self.rows = np.concatenate([self.rows, values])
         return self.rows[np.fromiter(map(self.known.__getitem__, u.tolist()), np.int64, len(u))][inv]
 
     def log_probs(self, col: pa.Array) -> np.ndarray:
-        """Pooled label scores of each row."""
+        """Mean label scores over the segments of each row."""
         data, offs = C.buffer(col)
         out = np.zeros((len(col), len(self.model.labels)))
         for i, j in C.groups(offs, 4_000_000):
@@ -215,7 +221,7 @@ class Predictor:
             if not len(h):
                 continue
             total = np.concatenate([np.zeros((1, out.shape[1])), np.cumsum(self._segments(raw, h, s, e), 0, dtype=np.float64)])
-            out[i:j] = total[first[1:]] - total[first[:-1]]
+            out[i:j] = (total[first[1:]] - total[first[:-1]]) / np.maximum(np.diff(first), 1)[:, None]
         return out
 
 
@@ -224,6 +230,7 @@ _LAST: list[Predictor] = []
 
 def predictor(model: BiGRU) -> Predictor:
     """The worker's predictor for this model, kept from task to task."""
+    C.in_use("language_id", _LAST.clear)
     if not _LAST or _LAST[0].model.mark != model.mark:
         _LAST[:] = [Predictor(model)]
     return _LAST[0]
@@ -262,7 +269,10 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_segments: int
     rest = np.setdiff1d(np.arange(len(names)), top)
     pick = np.concatenate([top, np.random.default_rng(5).permutation(rest)[:sample_segments - len(top)]])
     target = (each[pick] + 1e-9) / (each[pick] + 1e-9).sum(1, keepdims=True)
-    return BiGRU(labels).fit([names[i] for i in pick], target.astype(np.float32), weight[pick] / weight[pick].mean())
+    model = BiGRU(labels).fit([names[i] for i in pick], target.astype(np.float32), weight[pick] / weight[pick].mean())
+    often = np.bincount(np.frombuffer(b"".join(names), np.uint8), minlength=256)
+    model.seen = bytes(np.flatnonzero(often > SEEN * often.sum()).tolist())
+    return model
 
 
 def predict(docs: DataFrame, model: BiGRU | None, keep: list[str] | None = None) -> DataFrame:
