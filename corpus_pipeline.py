@@ -3,6 +3,13 @@
 Each stage takes ``(spark, docs, sf_dir)`` and works on all rows the stage
 before it kept; its result is written as Parquet and read again. All but the
 last return the columns of ``documents``.
+
+Defined results, by stage: null, empty and letterless texts have no language and
+go in the first stage (alone, the later stages keep them); a text of any length
+is read whole; of near copies the one with the smallest id stays, and of rows
+equal in id and text one; other rows with one id all stay; a null id is kept
+like any other; extra columns are passed on by every stage but the last; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -14,7 +21,7 @@ from loomstat.llm import bpe_stream, common, decontaminate, jaccard_join, langua
 from loomstat.session import scratch_path
 
 NEAR_WORDS, NEAR_PERCENT = 5, 80  # word shingles and Jaccard similarity of near copies; op10 has its own
-LEAST_SCORE = 0.3  # a text whose best language has less is rejected, as is a text without a letter
+LEAST_SCORE = 0.5  # a text whose best language has less on average is rejected, as is a text without a letter
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
