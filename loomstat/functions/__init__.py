@@ -1,19 +1,15 @@
 """Column expressions (F1-F15 and the distribution helpers).
 
-Everything here returns a ``Column`` built from Spark built-ins, so it runs
-inside whole-stage codegen. The only Python code is three pandas UDFs
-(normal and Student-t tails, log-gamma) meant for one-row summary frames.
+Everything here returns a ``Column`` built from Spark built-ins; there is no
+Python code at run time.
 """
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 
 def _c(x) -> Column:
@@ -165,66 +161,6 @@ def normal_quantile(p) -> Column:
     return F.when(p < lo, lower).when(p > 1 - lo, upper).otherwise(central)
 
 
-# --- pandas UDFs for summary rows only -----------------------------------------
-
-@F.pandas_udf(DoubleType())
-def normal_upper_tail(z: pd.Series) -> pd.Series:
-    """P(Z > z) for a standard normal."""
-    return z.map(lambda v: 0.5 * math.erfc(v / math.sqrt(2)) if pd.notna(v) else np.nan)
-
-
-@F.pandas_udf(DoubleType())
-def log_gamma(x: pd.Series) -> pd.Series:
-    return x.map(lambda v: math.lgamma(v) if pd.notna(v) and v > 0 else np.nan)
-
-
-def _betacf(a: float, b: float, x: float) -> float:
-    # continued fraction for the regularized incomplete beta (modified Lentz)
-    tiny = 1e-300
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 300):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        de = d * c
-        h *= de
-        if abs(de - 1.0) < 3e-16:
-            break
-    return h
-
-
-def _reg_inc_beta(a: float, b: float, x: float) -> float:
-    if x <= 0:
-        return 0.0
-    if x >= 1:
-        return 1.0
-    lbt = (math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-           + a * math.log(x) + b * math.log(1 - x))
-    if x < (a + 1) / (a + b + 2):
-        return math.exp(lbt) * _betacf(a, b, x) / a
-    return 1.0 - math.exp(lbt) * _betacf(b, a, 1 - x) / b
-
-
-def student_t_two_sided(t: float, dof: float) -> float:
-    if t is None or dof is None or not np.isfinite(t) or dof <= 0:
-        return float("nan")
-    return _reg_inc_beta(dof / 2.0, 0.5, dof / (dof + t * t))
-
-
-@F.pandas_udf(DoubleType())
-def t_two_sided_p(t: pd.Series, dof: pd.Series) -> pd.Series:
-    """Two-sided Student-t p-value, P(|T| > |t|)."""
-    return pd.Series([student_t_two_sided(a, b) if pd.notna(a) and pd.notna(b) else np.nan
-                      for a, b in zip(t, dof)])
+# --- tails and gamma functions (K1, K4, K11, F12) -------------------------------
+
+from loomstat.functions.tails import log_gamma, normal_upper_tail, t_two_sided_p  # noqa: E402,F401

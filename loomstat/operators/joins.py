@@ -28,11 +28,12 @@ def salted_join(rows: DataFrame, few: DataFrame, key: str, salts: int = 64) -> D
 
     Every row takes one of ``salts`` by the hash of its values; each row of
     ``few`` is repeated for all of them, so a hot key is spread over that many
-    join keys.
+    join keys. NULL is a key like any other.
     """
     many = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
-    each = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return many.join(each, [key, "_salt"]).drop("_salt")
+    each = few.withColumnRenamed(key, "_key").withColumn("_each", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    joined = many.join(each, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_salt") == F.col("_each")))
+    return joined.select(*rows.columns, *[c for c in few.columns if c != key])
 
 
 def equi_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:

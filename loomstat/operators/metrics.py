@@ -14,12 +14,20 @@ from loomstat import functions as LF
 from loomstat.operators.sampling import prefix_sums
 
 
-def confusion_long(df: DataFrame, label: str, pred: str, labels: list) -> DataFrame:
+def confusion_long(df: DataFrame, label: str, pred: str, labels: list, other=None) -> DataFrame:
     """M9: counts for every (label, prediction) cell of a fixed label list,
-    zero cells included."""
-    counts = df.groupBy(F.col(label).alias("label"), F.col(pred).alias("prediction")) \
+    zero cells included.
+
+    A row whose label or prediction is not in the list (or NULL) raises; with
+    ``other`` it is counted under that value instead. No row is left out.
+    """
+    def known(c: str):
+        says = F.concat(F.lit("label not in the list: "), F.coalesce(F.col(c).cast("string"), F.lit("NULL")))
+        return F.when(F.col(c).isin(labels), F.col(c)).otherwise(F.raise_error(says) if other is None else F.lit(other))
+
+    counts = df.groupBy(known(label).alias("label"), known(pred).alias("prediction")) \
         .agg(F.count(F.lit(1)).alias("n"))
-    arr = F.array(*[F.lit(v) for v in labels])
+    arr = F.array(*[F.lit(v) for v in [*labels, *([] if other is None else [other])]])
     spine = (df.sparkSession.range(1)
              .select(F.explode(arr).alias("label"))
              .select("label", F.explode(arr).alias("prediction")))

@@ -147,17 +147,17 @@ def _topk_block(k: int):
     return fn
 
 
-def knn_vote(train: DataFrame, test: DataFrame, id_col: str, vec: str, label: str,
-             k: int = 5, weights: str = "uniform", block_rows: int = 20000) -> DataFrame:
-    """M5: exact kNN classification.
+def nearest(train: DataFrame, test: DataFrame, id_col: str, vec: str, label: str,
+            k: int = 5, block_rows: int = 20000) -> DataFrame:
+    """M5: the exact ``k`` nearest training rows ``(qid, tid, nlabel, dist)`` of
+    each test row (Euclidean, ties by id).
 
     Train rows are hashed into ``B`` blocks and test rows into ``C`` chunks;
     each (chunk, block) cell meets once in a ``cogroup`` where numpy scores
     the pairs and emits only the ``k`` nearest per test row. Every pair is
     scored, none is materialised as a row, and a cell holds at most
-    ``block_rows`` rows of each side. A final top-``k`` per test row over
-    ``B * k`` candidates and a vote (ties to the smallest label, as
-    ``scipy.stats.mode``) give the prediction.
+    ``block_rows`` rows of each side. A final top-``k`` per test row runs over
+    ``B * k`` candidates.
     """
     n_tr = train.count()
     n_te = test.count()
@@ -173,7 +173,14 @@ def knn_vote(train: DataFrame, test: DataFrame, id_col: str, vec: str, label: st
     cand = (te.groupBy("c", "b").cogroup(tr.groupBy("c", "b"))
             .applyInPandas(_topk_block(k), "qid long, tid long, nlabel long, dist double"))
     w = Window.partitionBy("qid").orderBy("dist", "tid")
-    nn = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
+    return cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
+
+
+def knn_vote(train: DataFrame, test: DataFrame, id_col: str, vec: str, label: str,
+             k: int = 5, weights: str = "uniform", block_rows: int = 20000) -> DataFrame:
+    """M5: exact kNN classification: ``nearest``, then a vote (uniform or by
+    inverse distance; ties to the smallest label, as ``scipy.stats.mode``)."""
+    nn = nearest(train, test, id_col, vec, label, k, block_rows)
     wt = F.lit(1.0) if weights == "uniform" else F.when(F.col("dist") == 0, F.lit(1e300)) \
         .otherwise(1.0 / F.col("dist"))
     votes = nn.groupBy("qid", "nlabel").agg(F.sum(wt).alias("_v"))

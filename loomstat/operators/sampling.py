@@ -81,17 +81,21 @@ def sample_n(df: DataFrame, n: int, key: list[str], seed: int = 0) -> DataFrame:
 def sample_fraction(df: DataFrame, frac: float, key: list[str], seed: int = 0) -> DataFrame:
     """Exact ``round(frac * n)`` rows without replacement, seeded.
 
-    Keys are ranked by their seeded hash with ``ordered_index``; the rows up
-    to the key at position ``m`` are kept (keys are unique).
+    Keys (with a hash of the row, should a key repeat) are ranked by their
+    seeded hash with ``ordered_index``; the rows before the one at position
+    ``m - 1`` are kept, and of the rows equal to it as many as are missing.
     """
     # only the keys are numbered; the rows are then filtered by the hash at the cut
-    draw = df.withColumn("_u", hash_unit(seed, *key))
-    ranked = ordered_index(draw.select("_u", *key), ["_u", *key], "_r")
+    draw = df.withColumn("_u", hash_unit(seed, *key)).withColumn("_h", F.xxhash64(*df.columns))
+    order = ["_u", *key, "_h"]
     m = df.agg(F.round(F.count(F.lit(1)) * F.lit(frac)).cast("long").alias("_m"))
-    last = (ranked.join(F.broadcast(m), F.col("_r") == F.col("_m") - 1)
-            .agg(F.max(F.struct("_u", *key)).alias("_cut")))
-    return (draw.join(F.broadcast(last), F.struct("_u", *key) <= F.col("_cut"))
-            .drop("_u", "_cut"))
+    ranked = ordered_index(draw.select(*order), order, "_r").join(F.broadcast(m), F.col("_r") < F.col("_m"))
+    me = F.struct(*order)
+    last = ranked.agg(F.max(me).alias("_cut"))
+    at_cut = ranked.join(F.broadcast(last), me == F.col("_cut")).count()
+    draw = draw.join(F.broadcast(last), me <= F.col("_cut"))
+    kept = draw.where(me < F.col("_cut")).unionByName(draw.where(me == F.col("_cut")).limit(at_cut))
+    return kept.drop("_u", "_h", "_cut")
 
 
 def sample_with_replacement(df: DataFrame, frac: float, key: list[str],
@@ -200,9 +204,8 @@ def stratified_folds(df: DataFrame, k: int, label: str, key: list[str], seed: in
     """
     idx = ordered_index(df.withColumn("_u", hash_unit(seed, *key)), [label, "_u", *key], "_p")
     start = idx.groupBy(label).agg(F.min("_p").alias("_s"))
-    # classes are few and may be huge
-    return (salted_join(idx.withColumn("_l", F.coalesce(F.col(label).cast("string"), F.lit(""))),
-                        start.select(F.coalesce(F.col(label).cast("string"), F.lit("")).alias("_l"), "_s"), "_l").drop("_l")
+    # classes are few and may be huge; NULL is a class of its own
+    return (salted_join(idx, start, label)
             .withColumn(name, F.pmod(F.col("_p") - F.col("_s"), F.lit(k)).cast("int"))
             .drop("_u", "_p", "_s"))
 
@@ -285,7 +288,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], by: str | None
     inside = lambda k: (F.col("_lo") <= F.col(k)) & (F.col(k) < F.col("_hi"))
     cond = inside("_klo") | inside("_khi")
     if by:
-        j = ends.join(pos, [by]).filter(cond)
+        j = ends.join(pos.withColumnRenamed(by, "_by"), F.col(by).eqNullSafe(F.col("_by")) & cond)  # NULL is a group
     else:  # pos has one row per probability
         j = ends.join(F.broadcast(pos), cond, "inner")
     q = j.groupBy(*g, "_i", "_h").agg(

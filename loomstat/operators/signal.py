@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomstat.operators.sampling import with_previous
+from loomstat.operators.ranges import with_previous
 
 
 def peak_scaled(df: DataFrame, id_col: str, x: str) -> DataFrame:

@@ -60,7 +60,7 @@ def pearson_by_group(df: DataFrame, group: str, x: str, y: str) -> DataFrame:
 
 def pearson_p(by_group: DataFrame) -> DataFrame:
     """Two-sided p-value of r from Student's t with n - 2 degrees of
-    freedom; the UDF runs on the summary rows only (one per group)."""
+    freedom; the tail is a column expression."""
     exact = F.abs("r") >= 1  # t is infinite: p = 0
     t = F.col("r") * F.sqrt(F.try_divide(F.col("n") - 2, F.greatest(1 - F.col("r") * F.col("r"), F.lit(0.0))))
     return by_group.withColumn("t", F.when(exact, F.signum("r") * F.lit(float("inf"))).otherwise(t)).withColumn(
@@ -113,10 +113,10 @@ def boxplot_stats(df: DataFrame, group: str, col: str, exact: bool = True) -> Da
 def pct_change(df: DataFrame, by: str, order: list[str], value: str) -> DataFrame:
     """``(c / c.shift(1) - 1) * 100`` within each series; first row dropped.
 
-    The previous value comes from a position self-join (``with_previous``),
-    so one dominant series is spread over many tasks.
+    The previous value comes from ``lag`` inside sorted ranges
+    (``ranges.with_previous``), so one dominant series is spread over many tasks.
     """
-    from loomstat.operators.sampling import with_previous
+    from loomstat.operators.ranges import with_previous
     t = with_previous(df, order, [value], by=by)
     return (t.filter(F.col(f"prev_{value}").isNotNull())
             .withColumn("pct_return",
@@ -201,7 +201,7 @@ def proportion_ztest(df: DataFrame, success: Column, p0: float,
 
 
 def with_upper_p(test: DataFrame) -> DataFrame:
-    """K1: upper-tail p-value of ``z`` (pandas UDF on the summary row)."""
+    """K1: upper-tail p-value of ``z``."""
     return test.withColumn("p_value", LF.normal_upper_tail(F.col("z")))
 
 
@@ -209,10 +209,10 @@ def trapezoid(df: DataFrame, x: str, y: str, by: str | None = None) -> DataFrame
     """K7: integral of tabulated ``y(x)`` by the trapezoid rule.
 
     Points are ordered by (x, y), so the area does not depend on input order
-    when x repeats. Consecutive points are paired by a position self-join, not a window, so
-    the sum is computed in parallel across the whole curve.
+    when x repeats. Consecutive points are paired inside sorted ranges with one carry row
+    each, so the sum is computed in parallel across the whole curve.
     """
-    from loomstat.operators.sampling import with_previous
+    from loomstat.operators.ranges import with_previous
     t = with_previous(df.select(*([by] if by else []), x, y), [x, y], [x, y], by=by)
     t = t.filter(F.col(f"prev_{x}").isNotNull())
     area = (F.col(x) - F.col(f"prev_{x}")) * (F.col(y) + F.col(f"prev_{y}")) / 2

@@ -268,6 +268,21 @@ def json_nested_pairs(spark, d):
     return r.select("month", "category", F.col("total_text").try_cast("double").alias("total"))
 
 
+@query("json_files", """
+SELECT strftime(l_shipdate, '%m-%Y') AS month, p_type AS category,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2""")
+def json_files(spark, d):
+    """The same documents written to text files and read back as VARIANT."""
+    m = monthly_sum_by_category(spark, d).withColumn("year", F.substring("month", 4, 4))
+    item = F.concat(F.lit("["), F.to_json(F.array("month", "category")), F.lit(","), F.col("total").cast("string"), F.lit("]"))
+    docs = m.groupBy("year", "category").agg(F.concat(F.lit("["), F.array_join(F.collect_list(item), ","), F.lit("]")).alias("value"))  # 12 entries
+    path = scratch_path(spark, "json")
+    docs.select("value").write.text(path)
+    pairs, _ = S.read_json_pairs(spark, path)
+    return pairs.select(F.col("key").alias("month"), "category", F.col("value").alias("total"))
+
+
 @query("csv_strings", """
 SELECT strftime(o_orderdate, '%m-%Y') AS month, count(*) AS n FROM orders GROUP BY 1""")
 def csv_strings(spark, d):
@@ -352,15 +367,17 @@ def read_write_roundtrip(spark, d):
 
 
 @query("file_listing", " UNION ALL ".join(
-    f"SELECT '{x}.parquet' AS file_name, count(*) AS n_rows FROM {x}" for x in ("customer", "orders", "part", "supplier")))
+    f"SELECT '{x}.parquet' AS file_name, count(*) AS n_rows FROM {x}" for x in (
+        "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations").split()))
 def file_listing(spark, d):
     """The files of a folder, file name as key, joined to the rows each holds."""
+    files = S.list_files(spark, d, "*.parquet").select("path", "file_name")
     out = None
-    for name in ("customer", "orders", "part", "supplier"):
-        rows = S.table(spark, d, name).select(F.regexp_extract(F.input_file_name(), r"([^/]+\.parquet)(?:/[^/]*)?$", 1).alias("file_name"))
+    for path in sorted(r["path"] for r in files.select("path").collect()):  # names of one folder's files, to be read
+        rows = spark.read.parquet(path).select(F.regexp_extract(F.input_file_name(), r"([^/]+\.parquet)(?:/[^/]*)?$", 1).alias("file_name"))
         out = rows if out is None else out.unionAll(rows)
     counts = out.groupBy("file_name").agg(F.count(F.lit(1)).alias("n_rows"))
-    return counts.select("file_name", "n_rows")
+    return files.select("file_name").join(counts, "file_name", "left").select("file_name", F.coalesce("n_rows", F.lit(0).cast("long")).alias("n_rows"))
 
 
 # --- projections and labels ---------------------------------------------------------

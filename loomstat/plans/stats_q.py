@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomstat import functions as LF
+from loomstat.functions import tails
 from loomstat.operators import calendar, clean, joins, sampling, stats
 from loomstat.plans.registry import query, t
 
@@ -73,11 +74,15 @@ def pearson_by_group(spark, d):
         .select("l_returnflag", _r("r"), "n")
 
 
-@query("pearson_p_by_group")
+@query("pearson_p_by_group", f"""
+WITH c AS (SELECT l_returnflag, corr(l_discount, l_tax) AS r, count(*)::DOUBLE AS n FROM lineitem GROUP BY 1),
+s AS (SELECT *, r * sqrt((n - 2) / (1 - r * r)) AS t FROM c)
+SELECT l_returnflag, round(r, 6) AS r, n::BIGINT AS n, round(t, 6) AS t, round({tails.t_two_sided_p_sql('t', '(n - 2)')}, 6) AS p_value FROM s""")
 def pearson_p_by_group(spark, d):
     """Pearson r with its two-sided p-value per group."""
     li = t(spark, d, "lineitem", "l_returnflag", "l_discount", "l_tax")
-    return stats.pearson_p(stats.pearson_by_group(li, "l_returnflag", "l_discount", "l_tax"))
+    p = stats.pearson_p(stats.pearson_by_group(li, "l_returnflag", "l_discount", "l_tax"))
+    return p.select("l_returnflag", _r("r"), "n", _r("t"), _r("p_value"))
 
 
 def _hist_sql(bins):
@@ -278,12 +283,17 @@ def ztest_share(spark, d):
     return z.select("n", "observed", _r("z"), "verdict")
 
 
-@query("ztest_pvalue")
+@query("ztest_pvalue", f"""
+WITH a AS (SELECT count(*)::DOUBLE AS n, count_if(event_type = 'purchase')::DOUBLE AS observed FROM events),
+b AS (SELECT *, (observed - n * 0.2) / sqrt(n * 0.2 * 0.8) AS z FROM a)
+SELECT n::BIGINT AS n, observed::BIGINT AS observed, round(z, 6) AS z, CASE WHEN z > 1.959963984540054 THEN 'reject' ELSE 'not rejected' END AS verdict,
+       round({tails.normal_upper_tail_sql('z')}, 9) AS p_value FROM b""")
 def ztest_pvalue(spark, d):
     """K1: the same test with its upper-tail p-value."""
     z = stats.proportion_ztest(t(spark, d, "events", "event_type"),
                                F.col("event_type") == "purchase", 0.2)
-    return stats.with_upper_p(z)
+    p = stats.with_upper_p(z)
+    return p.select("n", "observed", _r("z"), "verdict", _r("p_value", 9))
 
 
 @query("trapezoid", """

@@ -93,6 +93,25 @@ def read_json_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True)
 
 
+def read_json_pairs(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """S7 from files: documents ``[[[key, category], value], ...]``, one on a line.
+
+    A tuple of unlike elements has no Spark JSON schema, so documents are parsed
+    into VARIANT and taken apart by path. Returns ``(key, category, value)`` rows
+    and the rejects ``(reason, n)``: lines that are no JSON or no array, and
+    elements that are no such pair.
+    """
+    v = spark.read.text(path).where(F.col("value").isNotNull()).select(F.try_parse_json("value").alias("v"))
+    v = v.withColumn("all", F.try_variant_get("v", "$", "array<variant>"))
+    e = v.where(F.col("all").isNotNull()).select(F.explode("all").alias("e"))
+    pairs = e.select(F.try_variant_get("e", "$[0][0]", "string").alias("key"), F.try_variant_get("e", "$[0][1]", "string").alias("category"),
+                     F.try_variant_get("e", "$[1]", "double").alias("value"))
+    whole = F.col("key").isNotNull() & F.col("category").isNotNull() & F.col("value").isNotNull()
+    odd = v.where(F.col("all").isNull()).select(F.when(F.col("v").isNull(), F.lit("not JSON")).otherwise(F.lit("not an array")).alias("reason"))
+    bad = odd.unionByName(pairs.where(~whole).select(F.lit("bad element").alias("reason")))
+    return pairs.where(whole), bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- S9 - S13: delimited files with an explicit schema ------------------
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, *,
