@@ -35,7 +35,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomstat.llm import common as C
@@ -45,7 +45,8 @@ SHINGLES_KEPT = 200_000  # rows of the table of common shingles, at most
 SLOT_BITS = 22           # hash slots of either table, as a power of two
 BUCKET = 64              # rows of a token that are paired directly
 CELL = 256               # sets compared in one block
-ROUNDS = 3               # random dealings of a large group
+ROUNDS = 3               # random dealings of a large group, from the second on of some sets
+FEW = 4                  # sets of each component that are dealt again
 SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0], np.uint64)
 
 
@@ -231,35 +232,35 @@ def linked(sets: list[np.ndarray], prefixes: list[list[np.ndarray]], t: int, lef
 
 
 def _set_rows(docs: DataFrame, wanted: DataFrame, k: int, t: int, tables) -> DataFrame:
-    """``(sid, tokens, p1, p2)`` of the wanted sets: tokens and the prefixes
-    under the second and third order."""
+    """``(sid, tokens)`` of the sets that ``wanted(doc_id, sid)`` names. Rows
+    equal in id and set give the set again; cells drop such copies."""
     common, hot = tables
 
     def emit(batches):
         for b in batches:
-            sid, tok, one, two = [], [], [], []
-            for _, s in _documents(b, k, (common.value, hot.value)):
-                sid.append(_digest(s))
-                tok.append(s.tobytes())
-                one.append(_first(s, t, SEEDS[1]).view(np.int64))
-                two.append(_first(s, t, SEEDS[2]).view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in (sid, tok)] + [pa.array(x, pa.list_(pa.int64())) for x in (one, two)],
-                                             names=["sid", "tokens", "p1", "p2"])
-
-    want = wanted.select(F.col("doc_id").alias("want"))
+            sid, tok, want = [], [], b.column("want_sid").to_pylist()
+            for r, s in _documents(b, k, (common.value, hot.value)):
+                if (d := _digest(s)) == want[r]:
+                    sid.append(d)
+                    tok.append(s.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in (sid, tok)], names=["sid", "tokens"])
+
+    want = wanted.select(F.col("doc_id").alias("want"), F.col("sid").alias("want_sid"))
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(want, F.col("doc_id").eqNullSafe(F.col("want")))
-    return text.select("text").mapInArrow(emit, "sid binary, tokens binary, p1 array<long>, p2 array<long>").dropDuplicates(["sid"])
+    return text.select("text", "want_sid").mapInArrow(emit, "sid binary, tokens binary")
 
 
 def _verify(cells: DataFrame, t: int) -> DataFrame:
-    """Links ``(a, b)`` of ``cells(cell, side, sid, tokens, p1, p2)``: within a
-    cell, or between its sides 0 and 1 when it has both; each component of a
+    """Links ``(a, b)`` of ``cells(cell, side, sid, tokens)``: within a cell, or between its sides 0 and 1 when it has both; each component of a
     cell gives a star, which keeps the components with few rows."""
     def go(g: pa.Table) -> pa.Table:
-        g = g.sort_by("side")
+        g = g.sort_by([("side", "ascending"), ("sid", "ascending")])
+        side, sid = np.asarray(g.column("side")), g.column("sid").to_pylist()
+        once = [x == 0 or sid[x] != sid[x - 1] or side[x] != side[x - 1] for x in range(len(sid))]
+        g = g.filter(pa.array(once))
         side = np.asarray(g.column("side"))
         sets = [np.frombuffer(x, np.uint64) for x in g.column("tokens").to_pylist()]
-        first = [[np.array(x, np.int64).view(np.uint64) for x in g.column(c).to_pylist()] for c in ("p1", "p2")]
+        first = [[_first(x, t, seed) for x in sets] for seed in SEEDS[1:]]
         left = int((side == 0).sum())
         i, j = linked(sets, first, t, left if 0 < left < len(side) else None)
         sid = g.column("sid").to_pylist()
@@ -297,35 +298,61 @@ def links(docs: DataFrame, k: int = 3, t: int = 90) -> tuple[DataFrame, DataFram
     C.release(spark)
     rep = (seen.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
            .join(group, F.col("sid") == F.col("node")))
-    sets = C.cut(_set_rows(docs, rep.select("doc_id").distinct(), k, t, tables).join(group.select("node"), F.col("sid") == F.col("node"), "left_semi"))
+    named = C.cut(seen.select("doc_id", "n", "sid"))
+    rep = C.cut(rep.select("doc_id", "sid"))
+    C.discard(seen)  # the prefixes have done their work
+    seen = named
+    sets = C.cut(_set_rows(docs, rep, k, t, tables))
+    C.discard(rep)
     C.release(spark)
     size = group.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
     held = group.join(size, "root").join(sets, F.col("node") == F.col("sid")).drop("node")
-    body = ["sid", "tokens", "p1", "p2"]
+    body = ["sid", "tokens"]
     small = held.where(f"members <= {CELL}").select(F.col("root").alias("cell"), F.lit(1).alias("side"), *body)
     found = C.cut(_verify(small, t))
     C.release(spark)
     large = C.cut(held.where(f"members > {CELL}"))
     if large.limit(1).count():
-        for r in range(ROUNDS):
-            block = F.pmod(F.xxhash64("sid", F.lit(r)), F.ceil(F.col("members") / CELL))
-            cell = F.concat("root", F.encode(F.concat(F.lit(f"/{r}/"), block.cast("string")), "utf-8"))
-            found = found.union(C.cut(_verify(large.select(cell.alias("cell"), F.lit(1).alias("side"), *body), t)))
-            C.release(spark)  # the bodies of one dealing at a time
-        found = C.cut(found)
-        found = found.union(_outsiders(large, found, t))
+        part = C.cut(_verify(_dealt(large, 0), t))
+        C.release(spark)
+        for r in range(1, ROUNDS):  # components of the blocks meet by a few of their sets
+            part = C.cut(part.union(_verify(_dealt(_few(large, part, r), r), t)))
+            C.release(spark)
+        found = found.union(part).union(_outsiders(large, part, t))
     edges = C.cut(found)
     C.discard(sets, large)
     C.release(spark)
     return seen.select("doc_id", "n", "sid"), C.components(edges)
 
 
+def _dealt(rows: DataFrame, r: int) -> DataFrame:
+    """Cells of about ``CELL`` sets each, by random dealing within a group."""
+    block = F.pmod(F.xxhash64("sid", F.lit(r)), F.ceil(F.col("members") / CELL))
+    cell = F.concat("root", F.encode(F.concat(F.lit(f"/{r}/"), block.cast("string")), "utf-8"))
+    return rows.select(cell.alias("cell"), F.lit(1).alias("side"), "sid", "tokens")
+
+
+def _components_of(large: DataFrame, found: DataFrame) -> DataFrame:
+    """``root, members, sid, comp``: the component of each set by the links so far."""
+    comp = C.components(found)
+    return (large.select("root", "members", "sid").join(comp.withColumnRenamed("root", "comp"), F.col("sid") == F.col("node"), "left")
+            .select("root", "members", "sid", F.coalesce("comp", "sid").alias("comp")))
+
+
+def _few(large: DataFrame, found: DataFrame, r: int) -> DataFrame:
+    """The rows of ``FEW`` sets of each component. They only join components
+    early; what they miss, ``_outsiders`` finds."""
+    at = _components_of(large, found).select("root", "sid", "comp")
+    turn = F.row_number().over(Window.partitionBy("comp").orderBy(F.xxhash64("sid", F.lit(r)), "sid"))
+    few = C.cut(at.withColumn("turn", turn).where(F.col("turn") <= FEW).select("root", "sid"))
+    size = few.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
+    return large.drop("members").join(few.join(size, "root").select("sid", "members"), "sid")
+
+
 def _outsiders(large: DataFrame, found: DataFrame, t: int) -> DataFrame:
     """Sets outside their group's main component against the whole group."""
-    comp = C.components(found)
-    body = ["sid", "tokens", "p1", "p2"]
-    at = large.select("root", "members", "sid").join(comp.withColumnRenamed("root", "comp"), F.col("sid") == F.col("node"), "left") \
-        .select("root", "members", "sid", F.coalesce("comp", "sid").alias("comp"))
+    body = ["sid", "tokens"]
+    at = _components_of(large, found)
     per = at.groupBy("root", "comp").agg(F.count(F.lit(1)).alias("c"))
     main = per.groupBy("root").agg(F.max(F.struct("c", "comp")).alias("m"))
     out = C.cut(at.join(main, "root").where("comp <> m.comp").select("root", "members", "sid"))
