@@ -6,4 +6,4 @@ Queries without an oracle are checked on row counts only.
 """
 
 from loomstat.plans.registry import ORACLE, QUERIES  # noqa: F401
-from loomstat.plans import core, stats_q, text_q, ml_q, more_q  # noqa: F401  (registers)
+from loomstat.plans import core, stats_q, text_q, ml_q, more_q, model_q  # noqa: F401  (registers)
