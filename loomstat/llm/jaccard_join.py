@@ -35,7 +35,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomstat.llm import common as C
@@ -45,8 +45,7 @@ SHINGLES_KEPT = 200_000  # rows of the table of common shingles, at most
 SLOT_BITS = 22           # hash slots of either table, as a power of two
 BUCKET = 64              # rows of a token that are paired directly
 CELL = 256               # sets compared in one block
-ROUNDS = 3               # random dealings of a large group, from the second on of some sets
-FEW = 4                  # sets of each component that are dealt again
+ROUNDS = 3               # random dealings of a large group
 SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0], np.uint64)
 
 
@@ -313,12 +312,11 @@ def links(docs: DataFrame, k: int = 3, t: int = 90) -> tuple[DataFrame, DataFram
     C.release(spark)
     large = C.cut(held.where(f"members > {CELL}"))
     if large.limit(1).count():
-        part = C.cut(_verify(_dealt(large, 0), t))
-        C.release(spark)
-        for r in range(1, ROUNDS):  # components of the blocks meet by a few of their sets
-            part = C.cut(part.union(_verify(_dealt(_few(large, part, r), r), t)))
-            C.release(spark)
-        found = found.union(part).union(_outsiders(large, part, t))
+        for r in range(ROUNDS):
+            found = found.union(C.cut(_verify(_dealt(large, r), t)))
+            C.release(spark)  # the bodies of one dealing at a time
+        found = C.cut(found)
+        found = found.union(_outsiders(large, found, t))
     edges = C.cut(found)
     C.discard(sets, large)
     C.release(spark)
@@ -339,16 +337,6 @@ def _components_of(large: DataFrame, found: DataFrame) -> DataFrame:
             .select("root", "members", "sid", F.coalesce("comp", "sid").alias("comp")))
 
 
-def _few(large: DataFrame, found: DataFrame, r: int) -> DataFrame:
-    """The rows of ``FEW`` sets of each component. They only join components
-    early; what they miss, ``_outsiders`` finds."""
-    at = _components_of(large, found).select("root", "sid", "comp")
-    turn = F.row_number().over(Window.partitionBy("comp").orderBy(F.xxhash64("sid", F.lit(r)), "sid"))
-    few = C.cut(at.withColumn("turn", turn).where(F.col("turn") <= FEW).select("root", "sid"))
-    size = few.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    return large.drop("members").join(few.join(size, "root").select("sid", "members"), "sid")
-
-
 def _outsiders(large: DataFrame, found: DataFrame, t: int) -> DataFrame:
     """Sets outside their group's main component against the whole group."""
     body = ["sid", "tokens"]
