@@ -10,10 +10,13 @@ tokens first:
    words and shingles. Both tables have a fixed largest size; they only shape
    the orders, so what is missing from them costs time and never a link.
 2. ``prefix_rows``: equal sets are folded into one node; each document emits
-   its prefix under the first order.
+   its prefix under the first order and a sketch of ``SKETCH`` parity bits.
 3. ``candidate_links``: rows that share a token give pairs under the length
-   and position filters, in buckets above ``BUCKET`` rows a star; each task
-   reduces its pairs to stars at once, so candidate groups, not pairs, are kept.
+   and position filters. Two sketches never differ in more bits than the sets
+   differ in shingles, so a pair whose sketches differ in more than a link
+   allows is dropped without loss. Buckets above ``BUCKET`` rows are compared by
+   their sketches in cells of two blocks of about ``BLOCK`` rows. Tasks reduce what is
+   left to stars, so candidate groups, not pairs, are kept.
 4. candidate groups are verified in cells of at most ``CELL`` sets. In a cell
    a pair is first tested under the other orders (both prefixes must meet in
    each of them) and then by its exact intersection. Groups above ``CELL`` are dealt
@@ -35,7 +38,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomstat.llm import common as C
@@ -45,6 +48,8 @@ SHINGLES_KEPT = 200_000  # rows of the table of common shingles, at most
 SLOT_BITS = 22           # hash slots of either table, as a power of two
 BUCKET = 64              # rows of a token that are paired directly
 CELL = 256               # sets compared in one block
+SKETCH = 1024            # parity bits of a set
+BLOCK = 1024             # sketches in one block of a large bucket
 ROUNDS = 3               # random dealings of a large group
 SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0], np.uint64)
 
@@ -152,44 +157,90 @@ def _first(s: np.ndarray, t: int, seed: np.uint64) -> np.ndarray:
     return s[np.argsort(keys)]
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles in each of ``SKETCH`` slots, as 64-bit words."""
+    slot = (C.mix(s) % np.uint64(SKETCH)).astype(np.int64)
+    return np.packbits((np.bincount(slot, minlength=SKETCH) & 1).astype(np.uint8)).view(np.int64)
+
+
 def prefix_rows(docs: DataFrame, k: int, t: int, tables) -> DataFrame:
-    """``(doc_id, n, sid, prefix)``: set size, digest and first-order prefix."""
+    """``(doc_id, n, sid, prefix, sketch)``: set size, digest, first-order prefix and sketch."""
     common, hot = tables
 
     def emit(batches):
         for b in batches:
-            n, sid, pre = np.zeros(b.num_rows, np.int64), [None] * b.num_rows, [None] * b.num_rows
+            n, (sid, pre, bits) = np.zeros(b.num_rows, np.int64), ([None] * b.num_rows for _ in range(3))
             for r, s in _documents(b, k, (common.value, hot.value)):
-                n[r], sid[r], pre[r] = len(s), _digest(s), _first(s, t, SEEDS[0]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), pa.array(sid, pa.binary()), pa.array(pre, pa.list_(pa.int64()))],
-                                             names=["doc_id", "n", "sid", "prefix"])
+                n[r], sid[r], pre[r], bits[r] = len(s), _digest(s), _first(s, t, SEEDS[0]).view(np.int64), sketch(s)
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), pa.array(sid, pa.binary()), pa.array(pre, longs), pa.array(bits, longs)],
+                                             names=["doc_id", "n", "sid", "prefix", "sketch"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        emit, "doc_id long, n long, sid binary, prefix array<long>")
+        emit, "doc_id long, n long, sid binary, prefix array<long>, sketch array<long>")
+
+
+def _most_apart(na: Column, nb: Column, t: int) -> Column:
+    """Shingles that linked sets of these sizes hold one-sidedly, at most."""
+    return na + nb - 2 * F.ceil((na + nb) * t / (100.0 + t) - 1e-6)
 
 
 def candidate_links(nodes: DataFrame, t: int) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs ``(a, b)`` of ``nodes(sid, n, prefix)`` (one row per set),
-    and the written table that they are read from.
+    """Candidate pairs ``(a, b)`` of ``nodes(sid, n, prefix, sketch)`` (one row per
+    set), and the written table that they are read from.
 
     Buckets up to ``BUCKET`` rows give pairs under the length and position
-    filters, at most ``BUCKET / 2`` for each row; a larger bucket gives a star, which
-    only ties its members into one candidate group.
+    filters, at most ``BUCKET / 2`` for each row; larger buckets give stars of the
+    rows that their sketches tie together.
     """
     tokens = nodes.select("sid", "n", F.posexplode("prefix").alias("pos", "token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     rows = C.cut(tokens.join(shared, "token"))
-    alpha = F.ceil((F.col("x.n") + F.col("y.n")) * t / (100.0 + t) - 1e-6)  # links need this overlap
     small = rows.where(f"c <= {BUCKET}")
+    apart = _most_apart(F.col("x.n"), F.col("y.n"), t)
     pairs = (small.alias("x").join(small.alias("y"), F.col("x.token") == F.col("y.token"))
              .where((F.col("x.sid") < F.col("y.sid"))
                     & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * t)
-                    & (F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) >= alpha))
-             .select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")))
-    large = rows.where(f"c > {BUCKET}")
-    star = (large.join(large.groupBy("token").agg(F.min("sid").alias("hub")), "token")
-            .where("sid <> hub").select(F.col("hub").alias("a"), F.col("sid").alias("b")))
-    return pairs.union(star), rows
+                    & (2 * F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) >= F.col("x.n") + F.col("y.n") - apart))
+             .select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"), apart.alias("apart")).distinct())
+    bits = nodes.select("sid", "sketch")
+    differ = F.aggregate(F.zip_with("p.sketch", "q.sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    near = (pairs.join(bits.alias("p"), F.col("a") == F.col("p.sid")).join(bits.alias("q"), F.col("b") == F.col("q.sid"))
+            .where(differ <= F.col("apart")).select("a", "b"))
+    return near.union(_bucket_stars(rows.where(f"c > {BUCKET}").join(bits, "sid"), t)), rows
+
+
+def _bucket_stars(hot: DataFrame, t: int) -> DataFrame:
+    """Stars ``(a, b)`` of the rows of large buckets whose sizes and sketches allow
+    a link. A bucket's blocks meet two by two, one block alone meets itself."""
+    def go(g: pa.Table) -> pa.Table:
+        sid = g.column("sid").to_pylist()
+        size = np.asarray(g.column("n")).astype(np.int64)
+        words = np.asarray(g.column("sketch").combine_chunks().flatten()).astype(np.int64)
+        x = np.unpackbits(words.reshape(len(sid), -1).view(np.uint8), axis=1).astype(np.float32)
+        own = x.sum(axis=1)
+        differ = own[:, None] + own[None, :] - 2 * (x @ x.T)
+        total = size[:, None] + size[None, :]
+        near = differ <= total - 2 * np.ceil(total * t / (100.0 + t) - 1e-6)
+        near &= 100 * np.minimum(size[:, None], size[None, :]) >= t * np.maximum(size[:, None], size[None, :])
+        a, b, open_ = [], [], np.ones(len(sid), bool)
+        for hub in range(len(sid)):
+            edge = np.array([hub]) if open_[hub] else np.zeros(0, np.int64)
+            open_[edge] = False
+            while len(edge):
+                edge = np.flatnonzero(near[edge].any(axis=0) & open_)
+                open_[edge] = False
+                a += [sid[hub]] * len(edge)
+                b += [sid[y] for y in edge]
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    blocks = F.ceil(F.col("c") / BLOCK)
+    mine = F.pmod(F.xxhash64("sid", F.lit("b")), blocks)
+    cells = (hot.withColumn("blocks", blocks).withColumn("mine", mine)
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+             .where("blocks = 1 or mine <> other")
+             .select("token", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "sid", "n", "sketch"))
+    return cells.groupBy("token", "i", "j").applyInArrow(go, "a binary, b binary")
 
 
 def linked(sets: list[np.ndarray], prefixes: list[list[np.ndarray]], t: int, left: int | None = None):
@@ -290,7 +341,7 @@ def links(docs: DataFrame, k: int = 3, t: int = 90) -> tuple[DataFrame, DataFram
     tables = tuple(spark.sparkContext.broadcast(x) for x in rarity_tables(docs, k))  # 4 MB each, fixed
     seen = C.cut(prefix_rows(docs, k, t, tables))
     nodes = (seen.where("sid is not null").groupBy("sid")
-             .agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")))
+             .agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch")))
     pairs, rows = candidate_links(nodes, t)
     group = C.components(pairs)
     C.discard(rows)

@@ -347,8 +347,9 @@ def brute_join(rows, k=3, t=90):
     return {d: (len(sets[i]), least[top(i)]) for i, (d, _) in enumerate(rows)}
 
 
-@pytest.mark.parametrize("cell,bucket", [(256, 64), (8, 4)])
-def test_join_brute_force(spark, cell, bucket, monkeypatch):
+@pytest.mark.parametrize("cell,bucket,block", [(256, 64, 1024), (8, 4, 16)])
+def test_join_brute_force(spark, cell, bucket, block, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
     monkeypatch.setattr(jaccard_join, "CELL", cell)
     monkeypatch.setattr(jaccard_join, "BUCKET", bucket)
     rng = random.Random(13)
@@ -366,6 +367,16 @@ def test_join_brute_force(spark, cell, bucket, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_join(rows)
 
 
+def test_sketches_never_differ_more_than_their_sets():
+    rng = np.random.default_rng(5)
+    for n, apart in [(1, 1), (1, 2), (30, 4), (500, 50), (500, 700), (5000, 400), (5000, 0)]:
+        both = rng.integers(0, 1 << 62, n).astype(np.uint64)
+        x, y = (np.concatenate([both, rng.integers(0, 1 << 62, k).astype(np.uint64)]) for k in (apart // 2, apart - apart // 2))
+        bits = [np.unpackbits(jaccard_join.sketch(s).view(np.uint8)).astype(int) for s in (x, y)]
+        assert np.abs(bits[0] - bits[1]).sum() <= apart
+        assert len(bits[0]) == jaccard_join.SKETCH
+
+
 def test_join_query_and_edges(spark):
     want = brute_join(sorted(texts_of(spark).items()))
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.op10_ngram_jaccard_join(spark, SF).collect()}
