@@ -50,6 +50,7 @@ BUCKET = 64              # rows of a token that are paired directly
 CELL = 256               # sets compared in one block
 SKETCH = 1024            # parity bits of a set
 BLOCK = 1024             # sketches in one block of a large bucket
+ID_SLOTS = 1 << 26       # hash slots of the wanted ids, 64 to a row of a broadcast table
 ROUNDS = 3               # random dealings of a large group
 SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0], np.uint64)
 
@@ -281,6 +282,17 @@ def linked(sets: list[np.ndarray], prefixes: list[list[np.ndarray]], t: int, lef
     return i, j + left
 
 
+def _narrowed(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``texts`` whose id falls in a hash slot of a wanted id, so that
+    few texts are shuffled. The broadcast table has at most ``ID_SLOTS / 64`` rows of
+    two numbers; where it is full, more texts pass to the join that decides."""
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(ID_SLOTS))
+    marks = (wanted.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("marks")))
+    return (texts.withColumn("slot", slot).join(F.broadcast(marks), F.shiftright("slot", 6) == F.col("word"))
+            .where("shiftright(marks, cast(slot & 63 as int)) & 1 = 1").select(*texts.columns))
+
+
 def _set_rows(docs: DataFrame, wanted: DataFrame, k: int, t: int, tables) -> DataFrame:
     """``(sid, tokens)`` of the sets that ``wanted(doc_id, sid)`` names. Rows
     equal in id and set give the set again; cells drop such copies."""
@@ -296,7 +308,8 @@ def _set_rows(docs: DataFrame, wanted: DataFrame, k: int, t: int, tables) -> Dat
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in (sid, tok)], names=["sid", "tokens"])
 
     want = wanted.select(F.col("doc_id").alias("want"), F.col("sid").alias("want_sid"))
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(want, F.col("doc_id").eqNullSafe(F.col("want")))
+    text = _narrowed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), wanted)
+    text = text.join(want, F.col("doc_id").eqNullSafe(F.col("want")))
     return text.select("text", "want_sid").mapInArrow(emit, "sid binary, tokens binary")
 
 

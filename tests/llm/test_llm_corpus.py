@@ -347,6 +347,16 @@ def brute_join(rows, k=3, t=90):
     return {d: (len(sets[i]), least[top(i)]) for i, (d, _) in enumerate(rows)}
 
 
+@pytest.mark.parametrize("slots", [1 << 26, 64])
+def test_narrowed_keeps_every_wanted_id(spark, slots, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "ID_SLOTS", slots)
+    ids = [None, 0, -1, -(1 << 63), (1 << 63) - 1, *range(1, 400)]
+    docs = spark.createDataFrame([(i, "x") for i in ids], "doc_id long, text string")
+    wanted = spark.createDataFrame([(i,) for i in ids[:60]], "doc_id long")
+    got = {r["doc_id"] for r in jaccard_join._narrowed(docs, wanted).collect()}
+    assert got >= set(ids[:60]) and (slots == 64 or got == set(ids[:60]))
+
+
 @pytest.mark.parametrize("cell,bucket,block", [(256, 64, 1024), (8, 4, 16)])
 def test_join_brute_force(spark, cell, bucket, block, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
