@@ -49,7 +49,7 @@ SLOT_BITS = 22           # hash slots of either table, as a power of two
 BUCKET = 64              # rows of a token that are paired directly
 CELL = 256               # sets compared in one block
 SKETCH = 1024            # parity bits of a set
-BLOCK = 1024             # sketches in one block of a large bucket
+BLOCK = 512              # sketches in one block of a large bucket
 ID_SLOTS = 1 << 26       # hash slots of the wanted ids, 64 to a row of a broadcast table
 ROUNDS = 3               # random dealings of a large group
 SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0], np.uint64)
@@ -220,10 +220,13 @@ def _bucket_stars(hot: DataFrame, t: int) -> DataFrame:
         words = np.asarray(g.column("sketch").combine_chunks().flatten()).astype(np.int64)
         x = np.unpackbits(words.reshape(len(sid), -1).view(np.uint8), axis=1).astype(np.float32)
         own = x.sum(axis=1)
-        differ = own[:, None] + own[None, :] - 2 * (x @ x.T)
-        total = size[:, None] + size[None, :]
-        near = differ <= total - 2 * np.ceil(total * t / (100.0 + t) - 1e-6)
-        near &= 100 * np.minimum(size[:, None], size[None, :]) >= t * np.maximum(size[:, None], size[None, :])
+        near = np.zeros((len(sid), len(sid)), bool)
+        for lo in range(0, len(sid), 128):  # work arrays of 128 rows
+            hi = lo + 128
+            total = size[lo:hi, None] + size[None, :]
+            differ = own[lo:hi, None] + own[None, :] - 2 * (x[lo:hi] @ x.T)
+            near[lo:hi] = differ <= total - 2 * np.ceil(total * t / (100.0 + t) - 1e-6)
+            near[lo:hi] &= 100 * np.minimum(size[lo:hi, None], size[None, :]) >= t * np.maximum(size[lo:hi, None], size[None, :])
         a, b, open_ = [], [], np.ones(len(sid), bool)
         for hub in range(len(sid)):
             edge = np.array([hub]) if open_[hub] else np.zeros(0, np.int64)

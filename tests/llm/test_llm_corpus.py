@@ -357,7 +357,7 @@ def test_narrowed_keeps_every_wanted_id(spark, slots, monkeypatch):
     assert got >= set(ids[:60]) and (slots == 64 or got == set(ids[:60]))
 
 
-@pytest.mark.parametrize("cell,bucket,block", [(256, 64, 1024), (8, 4, 16)])
+@pytest.mark.parametrize("cell,bucket,block", [(256, 64, 512), (8, 4, 16)])
 def test_join_brute_force(spark, cell, bucket, block, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
     monkeypatch.setattr(jaccard_join, "CELL", cell)
