@@ -9,8 +9,8 @@ tokens first:
 1. ``rarity_tables``: per-batch counts, summed by Spark, name the commonest
    words and shingles. Both tables have a fixed largest size; they only shape
    the orders, so what is missing from them costs time and never a link.
-2. ``prefix_rows``: equal sets are folded into one node; each document emits
-   its prefix under the first order and a sketch of ``SKETCH`` parity bits.
+2. ``prefix_rows``: each document emits its prefix under the first order and a
+   sketch of ``SKETCH`` parity bits; equal sets are folded into one numbered node.
 3. ``candidate_links``: rows that share a token give pairs under the length
    and position filters. Two sketches never differ in more bits than the sets
    differ in shingles, so a pair whose sketches differ in more than a link
@@ -187,64 +187,65 @@ def _most_apart(na: Column, nb: Column, t: int) -> Column:
 
 
 def candidate_links(nodes: DataFrame, t: int) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs ``(a, b)`` of ``nodes(sid, n, prefix, sketch)`` (one row per
+    """Candidate pairs ``(a, b)`` of ``nodes(node, n, prefix, sketch)`` (one row per
     set), and the written table that they are read from.
 
     Buckets up to ``BUCKET`` rows give pairs under the length and position
     filters, at most ``BUCKET / 2`` for each row; larger buckets give stars of the
     rows that their sketches tie together.
     """
-    tokens = nodes.select("sid", "n", F.posexplode("prefix").alias("pos", "token"))
+    tokens = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     rows = C.cut(tokens.join(shared, "token"))
+    C.release(nodes.sparkSession)  # the tokens of one set alone go with their shuffle
     small = rows.where(f"c <= {BUCKET}")
     apart = _most_apart(F.col("x.n"), F.col("y.n"), t)
     pairs = (small.alias("x").join(small.alias("y"), F.col("x.token") == F.col("y.token"))
-             .where((F.col("x.sid") < F.col("y.sid"))
+             .where((F.col("x.node") < F.col("y.node"))
                     & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * t)
                     & (2 * F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) >= F.col("x.n") + F.col("y.n") - apart))
-             .select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"), apart.alias("apart")).distinct())
-    bits = nodes.select("sid", "sketch")
+             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), apart.alias("apart")).distinct())
+    bits = nodes.select("node", "sketch")
     differ = F.aggregate(F.zip_with("p.sketch", "q.sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-    near = (pairs.join(bits.alias("p"), F.col("a") == F.col("p.sid")).join(bits.alias("q"), F.col("b") == F.col("q.sid"))
+    near = (pairs.join(bits.alias("p"), F.col("a") == F.col("p.node")).join(bits.alias("q"), F.col("b") == F.col("q.node"))
             .where(differ <= F.col("apart")).select("a", "b"))
-    return near.union(_bucket_stars(rows.where(f"c > {BUCKET}").join(bits, "sid"), t)), rows
+    return near.union(_bucket_stars(rows.where(f"c > {BUCKET}").join(bits, "node"), t)), rows
 
 
 def _bucket_stars(hot: DataFrame, t: int) -> DataFrame:
     """Stars ``(a, b)`` of the rows of large buckets whose sizes and sketches allow
     a link. A bucket's blocks meet two by two, one block alone meets itself."""
     def go(g: pa.Table) -> pa.Table:
-        sid = g.column("sid").to_pylist()
+        node = np.asarray(g.column("node"))
         size = np.asarray(g.column("n")).astype(np.int64)
         words = np.asarray(g.column("sketch").combine_chunks().flatten()).astype(np.int64)
-        x = np.unpackbits(words.reshape(len(sid), -1).view(np.uint8), axis=1).astype(np.float32)
+        x = np.unpackbits(words.reshape(len(node), -1).view(np.uint8), axis=1).astype(np.float32)
         own = x.sum(axis=1)
-        near = np.zeros((len(sid), len(sid)), bool)
-        for lo in range(0, len(sid), 128):  # work arrays of 128 rows
+        near = np.zeros((len(node), len(node)), bool)
+        for lo in range(0, len(node), 128):  # work arrays of 128 rows
             hi = lo + 128
             total = size[lo:hi, None] + size[None, :]
             differ = own[lo:hi, None] + own[None, :] - 2 * (x[lo:hi] @ x.T)
             near[lo:hi] = differ <= total - 2 * np.ceil(total * t / (100.0 + t) - 1e-6)
             near[lo:hi] &= 100 * np.minimum(size[lo:hi, None], size[None, :]) >= t * np.maximum(size[lo:hi, None], size[None, :])
-        a, b, open_ = [], [], np.ones(len(sid), bool)
-        for hub in range(len(sid)):
+        a, b, open_ = [], [], np.ones(len(node), bool)
+        for hub in range(len(node)):
             edge = np.array([hub]) if open_[hub] else np.zeros(0, np.int64)
             open_[edge] = False
             while len(edge):
                 edge = np.flatnonzero(near[edge].any(axis=0) & open_)
                 open_[edge] = False
-                a += [sid[hub]] * len(edge)
-                b += [sid[y] for y in edge]
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+                a += [node[hub]] * len(edge)
+                b += node[edge].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     blocks = F.ceil(F.col("c") / BLOCK)
-    mine = F.pmod(F.xxhash64("sid", F.lit("b")), blocks)
+    mine = F.pmod(F.xxhash64("node", F.lit("b")), blocks)
     cells = (hot.withColumn("blocks", blocks).withColumn("mine", mine)
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
              .where("blocks = 1 or mine <> other")
-             .select("token", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "sid", "n", "sketch"))
-    return cells.groupBy("token", "i", "j").applyInArrow(go, "a binary, b binary")
+             .select("token", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "node", "n", "sketch"))
+    return cells.groupBy("token", "i", "j").applyInArrow(go, "a long, b long")
 
 
 def linked(sets: list[np.ndarray], prefixes: list[list[np.ndarray]], t: int, left: int | None = None):
@@ -297,40 +298,40 @@ def _narrowed(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _set_rows(docs: DataFrame, wanted: DataFrame, k: int, t: int, tables) -> DataFrame:
-    """``(sid, tokens)`` of the sets that ``wanted(doc_id, sid)`` names. Rows
+    """``(node, tokens)`` of the sets that ``wanted(doc_id, sid, node)`` names. Rows
     equal in id and set give the set again; cells drop such copies."""
     common, hot = tables
 
     def emit(batches):
         for b in batches:
-            sid, tok, want = [], [], b.column("want_sid").to_pylist()
+            node, tok, want, name = [], [], b.column("want_sid").to_pylist(), b.column("node").to_pylist()
             for r, s in _documents(b, k, (common.value, hot.value)):
-                if (d := _digest(s)) == want[r]:
-                    sid.append(d)
+                if _digest(s) == want[r]:
+                    node.append(name[r])
                     tok.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in (sid, tok)], names=["sid", "tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(tok, pa.binary())], names=["node", "tokens"])
 
-    want = wanted.select(F.col("doc_id").alias("want"), F.col("sid").alias("want_sid"))
+    want = wanted.select(F.col("doc_id").alias("want"), F.col("sid").alias("want_sid"), "node")
     text = _narrowed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), wanted)
     text = text.join(want, F.col("doc_id").eqNullSafe(F.col("want")))
-    return text.select("text", "want_sid").mapInArrow(emit, "sid binary, tokens binary")
+    return text.select("text", "want_sid", "node").mapInArrow(emit, "node long, tokens binary")
 
 
 def _verify(cells: DataFrame, t: int) -> DataFrame:
-    """Links ``(a, b)`` of ``cells(cell, side, sid, tokens)``: within a cell, or between its sides 0 and 1 when it has both; each component of a
+    """Links ``(a, b)`` of ``cells(cell, side, node, tokens)``: within a cell, or between its sides 0 and 1 when it has both; each component of a
     cell gives a star, which keeps the components with few rows."""
     def go(g: pa.Table) -> pa.Table:
-        g = g.sort_by([("side", "ascending"), ("sid", "ascending")])
-        side, sid = np.asarray(g.column("side")), g.column("sid").to_pylist()
-        once = [x == 0 or sid[x] != sid[x - 1] or side[x] != side[x - 1] for x in range(len(sid))]
+        g = g.sort_by([("side", "ascending"), ("node", "ascending")])
+        side, node = np.asarray(g.column("side")), np.asarray(g.column("node"))
+        once = np.ones(len(side), bool)
+        once[1:] = (node[1:] != node[:-1]) | (side[1:] != side[:-1])
         g = g.filter(pa.array(once))
-        side = np.asarray(g.column("side"))
+        side, node = side[once], node[once].tolist()
         sets = [np.frombuffer(x, np.uint64) for x in g.column("tokens").to_pylist()]
         first = [[_first(x, t, seed) for x in sets] for seed in SEEDS[1:]]
         left = int((side == 0).sum())
         i, j = linked(sets, first, t, left if 0 < left < len(side) else None)
-        sid = g.column("sid").to_pylist()
-        root = list(range(len(sid)))
+        root = list(range(len(node)))
 
         def top(x):
             while root[x] != x:
@@ -342,38 +343,40 @@ def _verify(cells: DataFrame, t: int) -> DataFrame:
             x, y = top(x), top(y)
             if x != y:
                 root[max(x, y)] = min(x, y)
-        at = [(sid[top(x)], sid[x]) for x in range(len(sid)) if top(x) != x]
-        return pa.table({"a": pa.array([x for x, _ in at], pa.binary()), "b": pa.array([y for _, y in at], pa.binary())})
+        at = [(node[top(x)], node[x]) for x in range(len(node)) if top(x) != x]
+        return pa.table({"a": pa.array([x for x, _ in at], pa.int64()), "b": pa.array([y for _, y in at], pa.int64())})
 
-    return cells.groupBy("cell").applyInArrow(go, "a binary, b binary")
+    return cells.groupBy("cell").applyInArrow(go, "a long, b long")
 
 
-def links(docs: DataFrame, k: int = 3, t: int = 90) -> tuple[DataFrame, DataFrame]:
-    """``(documents(doc_id, n, sid), components(node, root))``.
+def links(docs: DataFrame, k: int = 3, t: int = 90) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(documents(doc_id, n, sid), sets(sid, node, doc_id), components(node, root))``.
 
-    ``components`` covers the sets that are linked with another set.
+    Each distinct set gets a number, ``node``, which stands for its digest in all
+    shuffles of tokens, pairs and links; ``sets`` has it with the smallest id of
+    a document that holds the set. ``components`` covers the sets that are linked
+    with another set.
     """
     spark = C.prepare(docs.sparkSession)
     tables = tuple(spark.sparkContext.broadcast(x) for x in rarity_tables(docs, k))  # 4 MB each, fixed
-    seen = C.cut(prefix_rows(docs, k, t, tables))
-    nodes = (seen.where("sid is not null").groupBy("sid")
-             .agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch")))
-    pairs, rows = candidate_links(nodes, t)
-    group = C.components(pairs)
+    rows = C.cut(prefix_rows(docs, k, t, tables))
+    nodes = C.cut(rows.where("sid is not null").groupBy("sid")
+                  .agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("doc_id"))
+                  .withColumn("node", F.monotonically_increasing_id()))
+    seen = C.cut(rows.select("doc_id", "n", "sid"))
     C.discard(rows)
     C.release(spark)
-    rep = (seen.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
-           .join(group, F.col("sid") == F.col("node")))
-    named = C.cut(seen.select("doc_id", "n", "sid"))
-    rep = C.cut(rep.select("doc_id", "sid"))
-    C.discard(seen)  # the prefixes have done their work
-    seen = named
-    sets = C.cut(_set_rows(docs, rep, k, t, tables))
-    C.discard(rep)
+    pairs, tokens = candidate_links(nodes, t)
+    group = C.components(pairs)
+    C.discard(tokens)
+    names = C.cut(nodes.select("sid", "node", "doc_id"))
+    C.discard(nodes)  # the prefixes have done their work
+    C.release(spark)
+    sets = C.cut(_set_rows(docs, C.cut(names.join(group, "node").select("doc_id", "sid", "node")), k, t, tables))
     C.release(spark)
     size = group.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    held = group.join(size, "root").join(sets, F.col("node") == F.col("sid")).drop("node")
-    body = ["sid", "tokens"]
+    held = group.join(size, "root").join(sets, "node")
+    body = ["node", "tokens"]
     small = held.where(f"members <= {CELL}").select(F.col("root").alias("cell"), F.lit(1).alias("side"), *body)
     found = C.cut(_verify(small, t))
     C.release(spark)
@@ -387,52 +390,48 @@ def links(docs: DataFrame, k: int = 3, t: int = 90) -> tuple[DataFrame, DataFram
     edges = C.cut(found)
     C.discard(sets, large)
     C.release(spark)
-    return seen.select("doc_id", "n", "sid"), C.components(edges)
+    return seen, names, C.components(edges)
 
 
 def _dealt(rows: DataFrame, r: int) -> DataFrame:
     """Cells of about ``CELL`` sets each, by random dealing within a group."""
-    block = F.pmod(F.xxhash64("sid", F.lit(r)), F.ceil(F.col("members") / CELL))
-    cell = F.concat("root", F.encode(F.concat(F.lit(f"/{r}/"), block.cast("string")), "utf-8"))
-    return rows.select(cell.alias("cell"), F.lit(1).alias("side"), "sid", "tokens")
+    block = F.pmod(F.xxhash64("node", F.lit(r)), F.ceil(F.col("members") / CELL))
+    return rows.select(F.concat_ws("/", "root", block).alias("cell"), F.lit(1).alias("side"), "node", "tokens")
 
 
 def _components_of(large: DataFrame, found: DataFrame) -> DataFrame:
-    """``root, members, sid, comp``: the component of each set by the links so far."""
-    comp = C.components(found)
-    return (large.select("root", "members", "sid").join(comp.withColumnRenamed("root", "comp"), F.col("sid") == F.col("node"), "left")
-            .select("root", "members", "sid", F.coalesce("comp", "sid").alias("comp")))
+    """``root, members, node, comp``: the component of each set by the links so far."""
+    comp = C.components(found).select("node", F.col("root").alias("comp"))
+    return large.select("root", "members", "node").join(comp, "node", "left").select("root", "members", "node", F.coalesce("comp", "node").alias("comp"))
 
 
 def _outsiders(large: DataFrame, found: DataFrame, t: int) -> DataFrame:
     """Sets outside their group's main component against the whole group."""
-    body = ["sid", "tokens"]
+    body = ["node", "tokens"]
     at = _components_of(large, found)
     per = at.groupBy("root", "comp").agg(F.count(F.lit(1)).alias("c"))
     main = per.groupBy("root").agg(F.max(F.struct("c", "comp")).alias("m"))
-    out = C.cut(at.join(main, "root").where("comp <> m.comp").select("root", "members", "sid"))
+    out = C.cut(at.join(main, "root").where("comp <> m.comp").select("root", "members", "node"))
     count = out.groupBy("root").agg(F.count(F.lit(1)).alias("outside"))
     chunk = lambda n: F.ceil(F.col(n) / CELL)
-    name = lambda i, j: F.concat("root", F.encode(F.concat_ws("/", F.lit(""), i.cast("string"), j.cast("string")), "utf-8"))
+    cell = F.concat_ws("/", "root", "i", "j").alias("cell")
     wide = large.select("root", "members", *body).join(count, "root")
-    rows = (wide.withColumn("j", F.pmod(F.xxhash64("sid", F.lit("m")), chunk("members")))
-            .withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), chunk("outside") - 1))))
-    members = rows.select(name(F.col("i"), F.col("j")).alias("cell"), F.lit(1).alias("side"), *body)
-    mine = (wide.join(out.select("sid"), "sid")
-            .withColumn("i", F.pmod(F.xxhash64("sid", F.lit("o")), chunk("outside")))
-            .withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), chunk("members") - 1))))
-    outside = mine.select(name(F.col("i"), F.col("j")).alias("cell"), F.lit(0).alias("side"), *body)
+    members = (wide.withColumn("j", F.pmod(F.xxhash64("node", F.lit("m")), chunk("members")))
+               .withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), chunk("outside") - 1)))
+               .select(cell, F.lit(1).alias("side"), *body))
+    outside = (wide.join(out.select("node"), "node")
+               .withColumn("i", F.pmod(F.xxhash64("node", F.lit("o")), chunk("outside")))
+               .withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), chunk("members") - 1)))
+               .select(cell, F.lit(0).alias("side"), *body))
     # a set meets itself here; the pair (x, x) joins nothing new
     return _verify(outside.union(members), t)
 
 
 def near_components(docs: DataFrame, k: int = 3, t: int = 90) -> DataFrame:
     """``(doc_id, n_shingles, component_id)``, one row per document row."""
-    seen, comp = links(docs, k, t)
-    ids = (seen.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("least"))
-           .join(comp, F.col("sid") == F.col("node"), "left")
-           .select("sid", "least", F.coalesce("root", "sid").alias("root")))
-    low = ids.groupBy("root").agg(F.min("least").alias("component_id"))
+    seen, names, comp = links(docs, k, t)
+    ids = names.join(comp, "node", "left").select("sid", "doc_id", F.coalesce("root", "node").alias("root"))
+    low = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of = ids.join(low, "root").select("sid", "component_id")
     return (seen.join(of, "sid", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
