@@ -245,9 +245,10 @@ def components(edges: DataFrame) -> DataFrame:
 
     Minimum-label propagation with a pointer jump in each round; only
     aggregates and equi-joins, cut each round. Tasks first reduce their edges
-    to stars, and once more after these are dealt by their roots.
+    to stars, and once more after these are dealt by their leaves: a leaf has at
+    most one edge of each task, where a root may have most of all edges.
     """
-    stars = cut(_forest(_forest(edges).repartition("a")))
+    stars = cut(_forest(_forest(edges).repartition("b")))
     both = cut(stars.select("a", "b").union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
                        .where("a <> b").distinct())
     discard(stars)
