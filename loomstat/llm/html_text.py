@@ -6,8 +6,15 @@ headers, footers, sidebars, notices, adverts, forms, reader comments) or in a
 declared main part (``article``, ``main``). ``keep`` sums the text lengths over
 sliding windows of ``WINDOW`` lines: text starts where the sum surges above
 ``SURGE`` and ends where it dives to zero; furniture and link lists weigh
-nothing, and on a page with a declared main part nothing outside it does.
-Where no window surges, the longest stretch of weighing lines is the text.
+nothing. Each line of a declared part weighs ``SURGE`` more, and windows do not
+reach over its borders; beside declared text a stretch is kept where it
+outweighs that text. Where no window surges, the longest stretch of weighing
+lines is the text.
+
+An element is furniture by its tag, its role or a whole class name or id with a
+word of ``NAMES`` (``has-sidebar`` and the like tell of a neighbour and do not
+count). A name that is not of reader comments is not believed of an element
+that holds over half of the page's text.
 
 A header inside an article belongs to it, a footer does not. Blocks have their
 character references decoded, white space turned into one space and trimmed;
@@ -35,6 +42,7 @@ SURGE = 80
 
 _TOKEN = re.compile(r"""<!--|<!\[CDATA\[|<[!?][^>]*+>|<(/?)([A-Za-z][A-Za-z0-9:-]*+)((?:[^<>"']|"[^"]*+"|'[^']*+'|["'])*+)>""")
 _ATTR = re.compile(r"""(class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_UNCLOSED = re.compile(r"<!--|<!\[CDATA\[")  # all that can start after the last ">"
 _WORD = re.compile(r"[a-z]+|[0-9]+")
 _SPACE = re.compile(r"\s+")
 
@@ -48,120 +56,180 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 NAMES = {"nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "header", "masthead", "footer", "sidebar", "aside", "complementary",
          "ad", "ads", "adv", "advert", "adverts", "advertisement", "banner", "sponsor", "sponsored", "promo", "promotion", "cookie", "cookies", "consent",
          "notice", "alert", "popup", "modal", "newsletter", "subscribe", "signup", "login", "search", "form", "share", "sharing", "social",
-         "related", "recommended", "widget", "comment", "comments", "reply", "replies", "disqus", "discussion", "respond", "pagination", "pager",
-         "contentinfo", "toolbar", "tags", "skip"}
+         "related", "recommended", "teaser", "widget", "pagination", "pager", "contentinfo", "toolbar", "tags", "skip"}
+COMMENTS = {"comment", "comments", "reply", "replies", "disqus", "discussion", "respond"}
+ABOUT = {"has", "with", "no", "without", "is", "not"}  # a name that starts so tells of something beside
 
 
-def _furniture(tag: str, attrs: str, in_main: bool) -> bool:
+def _furniture(tag: str, attrs: str, in_main: bool) -> int:
+    """0: none, 1: by a name, 2: by its tag or as reader comments."""
     if tag in FURNITURE:
-        return not (tag == "header" and in_main)
-    if tag in MAIN or tag in ("html", "body") or "=" not in attrs:
-        return False
+        return 0 if tag == "header" and in_main else 2
+    if tag in ("html", "body") or "=" not in attrs:
+        return 0
+    named = 0
     for m in _ATTR.finditer(attrs):
-        words = _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", m[2] or m[3] or m[4] or "").lower())
-        if NAMES.intersection(words) and not (in_main and words and words[-1] == "header"):
-            return True
-    return False
+        for name in (m[2] or m[3] or m[4] or "").split():
+            words = _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
+            if not words or words[0] in ABOUT or in_main and words[-1] == "header":
+                continue
+            if COMMENTS.intersection(words):
+                return 2
+            named = named or int(not NAMES.isdisjoint(words))
+    return named
 
 
-def lines_of(html: str) -> list[tuple[str, int, bool, bool]]:
-    """``(text, characters outside links, furniture, main)`` of each block with text."""
-    out: list[tuple[str, int, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []   # open elements: name, furniture, main
-    parts: list[str] = []
-    linked = [0, 0]                            # open links; characters in links
-    state = (False, False)
-
-    def flush():
-        if parts:
-            text = _SPACE.sub(" ", unescape("".join(parts))).strip()
-            if text:
-                out.append((text, max(0, len(text) - linked[1]), *state))
-            parts.clear()
-        linked[1] = 0
+class _Page:
+    """Open elements and the lines found so far. Elements that are furniture by
+    a name are numbered; ``up`` has the number around each, -1 for none."""
+
+    def __init__(self):
+        self.lines: list[tuple[str, int, bool, int, bool]] = []  # text, own characters, surely furniture, named element, main
+        self.up: list[int] = []
+        self.stack: list[tuple[str, bool, int, bool]] = []       # tag, surely furniture, named element, main
+        self.open: dict[str, list[int]] = {}                     # places of each tag in the stack
+        self.blocks: list[int] = []                              # places of block elements
+        self.parts: list[str] = []
+        self.in_link, self.linked = False, 0
+        self.state = (False, -1, False)
 
-    def add(raw: str):
+    def add(self, raw: str):
         if raw:
-            parts.append(raw)
-            if linked[0]:
-                linked[1] += len(raw)
+            self.parts.append(raw)
+            if self.in_link:
+                self.linked += len(raw)
+
+    def flush(self):
+        if self.parts:
+            text = _SPACE.sub(" ", unescape("".join(self.parts))).strip()
+            if text:
+                self.lines.append((text, max(0, len(text) - self.linked), *self.state))
+            self.parts.clear()
+        self.linked = 0
+
+    def pop(self):
+        tag = self.stack.pop()[0]
+        self.open[tag].pop()
+        if tag not in INLINE:
+            self.blocks.pop()
+
+    def start(self, tag: str, attrs: str):
+        if tag == "a":
+            self.in_link = True
+        if tag == "p":  # a paragraph ends the one before
+            while self.stack and (self.stack[-1][0] == "p" or self.stack[-1][0] in INLINE):
+                self.pop()
+        _, sure, named, main = self.stack[-1] if self.stack else ("", False, -1, False)
+        kind = _furniture(tag, attrs, main)
+        if kind == 1 and not sure:
+            self.up.append(named)
+            named = len(self.up) - 1
+        self.open.setdefault(tag, []).append(len(self.stack))
+        if tag not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.stack.append((tag, sure or kind == 2, named, main or tag in MAIN))
+
+    def end(self, tag: str):
+        if tag == "a":
+            self.in_link = False
+        at = self.open.get(tag)
+        if at and (tag not in INLINE or not self.blocks or at[-1] > self.blocks[-1]):
+            for _ in range(len(self.stack) - at[-1]):
+                self.pop()
 
-    at, n = 0, len(html)
+    def settle(self):
+        """After a block tag: where the next line stands."""
+        self.state = self.stack[-1][1:] if self.stack else (False, -1, False)
+        self.in_link = self.in_link and bool(self.open.get("a"))
+
+
+def lines_of(html: str) -> list[tuple[str, int, bool, bool]]:
+    """``(text, characters outside links, furniture, main)`` of each block with text."""
+    page, never = _Page(), set()  # never: hidden tags that no end follows
+    at, n, last = 0, len(html), html.rfind(">") + 1
     while at < n:
-        m = _TOKEN.search(html, at)
+        m = (_TOKEN.search(html, at, last) if at < last else None) or _UNCLOSED.search(html, max(at, last))
         if not m:
-            add(html[at:])
+            page.add(html[at:])
             break
-        add(html[at:m.start()])
+        page.add(html[at:m.start()])
         at = m.end()
-        if m[0] == "<!--":
-            k = html.find("-->", at)
+        if m[0] in ("<!--", "<![CDATA["):
+            end = "-->" if m[0] == "<!--" else "]]>"
+            k = html.find(end, at)
             at = n if k < 0 else k + 3
             continue
         if not m[2]:
-            if m[0] == "<![CDATA[":
-                k = html.find("]]>", at)
-                at = n if k < 0 else k + 3
             continue
-        tag, close = m[2].lower(), bool(m[1])
+        tag = m[2].lower()
         if tag == "br":
-            add(" ")
+            page.add(" ")
             continue
         if tag not in INLINE:
-            flush()
-        if close:
-            if tag == "a":
-                linked[0] = 0
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    if tag not in INLINE or all(s[0] in INLINE for s in stack[k:]):
-                        del stack[k:]
-                    break
-        elif tag in HIDDEN and not m[3].rstrip().endswith("/"):
-            end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
+            page.flush()
+        single = m[3].rstrip().endswith("/")
+        if m[1]:
+            page.end(tag)
+        elif tag in HIDDEN and not single:
+            end = None if tag in never else re.compile(rf"</{tag}\s*>", re.I).search(html, at)
+            if not end:
+                never.add(tag)
             if end or tag not in ("head", "svg", "math", "object", "select"):
                 at = end.end() if end else n
-        elif tag not in VOID and not m[3].rstrip().endswith("/"):
-            up = stack[-1] if stack else ("", False, False)
-            if tag == "a":
-                linked[0] = 1
-            if tag not in INLINE and tag == "p":  # a paragraph ends the one before
-                while stack and (stack[-1][0] == "p" or stack[-1][0] in INLINE):
-                    stack.pop()
-                up = stack[-1] if stack else ("", False, False)
-            stack.append((tag, up[1] or _furniture(tag, m[3], up[2]), up[2] or tag in MAIN))
+        elif tag not in VOID and not single:
+            page.start(tag, m[3])
         if tag not in INLINE:
-            state = stack[-1][1:] if stack else (False, False)
-            linked[0] = linked[0] if any(s[0] == "a" for s in stack) else 0
-    flush()
-    return out
+            page.settle()
+    page.flush()
+    holds = [0] * len(page.up)
+    for _, own, sure, named, _ in page.lines:
+        if named >= 0 and not sure:
+            holds[named] += own
+    for i in range(len(holds) - 1, -1, -1):
+        if page.up[i] >= 0:
+            holds[page.up[i]] += holds[i]
+    total = sum(own for _, own, sure, _, _ in page.lines if not sure)
+    out = []
+    for i, up in enumerate(page.up):
+        out.append(2 * holds[i] <= total or up >= 0 and out[up])
+    return [(text, own, sure or named >= 0 and out[named], main) for text, own, sure, named, main in page.lines]
 
 
-def keep(lines: list[tuple[str, int, bool, bool]], window: int = WINDOW, surge: int = SURGE) -> list[int]:
-    """Lines of the main text."""
-    declared = any(main and not furniture for _, _, furniture, main in lines)
-    weight = [0 if furniture or declared and not main or 2 * own < len(text) and not main else max(own, 1) for text, own, furniture, main in lines]
-    n = len(lines)
+def _stretches(weight: list[int], window: int, surge: int) -> list[list[int]]:
+    """Weighing lines from each surge point to its dive point."""
+    n = len(weight)
     total = [0] * (n + 1)
     for i, w in enumerate(weight):
         total[i + 1] = total[i] + w
     block = [total[min(i + window, n)] - total[i] for i in range(n)]
-    least = 1 if declared else surge
     out, i = [], 0
     while i < n:
-        if block[i] < least or not weight[i]:
+        if block[i] < surge or not weight[i]:
             i += 1
             continue
-        j = i                      # surge point
-        while j < n and block[j]:  # up to the dive point
+        j = i
+        while j < n and block[j]:
             j += 1
-        out += [k for k in range(i, j) if weight[k]]
+        out.append([k for k in range(i, j) if weight[k]])
         i = j + 1
+    return out
+
+
+def keep(lines: list[tuple[str, int, bool, bool]], window: int = WINDOW, surge: int = SURGE) -> list[int]:
+    """Lines of the main text."""
+    weight = [0 if furniture or 2 * own < len(text) and not main else max(own, 1) + (surge if main else 0) for text, own, furniture, main in lines]
+    found, lo = [], 0
+    for hi in range(1, len(lines) + 1):  # windows stay within or without a declared part
+        if hi == len(lines) or lines[hi][3] != lines[lo][3]:
+            found += [[lo + k for k in part] for part in _stretches(weight[lo:hi], window, surge)]
+            lo = hi
+    declared = sum(lines[k][1] for part in found for k in part if lines[k][3])
+    out = [k for part in found if lines[part[0]][3] or sum(lines[k][1] for k in part) > declared for k in part]
     if out or not any(weight):
         return out
     runs, run = [], []
-    for k in range(n + 1):
-        if k < n and weight[k]:
+    for k in range(len(lines) + 1):
+        if k < len(lines) and weight[k]:
             run.append(k)
         elif run:
             runs.append(run)

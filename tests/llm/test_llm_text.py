@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -49,6 +50,36 @@ def test_odd_pages(html):
     assert html_text.main_text(html) in ("", "plain", "x", "&", "<p", "<a href='")
 
 
+LONG = ("word " * 60).strip()
+
+
+@pytest.mark.parametrize("html", [
+    f'<body><div><p>{LONG}</p></div><article class="teaser">Read this too</article></body>',
+    f'<body><div class="layout has-sidebar"><p>{LONG}</p></div></body>',
+    f'<body><div class="page-header"><p>{LONG}</p></div><div class="site-header">Name of the site</div></body>',
+    f'<body><div><p>{LONG}</p></div><article class="comment">{LONG * 3}</article><section id="commentList">{LONG * 9}</section></body>',
+    f'<body><main><p>{LONG}</p></main><div><p>{"near " * 30}</p></div></body>',
+])
+def test_names_and_declared_parts(html):
+    assert html_text.main_text(html) == LONG
+
+
+@pytest.mark.parametrize("html", ["<div>" * 200_000, "<!" * 200_000, "<svg>" * 200_000, "<b><div>" + "<i>" * 100_000 + "</b>" * 100_000,
+                                  '<div class="ad">' * 100_000 + "x"])
+def test_odd_markup_takes_linear_time(html):
+    start = time.process_time()
+    html_text.main_text(html)
+    assert time.process_time() - start < 10
+
+
+def test_page_tables(spark):
+    pages = spark.createDataFrame([(1, "u", None, "x"), (2, None, "", "x"), (3, "u", f"<p>{LONG}</p>", "x"), (3, "u", f"<p>{LONG}</p>", "x"), (None, "u", "<p>a", "x")],
+                                  "page_id long, url string, html string, text string")
+    got = sorted(html_text.extract(pages).collect(), key=str)
+    assert sorted((str(r["page_id"]), r["text"], r["n_chars"]) for r in got) == [("1", "", 0), ("2", "", 0), ("3", LONG, 299), ("3", LONG, 299), ("None", "a", 1)]
+    assert html_text.extract(pages.limit(0)).collect() == []
+
+
 def test_pages_match_their_articles(spark):
     def gold(h):
         a = re.search(r"<article>(.*)</article>", h, re.S)[1]
