@@ -165,7 +165,7 @@ def sketch(s: np.ndarray) -> np.ndarray:
 
 
 def prefix_rows(docs: DataFrame, k: int, t: int, tables) -> DataFrame:
-    """``(doc_id, n, sid, prefix, sketch)``: set size, digest, first-order prefix and sketch."""
+    """``(doc_id, text_hash, n, sid, prefix, sketch)``: set size, digest, first-order prefix and sketch."""
     common, hot = tables
 
     def emit(batches):
@@ -174,11 +174,11 @@ def prefix_rows(docs: DataFrame, k: int, t: int, tables) -> DataFrame:
             for r, s in _documents(b, k, (common.value, hot.value)):
                 n[r], sid[r], pre[r], bits[r] = len(s), _digest(s), _first(s, t, SEEDS[0]).view(np.int64), sketch(s)
             longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), pa.array(sid, pa.binary()), pa.array(pre, longs), pa.array(bits, longs)],
-                                             names=["doc_id", "n", "sid", "prefix", "sketch"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array(n), pa.array(sid, pa.binary()), pa.array(pre, longs), pa.array(bits, longs)],
+                                             names=["doc_id", "text_hash", "n", "sid", "prefix", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        emit, "doc_id long, n long, sid binary, prefix array<long>, sketch array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        emit, "doc_id long, text_hash long, n long, sid binary, prefix array<long>, sketch array<long>")
 
 
 def _most_apart(na: Column, nb: Column, t: int) -> Column:
@@ -350,7 +350,7 @@ def _verify(cells: DataFrame, t: int) -> DataFrame:
 
 
 def links(docs: DataFrame, k: int = 3, t: int = 90) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(documents(doc_id, n, sid), sets(sid, node, doc_id), components(node, root))``.
+    """``(documents(doc_id, text_hash, n, sid), sets(sid, node, doc_id), components(node, root))``.
 
     Each distinct set gets a number, ``node``, which stands for its digest in all
     shuffles of tokens, pairs and links; ``sets`` has it with the smallest id of
@@ -363,7 +363,7 @@ def links(docs: DataFrame, k: int = 3, t: int = 90) -> tuple[DataFrame, DataFram
     nodes = C.cut(rows.where("sid is not null").groupBy("sid")
                   .agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("doc_id"))
                   .withColumn("node", F.monotonically_increasing_id()))
-    seen = C.cut(rows.select("doc_id", "n", "sid"))
+    seen = C.cut(rows.select("doc_id", "text_hash", "n", "sid"))
     C.discard(rows)
     C.release(spark)
     pairs, tokens = candidate_links(nodes, t)
@@ -427,23 +427,32 @@ def _outsiders(large: DataFrame, found: DataFrame, t: int) -> DataFrame:
     return _verify(outside.union(members), t)
 
 
-def near_components(docs: DataFrame, k: int = 3, t: int = 90) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)``, one row per document row."""
+def _component_rows(docs: DataFrame, k: int, t: int) -> DataFrame:
     seen, names, comp = links(docs, k, t)
     ids = names.join(comp, "node", "left").select("sid", "doc_id", F.coalesce("root", "node").alias("root"))
     low = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of = ids.join(low, "root").select("sid", "component_id")
     return (seen.join(of, "sid", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+            .select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+
+
+def near_components(docs: DataFrame, k: int = 3, t: int = 90) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)``, one row per document row."""
+    return _component_rows(docs, k, t).drop("text_hash")
 
 
 def keep_one(docs: DataFrame, k: int = 3, t: int = 90) -> DataFrame:
     """The rows of ``docs`` (all columns) with one document of each component:
-    the one with the smallest id. Rows equal in id and text count once."""
-    one = near_components(docs, k, t).where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    mark = docs.withColumn("_text", F.xxhash64("text"))
-    return (mark.join(one, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi")
-            .dropDuplicates(["doc_id", "_text"]).select(*docs.columns))
+    the one with the smallest id. Rows equal in id and text count once; of rows
+    equal in id alone each is judged by its own text. Texts are shuffled once:
+    the join and the removal of repeated rows share their keys."""
+    def keys(hashed: Column) -> list[Column]:
+        i = F.col("doc_id").cast("long")
+        return [F.coalesce(i, F.lit(0)).alias("_kept_id"), i.isNull().alias("_kept_null"), hashed.alias("_kept_text")]
+
+    on = ["_kept_id", "_kept_null", "_kept_text"]
+    one = _component_rows(docs, k, t).where("doc_id <=> component_id").select(*keys(F.col("text_hash"))).distinct()
+    return docs.select("*", *keys(F.xxhash64("text"))).join(one, on, "left_semi").dropDuplicates(on).select(*docs.columns)
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
