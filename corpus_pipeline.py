@@ -7,7 +7,8 @@ last return the columns of ``documents``.
 Defined results, by stage: null, empty and letterless texts have no language and
 go in the first stage (alone, the later stages keep them); a text of any length
 is read whole; of near copies the one with the smallest id stays, and of rows
-equal in id and text one; other rows with one id all stay; a null id is kept
+equal in id and text one; other rows with one id are judged each by its own
+text; a null id is kept
 like any other; extra columns are passed on by every stage but the last; an
 empty table gives no rows.
 """
