@@ -60,3 +60,17 @@ def test_grid_finds_the_model_that_fits(spark):
     best = max(found, key=lambda r: r[2])
     assert best[0] == "random_forest" and best[1]["maxDepth"] == 6 and best[3] > 0.85
     assert sum(r[3] is not None for r in found) == 1 and found[-1][2] < 0.75
+
+
+def test_fourier_svm_fits_without_wide_rows(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 2))
+    rows = [([float(v) for v in r], int(r @ r < 1.2)) for r in x]
+    df = spark.createDataFrame([*rows, (None, 1)], "v array<double>, label int").repartition(3)
+    planes = dict(width=2, features=64, scale=1.0, seed=3)
+    weights, intercept = grids.fit_fourier_svm(df, "v", "label", **planes, max_iter=30, reg=1e-4)
+    wide = grids.fourier_features(df, "v", **planes).dropna()
+    own = grids.predict_linear(wide, weights, intercept, "label", [])
+    mllib = models.fit_predict(wide, wide, models.estimator("linear_svm", maxIter=30, regParam=1e-4), [], scale=False)
+    hit = lambda p: p.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
+    assert hit(own) > 0.95 and hit(own) > hit(mllib) - 0.02
