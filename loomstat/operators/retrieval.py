@@ -17,8 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-CELL_DOCS = 4_000      # documents of a block
-CELL_QUERIES = 1_000   # queries of a chunk
+from loomstat.operators.sampling import ordered_index
+from loomstat.session import cut_lineage
+
+CELL_DOCS = 16_000     # documents of a block
+CELL_QUERIES = 16_000  # queries of a chunk
 DIGITS = 12            # similarities are compared to so many digits, ties by document
 
 
@@ -50,7 +53,7 @@ class Lists:
             a, z = self.cut[t], self.cut[t + 1]
             score[self.doc[a:z]] += w * self.impact[a:z]
             read += z - a
-            if i % 8 == 7 and self.n > k:
+            if i % 8 == 7 and self.n > k and rest[i + 1] < score.max():  # else it can't be under the k-th best either
                 least = np.partition(score, self.n - k)[self.n - k]
                 if rest[i + 1] < least - 10.0 ** -digits:  # no document without a term so far can get there
                     alive = np.flatnonzero(score + rest[i + 1] >= least - 10.0 ** -digits)
@@ -88,21 +91,37 @@ def _cell(k: int, digits: int):
         ids = right.column("doc").to_pylist()
         size = np.array([len(x) for x in right.column("terms")], np.int64)
         flat = lambda t, c: np.concatenate([np.asarray(x.values) for x in t.column(c)])
-        lists = Lists(np.repeat(np.arange(len(ids)), size), flat(right, "terms"), flat(right, "impacts"), len(ids))
+        impact = flat(right, "ws").astype(np.float64) / np.repeat(np.asarray(right.column("norm")), size)
+        lists = Lists(np.repeat(np.arange(len(ids)), size), flat(right, "terms"), impact, len(ids))
         out: list[list] = [[], [], [], []]
-        for q, terms, weights in zip(left.column("doc").to_pylist(), left.column("terms"), left.column("impacts")):
-            docs, score, read = lists.best(np.asarray(terms.values), np.asarray(weights.values), k, digits)
+        for q, terms, ws, norm in zip(left.column("doc").to_pylist(), left.column("terms"), left.column("ws"), left.column("norm").to_pylist()):
+            docs, score, read = lists.best(np.asarray(terms.values), np.asarray(ws.values).astype(np.float64) / norm, k, digits)
             for c, v in zip(out, ([q] * len(docs), [ids[d] for d in docs], score.tolist(), [read] * len(docs))):
                 c.extend(v)
         return pa.table({"doc1": pa.array(out[0], pa.int64()), "doc2": pa.array(out[1], pa.int64()), "similarity": pa.array(out[2], pa.float64()), "read": pa.array(out[3], pa.int64())})
     return go
 
 
-def unit_rows(vectors: DataFrame, w: str = "n") -> DataFrame:
-    """``doc, terms, impacts``: one row for each document, terms by hash, unit norm."""
-    x = vectors.select(F.col("doc").cast("long").alias("doc"), F.xxhash64("term").alias("t"), F.col(w).cast("double").alias("w")).where("w <> 0")
-    rows = x.groupBy("doc").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.sort_array(F.collect_list(F.struct("t", "w"))).alias("e"))  # of one document
-    return rows.select("doc", F.transform("e", lambda e: e["t"]).alias("terms"), F.transform("e", lambda e: e["w"] / F.col("norm")).alias("impacts"))
+def numbered_terms(docs: DataFrame) -> DataFrame:
+    """``term, t``: the terms of ``docs`` by falling document frequency (ties by
+    term), so that common terms have small numbers; cut, as two sides read it."""
+    df = docs.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return ordered_index(df.select((-F.col("df")).alias("less"), "term"), ["less", "term"], "t").select("term", "t")
+
+
+def unit_rows(vectors: DataFrame, terms: DataFrame, w: str = "n", number: str = "long") -> DataFrame:
+    """``doc, norm, terms, ws``: one row for each document, its terms by number.
+
+    A row is copied into every cell it meets, so it is kept small: numbers of
+    type ``number``, weights as they came, one norm. Terms without a number (of
+    queries only) count in the norm.
+    """
+    x = vectors.select(F.col("doc").cast("long").alias("doc"), F.col("term").alias("word"), F.col(w).alias("w")).where("w <> 0")
+    x = x.join(terms, F.col("word").eqNullSafe(F.col("term")), "left")
+    entry = F.when(F.col("t").isNotNull(), F.struct(F.col("t").cast(number).alias("t"), "w"))
+    rows = x.groupBy("doc").agg(F.sqrt(F.sum(F.col("w").cast("double") * F.col("w").cast("double"))).alias("norm"),
+                                F.sort_array(F.collect_list(entry)).alias("e"))  # of one document
+    return rows.select("doc", "norm", F.transform("e", lambda e: e["t"]).alias("terms"), F.transform("e", lambda e: e["w"]).alias("ws"))
 
 
 def top_documents(queries: DataFrame, docs: DataFrame, k: int, w: str = "n", cell_docs: int = CELL_DOCS, cell_queries: int = CELL_QUERIES, digits: int = DIGITS) -> DataFrame:
@@ -112,10 +131,18 @@ def top_documents(queries: DataFrame, docs: DataFrame, k: int, w: str = "n", cel
     ``queries`` and ``docs`` are vectors ``(doc, term, <w>)`` with non-negative
     weights and whole-number ids; a query without a term has no row. The query's
     norm covers all of its terms; similarities are compared to ``digits`` digits; restrict it to the vocabulary before if the
-    others should not count.
+    others should not count. Every row is copied once for each chunk or block of
+    the other side, so cells are as large as a task's memory allows.
     """
-    left, right = unit_rows(queries, w), unit_rows(docs, w)
-    chunks, blocks = max(1, -(-left.count() // cell_queries)), max(1, -(-right.count() // cell_docs))
+    terms = numbered_terms(docs.where(F.col(w) != 0))
+    number = "int" if terms.count() < 1 << 31 else "long"
+    # both sides are counted before they are dealt
+    left, right = (cut_lineage(unit_rows(v, terms, w, number)) for v in (queries, docs))
+    n, m, cores = left.count(), right.count(), docs.sparkSession.sparkContext.defaultParallelism
+    for part in (1, 2, 4, 8, 16):  # smaller cells while there are too few for the cores
+        chunks, blocks = max(1, -(-n * part // cell_queries)), max(1, -(-m * min(part, 4) // cell_docs))
+        if chunks * blocks >= 2 * cores:
+            break
     left = left.withColumn("c", F.pmod(F.xxhash64("doc"), F.lit(chunks))).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")))
     right = right.withColumn("b", F.pmod(F.xxhash64("doc"), F.lit(blocks))).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)).cast("array<long>")))
     found = left.groupBy("c", "b").cogroup(right.groupBy("c", "b")).applyInArrow(_cell(k, digits), "doc1 long, doc2 long, similarity double, read long")

@@ -326,3 +326,23 @@ def test_json_files(spark):
     good, bad = sources.read_json_pairs(spark, path)
     assert sorted((r["key"], r["category"], r["value"]) for r in good.collect()) == [("m1", "x", 1.5), ("m2", "y", 2.0)]
     assert {r["reason"]: r["n"] for r in bad.collect()} == {"not JSON": 1, "not an array": 1, "bad element": 2}
+
+
+def test_retrieval_copies_small_rows_into_few_cells(spark):
+    rng = random.Random(9)
+    docs = {i: {f"t{rng.randint(0, 400)}": rng.randint(1, 3) for _ in range(20)} for i in range(600)}
+    frame = lambda x: spark.createDataFrame([(i, t, n) for i, v in x.items() for t, n in v.items()], "doc long, term string, n long").repartition(3)
+    d = frame(docs)
+    terms = retrieval.numbered_terms(d)
+    rows = retrieval.unit_rows(d, terms, "n", "int")
+    assert dict(rows.dtypes)["terms"] == "array<int>" and rows.count() == 600  # 4 bytes a term, no hash
+    got = {r["doc"]: dict(zip(r["terms"], r["ws"])) for r in rows.collect()}
+    number = {r["term"]: r["t"] for r in terms.collect()}
+    assert sorted(number.values()) == list(range(len(number))) and got == {i: {number[t]: n for t, n in v.items()} for i, v in docs.items()}
+    assert retrieval.CELL_DOCS * retrieval.CELL_QUERIES >= 32 * 4_000 * 1_000  # copies fall with the cells' size
+
+
+def test_retrieval_of_terms_that_are_null(spark):
+    q = spark.createDataFrame([(1, None, 2), (1, "a", 1)], "doc long, term string, n long")
+    got = retrieval.top_documents(q, q.withColumn("doc", F.lit(7).cast("long")), 3, digits=9).collect()
+    assert [(r["doc1"], r["doc2"], r["similarity"]) for r in got] == [(1, 7, 1.0)]
