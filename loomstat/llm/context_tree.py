@@ -40,6 +40,7 @@ DEPTH = 6
 HEAD = 1_000_000
 MOST_GRAMS = 6_000_000
 CACHED = 300_000    # words of a worker's cache (some 160 bytes each)
+BATCH = 2_000_000   # bytes of texts whose words are counted at once
 SLICE = 1 << 17     # bytes of words whose grams are formed at once
 HELD = 250_000      # grams that a task adds up before it passes them on
 END = 0x0A    # no word holds it
@@ -137,21 +138,17 @@ class Upper:
 def vocabulary(docs: DataFrame) -> DataFrame:
     """``h, word, c`` of all distinct words of ``docs(text, learn)``; ``c`` counts learned occurrences."""
     def go(batches):
+        C.in_use("context_tree.vocabulary")
         for b in batches:
             data, offs = C.buffer(b.column("text"))
             learn = np.asarray(b.column("learn")).astype(np.int64)
-            parts = []
-            for i, j in C.groups(offs):
+            for i, j in C.groups(offs, BATCH):
                 h, s, e, first = C.words(data, offs[i:j + 1], C.SPACES)
-                parts.append((h, s + offs[i], e + offs[i], np.repeat(learn[i:j], np.diff(first))))
-            if not parts:
-                continue
-            h, s, e, w = (np.concatenate(x) for x in zip(*parts))
-            u, at, inv = np.unique(h, return_index=True, return_inverse=True)
-            c = np.bincount(inv, w, len(u)).astype(np.int64)
-            raw = memoryview(C.LOWER[data])
-            yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array([bytes(raw[x:y]) for x, y in zip(s[at].tolist(), e[at].tolist())], pa.binary()), pa.array(c)],
-                                             names=["h", "word", "c"])
+                u, at, inv = np.unique(h, return_index=True, return_inverse=True)
+                c = np.bincount(inv, np.repeat(learn[i:j], np.diff(first)), len(u)).astype(np.int64)
+                raw = memoryview(C.LOWER[data[offs[i]:offs[j]]])
+                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array([bytes(raw[x:y]) for x, y in zip(s[at].tolist(), e[at].tolist())], pa.binary()), pa.array(c)],
+                                                 names=["h", "word", "c"])
 
     return (docs.select("text", "learn").mapInArrow(go, "h long, word binary, c long")
             .groupBy("h").agg(F.first("word").alias("word"), F.sum("c").alias("c")))

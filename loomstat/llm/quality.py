@@ -39,7 +39,8 @@ HASH_BITS = 24
 RANGE = 2.5
 LEAST_WIDTH = 0.02  # nats per byte
 SHORT = 200  # words; the bands of shorter texts widen with the spread of a mean
-CACHED = 1_000_000
+CACHED = 200_000  # words of a worker's cache (some 400 bytes each with six languages)
+BATCH = 1_000_000  # bytes of texts measured at once
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -48,7 +49,7 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 def _words(batch: pa.RecordBatch):
     """Groups of rows: ``(i, j, byte offsets, raw bytes, hash, start, end, first)``."""
     data, offs = C.buffer(batch.column("text"))
-    for i, j in C.groups(offs, 4_000_000):
+    for i, j in C.groups(offs, BATCH):
         yield i, j, offs[i:j + 1] - offs[i], data[offs[i]:offs[j]], *C.words(data, offs[i:j + 1], C.SPACES, lower=False)
 
 
@@ -60,6 +61,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     rows = docs.select("lang", "text", digest).join(copies, ["lang", "digest"], "left")
 
     def go(batches):
+        C.in_use("quality.grams")
         for b in batches:
             lang = np.array(b.column("lang").to_pylist(), object)
             names, which = np.unique(lang.astype(str), return_inverse=True) if len(lang) else (np.zeros(0, str), np.zeros(0, int))
@@ -182,6 +184,7 @@ _LAST: list = []
 
 
 def _cache(mark: str) -> dict:
+    C.in_use("quality", _LAST.clear)
     if not _LAST or _LAST[0] != mark:
         _LAST[:] = [mark, {}]
     return _LAST[1]
