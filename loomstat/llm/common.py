@@ -216,6 +216,58 @@ def word_grams(raw: np.ndarray, start: np.ndarray, end: np.ndarray, depth: int)
     return key, word
 
 
+def running_text(raw: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray, head: bytes,
+                 tail: bytes = b"") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows as running text: ``head``, the row's words (byte ranges of ``raw``,
+    all its bytes but separators), a space after each, ``tail``.
+
+    Returns ``(bytes, row, word)``: where each row begins (one more entry than
+    rows) and where each word begins.
+    """
+    n, rows = end - start + 1, len(first) - 1
+    around = len(head) + len(tail)
+    total = np.concatenate([[0], np.cumsum(n)])
+    row = total[first] + np.arange(rows + 1) * around
+    word = total[:-1] + np.repeat(np.arange(rows), np.diff(first)) * around + len(head)
+    inside = np.ones(int(row[-1]), bool)
+    text = np.full(len(inside), 0x20, np.uint8)
+    inside[word + n - 1] = False
+    for k, byte in enumerate(head):
+        text[row[:-1] + k], inside[row[:-1] + k] = byte, False
+    for k, byte in enumerate(reversed(tail)):
+        text[row[1:] - 1 - k], inside[row[1:] - 1 - k] = byte, False
+    text[inside] = raw[~SPACES[raw]]
+    return text, row, word
+
+
+def running_grams(text: np.ndarray, row: np.ndarray, head: int, depth: int, step: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``(from, to, key, event)`` over parts of ``step`` bytes of ``running_text``:
+    ``context << 8 | byte`` with the ``depth`` bytes before, whatever they are; an
+    event is any byte but those of the ``head``, which holds ``depth`` bytes at least."""
+    for x in range(0, len(text), step):
+        y = min(x + step, len(text))
+        back = min(x, depth)
+        part = text[x - back:y].astype(np.int64)
+        key = part.copy()
+        for d in range(1, depth + 1):
+            key[d:] |= part[:-d] << (8 * d) if d < len(part) else 0
+        event = np.ones(y - x, bool)
+        near = row[np.searchsorted(row, x - head, "right"):np.searchsorted(row, y)]
+        for k in range(head):
+            at = near[(near + k >= x) & (near + k < y)] + k - x
+            event[at] = False
+        yield x, y, key[back:], event
+
+
+def add_spans(total: np.ndarray, begin: np.ndarray, x: int, values: np.ndarray) -> None:
+    """Add the values of the bytes from ``x`` on to the spans (beginning at
+    ``begin``, each up to the next) in which they lie."""
+    lo = max(int(np.searchsorted(begin, x, "right")) - 1, 0)
+    hi = int(np.searchsorted(begin, x + len(values)))
+    if lo < hi:
+        total[lo:hi] += np.add.reduceat(values, np.maximum(begin[lo:hi] - x, 0))
+
+
 def _forest(edges: DataFrame) -> DataFrame:
     """Each task replaces its edges by stars with the same components."""
     def go(batches):

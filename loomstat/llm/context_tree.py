@@ -3,20 +3,22 @@
 Events are the bytes of tokens (lower-cased words, each followed by a space;
 then one end of the document). A byte is coded bit by bit; each of the 255
 inner nodes of that binary decomposition has its own context tree over the
-preceding ``DEPTH`` bytes, which reach back to the space before the word. All
-depths take part: with Krichevsky-Trofimov block probabilities ``Pe``,
+``DEPTH`` bytes before it in the running text, across words, back to a space
+before the document (``running=False`` scores words alone: contexts then begin
+at the space before the word). All depths take part: with Krichevsky-Trofimov
+block probabilities ``Pe``,
 
     Pw(node) = (Pe(node) + prod Pw(children)) / 2,   Pw(leaf) = Pe(leaf),
 
 and a bit's probability mixes the estimates along the path with the weights
 ``Pe / (2 Pw)`` from the root down.
 
-Spark counts words, then byte contexts (``grams``: context and byte in one integer),
-over all training documents. Trees that share the two latest context bytes are
+Spark counts words, then byte contexts (``text_grams``: context and byte in one
+integer), over all training documents. Trees that share the two latest context bytes are
 weighted together in numpy, in hash groups; the two upper depths have at most
 256 x 256 nodes and are weighted from the groups' sums. The result, a
 probability for each gram, is broadcast while it has at most ``MOST_GRAMS``
-rows, else words are scored by a join.
+rows, else texts are scored by a join of their distinct grams.
 
 Base counts come from the word table: the ``HEAD`` commonest words are
 broadcast (a fixed bound), all others meet their counts in a join.
@@ -38,11 +40,15 @@ from loomstat.llm import common as C
 
 DEPTH = 6
 HEAD = 1_000_000
-MOST_GRAMS = 6_000_000
+MOST_GRAMS = 6_000_000      # of words
+MOST_TEXT_GRAMS = 16_000_000  # of running text: 12 bytes each
 CACHED = 300_000    # words of a worker's cache (some 160 bytes each)
 BATCH = 2_000_000   # bytes of texts whose words are counted at once
 SLICE = 1 << 17     # bytes of words whose grams are formed at once
 HELD = 250_000      # grams that a task adds up before it passes them on
+TEXT_HELD = 1_500_000
+PIECE = 500_000     # bytes of running text whose grams are formed at once
+TREES = 60_000      # grams whose trees are weighted at once (one context of two bytes at least)
 END = 0x0A    # no word holds it
 SPACE = 0x20
 _LN2, _LN10 = float(np.log(2)), float(np.log(10))
@@ -64,6 +70,8 @@ def kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
 
 #: the end is coded after the space before it
 END_GRAM = (SPACE << 8) | END
+#: bytes before a document: contexts end at the space
+HEAD_BYTES, TAIL_BYTES = bytes(DEPTH - 1) + bytes([SPACE]), bytes([END])
 
 
 def _nodes(key: np.ndarray, d: int) -> tuple[np.ndarray, np.ndarray]:
@@ -188,6 +196,53 @@ def grams(words: DataFrame, ends: int) -> DataFrame:
     return words.select("word", "c").mapInArrow(go, "key long, n long").union(end).groupBy("key").agg(F.sum("n").alias("n"))
 
 
+def text_grams(docs: DataFrame) -> DataFrame:
+    """``key, n`` over the running text of ``docs(text, learn)``, ends included;
+    ``n`` counts learned occurrences."""
+    def go(batches):
+        C.in_use("context_tree.grams")
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        rows = 0
+
+        def merged():
+            key, n = (np.concatenate(x) for x in zip(*held))
+            u, inv = np.unique(key, return_inverse=True)
+            return u, np.bincount(inv, n, len(u)).astype(np.int64)
+
+        for b in batches:
+            data, offs = C.buffer(b.column("text"))
+            learn = np.asarray(b.column("learn")).astype(bool)
+            for i, j in C.groups(offs, PIECE):
+                _, s, e, first = C.words(data, offs[i:j + 1], C.SPACES)
+                text, row, _ = C.running_text(C.LOWER[data[offs[i]:offs[j]]], s, e, first, HEAD_BYTES, TAIL_BYTES)
+                weight = np.repeat(learn[i:j], np.diff(row))
+                for x, y, key, event in C.running_grams(text, row, DEPTH, DEPTH, PIECE):
+                    u, inv = np.unique(key[event], return_inverse=True)
+                    held.append((u, np.bincount(inv, weight[x:y][event], len(u)).astype(np.int64)))
+                    rows += len(u)
+                if rows > TEXT_HELD:
+                    held[:] = [merged()]
+                    rows = len(held[0][0])
+                    if rows > TEXT_HELD // 2:
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held.pop()], names=["key", "n"])
+                        rows = 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in merged()], names=["key", "n"])
+
+    return docs.select("text", "learn").mapInArrow(go, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def _portions(t: pa.Table):
+    """Grams and counts of one group, some whole contexts of two bytes at a time."""
+    key, n = np.asarray(t.column("key")), np.asarray(t.column("n"))
+    latest = (key >> 8) & 0xFFFF
+    order = np.argsort(latest, kind="stable")
+    start = np.flatnonzero(np.diff(latest[order], prepend=-1))
+    for i, j in C.groups(np.append(start, len(key)), TREES):
+        at = order[start[i]:start[j] if j < len(start) else len(key)]
+        yield key[at], n[at]
+
+
 def probabilities(gram: DataFrame) -> DataFrame:
     """``key, logp``: log10 probability of each gram's byte in its context."""
     spark = gram.sparkSession
@@ -196,7 +251,10 @@ def probabilities(gram: DataFrame) -> DataFrame:
     grouped = C.cut(gram.withColumn("part", F.pmod(F.xxhash64(latest), F.lit(parts))))
 
     def lower(t: pa.Table) -> pa.Table:
-        f = Forest(np.asarray(t.column("key")), np.asarray(t.column("n")), 2)
+        return pa.concat_tables([sums_of(*x) for x in _portions(t)])
+
+    def sums_of(key: np.ndarray, n: np.ndarray) -> pa.Table:
+        f = Forest(key, n, 2)
         node, at = np.unique(f.names[2] & 0xFFFF, return_inverse=True)
         s = lambda v: np.bincount(at, v, len(node))
         return pa.table({"node": node, "n0": s(f.n0[2]), "n1": s(f.n1[2]), "child": s(f.logw[2])})
@@ -206,8 +264,7 @@ def probabilities(gram: DataFrame) -> DataFrame:
     upper = spark.sparkContext.broadcast(Upper(*(np.asarray(sums.column(i)) for i in range(4))))
 
     def score(t: pa.Table) -> pa.Table:
-        key = np.asarray(t.column("key"))
-        return pa.table({"key": key, "logp": Forest(key, np.asarray(t.column("n")), 2).predict(upper.value)})
+        return pa.concat_tables([pa.table({"key": key, "logp": Forest(key, n, 2).predict(upper.value)}) for key, n in _portions(t)])
 
     return grouped.groupBy("part").applyInArrow(score, "key long, logp double")
 
@@ -246,55 +303,79 @@ def word_scores(mark: str, table) -> WordScores:
     return _LAST[0]
 
 
-def scores(docs: DataFrame, keep: list[str]) -> DataFrame:
+def _sorted_table(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order with their log10 probabilities (single precision)."""
+    t = table.select("key", F.col("logp").cast("float").alias("logp")).orderBy("key").toArrow()
+    return np.asarray(t.column("key")), np.asarray(t.column("logp"))
+
+
+def scores(docs: DataFrame, keep: list[str], running: bool = False) -> DataFrame:
     """Score ``docs(text, learn, *keep)``: ``keep`` columns and ``n_bytes,
-    n_tokens, n_known, train_tokens, base_score, score, bits_per_byte``."""
+    n_tokens, n_known, train_tokens, base_score, score, bits_per_byte``.
+    ``running``: contexts reach across words, else they begin with the word."""
     spark = C.prepare(docs.sparkSession)
     sc = spark.sparkContext
     words = C.cut(vocabulary(docs))
     ends = docs.where("learn").count()
     n, v = words.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     n, v = n + ends, v + (ends > 0)
-    gram = C.cut(grams(words, ends))
+    gram = C.cut(text_grams(docs) if running else grams(words, ends))
     table = C.cut(probabilities(gram))
-    rows = table.count()
-    small = rows <= MOST_GRAMS
-    if small:
-        t = table.orderBy("key").toArrow() if rows else None
-        key, logp = np.asarray(t.column("key")), np.asarray(t.column("logp"))
-        end_score = float(logp[np.searchsorted(key, END_GRAM)])
-        model = sc.broadcast((key, logp.astype(np.float32)))  # 72 MB at most
-    else:
-        model, end_score = None, float(table.where(F.col("key") == END_GRAM).first()["logp"])
+    small = table.count() <= (MOST_TEXT_GRAMS if running else MOST_GRAMS)
+    model = sc.broadcast(_sorted_table(table)) if small else None  # 12 bytes a gram
+    end = None if running else table.where(F.col("key") == END_GRAM).first()  # a running text has its own end
+    end_score = float(end["logp"]) if end else 0.0
     top = words.where("c > 0").select("h", "c").orderBy(F.desc("c"), "h").limit(HEAD).toArrow()
     hh, cc = np.asarray(top.column("h")).astype(np.int64).view(np.uint64), np.asarray(top.column("c")).astype(np.int64)
     order = np.argsort(hh)
     head = sc.broadcast((hh[order], cc[order]))
     mark = f"{sc.applicationId}-{model._jbroadcast.id()}" if small else ""
 
+    def of_text(low, s, e, first):
+        """Scores of rows, or the place, key and number of each row's grams when these are scored by the join."""
+        text, begin, _ = C.running_text(low, s, e, first, HEAD_BYTES, TAIL_BYTES)
+        own, each = np.zeros(len(first) - 1), []
+        of = None if small else np.repeat(np.arange(len(own)), np.diff(begin))
+        for x, y, key, event in C.running_grams(text, begin, DEPTH, DEPTH, PIECE):
+            u, inv = np.unique(key[event], return_inverse=True)
+            if small:
+                value = np.zeros(y - x)
+                value[event] = model.value[1][np.searchsorted(model.value[0], u)][inv]
+                C.add_spans(own, begin, x, value)
+                continue
+            at = of[x:y][event]
+            pair, n = np.unique(at * len(u) + inv, return_counts=True)
+            each.append((pair // max(len(u), 1), u[pair % max(len(u), 1)], n))
+        return own, each
+
     def go(batches):
         known, count = head.value
+        if running:
+            C.in_use("context_tree")
         for b in batches:
             data, offs = C.buffer(b.column("text"))
-            raw = C.LOWER[data]
             row = np.asarray(b.column("_row")).astype(np.int64)
-            ids, tails = [], []
-            for i, j in C.groups(offs, 4_000_000):
+            ids, tails, joined = [], [], []
+            for i, j in C.groups(offs, PIECE if running else 4_000_000):
                 h, s, e, first = C.words(data, offs[i:j + 1], C.SPACES)
+                low = C.LOWER[data[offs[i]:offs[j]]]
                 u, at, inv = np.unique(h, return_index=True, return_inverse=True)
                 p = np.searchsorted(known, u)
                 p[p == len(known)] = 0
-                common = known[p] == u if len(known) and small else np.zeros(len(u), bool)
+                common = known[p] == u if len(known) and (small or running) else np.zeros(len(u), bool)
                 c = np.where(common, count[p], 0) if len(known) else np.zeros(len(u), np.int64)
-                own = word_scores(mark, model).of(u, raw[offs[i]:offs[j]], s[at], e[at]) if small else np.zeros(len(u))
+                own = word_scores(mark, model).of(u, low, s[at], e[at]) if small and not running else np.zeros(len(u))
                 sums = []
                 for x in (np.where(common, np.log10(c + 1.0), 0.0), common.astype(np.float64), own):
                     t = np.concatenate([[0.0], np.cumsum(x[inv])])
                     sums.append(t[first[1:]] - t[first[:-1]])
+                if running:
+                    sums[2], each = of_text(low, s, e, first)
+                    joined += [(row[i:j][a], k, n) for a, k, n in each]
                 ids.append((row[i:j], np.diff(offs[i:j + 1]), np.diff(first), *sums))
                 rare = np.flatnonzero(~common[inv])  # all words when they are scored by the join
                 tails.append((np.repeat(row[i:j], np.diff(first))[rare], u[inv[rare]].view(np.int64)))
-            for parts, kind in ((ids, 0), (tails, 1)):
+            for parts, kind in ((ids, 0), (tails, 1), (joined, 2)):
                 if not parts:
                     continue
                 cols = [np.concatenate(x) for x in zip(*parts)]
@@ -302,23 +383,29 @@ def scores(docs: DataFrame, keep: list[str]) -> DataFrame:
                 null = lambda t: pa.nulls(m, t)
                 kept = [b.column(k) if kind == 0 else null(b.column(k).type) for k in carried]
                 if kind == 0:
-                    out = [pa.array(cols[0]), null(pa.int64()), pa.array(cols[1]), pa.array(cols[2]), pa.array(cols[3]), pa.array(cols[4].astype(np.int64)), pa.array(cols[5])]
+                    out = [pa.array(cols[0]), null(pa.int64()), null(pa.int64()), pa.array(cols[1]), pa.array(cols[2]), pa.array(cols[3]), pa.array(cols[4].astype(np.int64)), pa.array(cols[5])]
                 else:
-                    out = [pa.array(cols[0]), pa.array(cols[1]), null(pa.int64()), null(pa.int64()), null(pa.float64()), null(pa.int64()), null(pa.float64())]
-                yield pa.RecordBatch.from_arrays(out + kept, names=["_row", "h", "n_bytes", "n_words", "lg", "seen", "own", *carried])
+                    times = pa.array(cols[2]) if kind == 2 else null(pa.int64())
+                    out = [pa.array(cols[0]), pa.array(cols[1]), times, null(pa.int64()), null(pa.int64()), null(pa.float64()), null(pa.int64()), null(pa.float64())]
+                yield pa.RecordBatch.from_arrays(out + kept, names=["_row", "h", "times", "n_bytes", "n_words", "lg", "seen", "own", *carried])
 
     carried = [f"_k_{k}" for k in keep]
     numbered = docs.select(F.monotonically_increasing_id().alias("_row"), "text", *[F.col(k).alias(f"_k_{k}") for k in keep])
     kinds = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in numbered.schema if f.name in carried)
-    out = C.cut(numbered.mapInArrow(go, "_row long, h long, n_bytes long, n_words long, lg double, seen long, own double" + kinds))
+    out = C.cut(numbered.mapInArrow(go, "_row long, h long, times long, n_bytes long, n_words long, lg double, seen long, own double" + kinds))
     each = words.select("h", "c")
-    if not small:
+    by_word = not small and not running
+    if by_word:
         each = each.join(_joined_scores(words, table), "h")
-    rare = (out.where("h is not null").select("_row", "h").join(each, "h").groupBy("_row")
+    rare = (out.where("h is not null and times is null").select("_row", "h").join(each, "h").groupBy("_row")
             .agg(F.sum(F.log10(F.col("c") + 1.0)).alias("lg2"), F.sum((F.col("c") > 0).cast("long")).alias("seen2"),
-                 *([] if small else [F.sum("word_score").alias("own2")])))
+                 *([F.sum("word_score").alias("own2")] if by_word else [])))
+    found = out.where("h is null").drop("h", "times").join(rare, "_row", "left")
+    if running and not small:
+        found = found.join(out.where("times is not null").select("_row", F.col("h").alias("key"), "times").join(table, "key")
+                           .groupBy("_row").agg(F.sum(F.col("times") * F.col("logp")).alias("own2")), "_row", "left")
     zero = F.lit(0.0)
-    return (out.where("h is null").drop("h").join(rare, "_row", "left")
+    return (found
             .select(*[F.col(f"_k_{k}").alias(k) for k in keep], "n_bytes", (F.col("n_words") + 1).alias("n_tokens"),
                     (F.col("seen") + F.coalesce("seen2", F.lit(0)) + F.lit(int(ends > 0))).alias("n_known"),
                     F.lit(n).cast("long").alias("train_tokens"),
@@ -345,4 +432,4 @@ def _joined_scores(words: DataFrame, table: DataFrame) -> DataFrame:
 
 def op8_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.documents(spark, sf_dir).select(F.col("doc_id").cast("long").alias("doc_id"), "text", C.held_out("doc_id", 7, 2).alias("held_out"))
-    return scores(docs.withColumn("learn", ~F.col("held_out")), ["doc_id", "held_out"])
+    return scores(docs.withColumn("learn", ~F.col("held_out")), ["doc_id", "held_out"], running=True)

@@ -315,6 +315,70 @@ def test_context_tree_brute_force(spark, most, monkeypatch):
         assert abs(r["score"] - sum(map(every, w)) - end) < 1e-4
 
 
+@pytest.mark.parametrize("most", [6_000_000, 0])
+def test_contexts_reach_across_words(spark, most, monkeypatch):
+    monkeypatch.setattr(context_tree, "MOST_TEXT_GRAMS", most)  # 0: texts are scored by the join
+    monkeypatch.setattr(context_tree, "HEAD", 3)
+    monkeypatch.setattr(context_tree, "PIECE", 7)
+    monkeypatch.setattr(context_tree, "TREES", 5)
+    monkeypatch.setattr(context_tree, "TEXT_HELD", 9)
+    rows = [(i, t, i % 3 != 0) for i, t in enumerate(["The cat sat", "the cat on the mat", "zebra! the", None, "", "a b a cat caterpillar", "the the\tmat\n", "cat the on mat the", "t\u00e9 \x00 the"] * 2)]
+    plain = lambda t: b" ".join((t or "").encode().lower().split())
+    texts = {}
+    for _, t, learn in rows:
+        if learn:
+            texts[plain(t)] = texts.get(plain(t), 0) + 1
+    logp = brute_running(texts)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, learn boolean").repartition(3)
+    got = {r["doc_id"]: r for r in context_tree.scores(docs, ["doc_id"], running=True).collect()}
+    words = {r["doc_id"]: r for r in context_tree.scores(docs, ["doc_id"]).collect()}
+    assert len(got) == len(rows)
+    for i, t, _ in rows:
+        assert abs(got[i]["score"] - logp(plain(t))) < 1e-4
+        for c in ("n_tokens", "n_known", "train_tokens", "base_score", "n_bytes"):  # the base does not change
+            assert got[i][c] == pytest.approx(words[i][c])
+    assert abs(got[1]["score"] - got[7]["score"]) > .01  # the same words in another order
+
+
+def brute_running(texts):
+    """Weights over running text by dictionaries: each byte after the ``DEPTH`` before it, back to a space before the document."""
+    D, n, kids, memo = context_tree.DEPTH, {}, {}, {}
+
+    def events(t):
+        s = b"\0" * (D - 1) + b" " + t + (b" " if t else b"") + bytes([context_tree.END])
+        for i in range(D, len(s)):
+            for j in range(8):
+                yield s[i - D:i], (1 << j) | (s[i] >> (8 - j)), (s[i] >> (7 - j)) & 1
+    for t, c in texts.items():
+        for full, m, bit in events(t):
+            for d in range(D + 1):
+                n.setdefault((full[D - d:], m), [0, 0])[bit] += c
+                if d:
+                    kids.setdefault((full[D - d + 1:], m), set()).add((full[D - d:], m))
+
+    def pe(k):
+        return math.lgamma(n[k][0] + .5) + math.lgamma(n[k][1] + .5) - math.log(math.pi) - math.lgamma(sum(n[k]) + 1)
+
+    def pw(k):
+        if k not in memo:
+            memo[k] = pe(k) if len(k[0]) == D else np.logaddexp(pe(k), sum(pw(x) for x in kids[k])) - math.log(2)
+        return memo[k]
+
+    def logp(t):
+        total = 0.0
+        for full, m, bit in events(t):
+            p = None
+            for d in range(D, -1, -1):
+                k = (full[D - d:], m)
+                a = n.get(k, [0, 0])
+                here = (a[bit] + .5) / (sum(a) + 1)
+                share = 1.0 if d == D else math.exp(pe(k) - math.log(2) - pw(k)) if k in n else .5
+                p = here if p is None else share * here + (1 - share) * p
+            total += math.log10(p)
+        return total
+    return logp
+
+
 def test_context_tree_edges(spark):
     docs = edge(spark).withColumn("learn", F.lit(True))
     assert context_tree.scores(docs, ["doc_id", "key"]).count() == 9
