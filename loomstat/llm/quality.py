@@ -1,15 +1,14 @@
 """Quality rules: n-gram perplexity bands of a modified Kneser-Ney model.
 
-The model's n-grams are those of bytes within words (a space before and after,
-ASCII letters in lower case), up to order 4, counted by Spark over all
-distinct texts of each language. Lower orders hold continuation counts, n-grams at a word's
-start raw counts; the three discounts of an order come from its counts of
-counts; every kept n-gram stores its interpolated log-probability and every
-context its back-off weight, in sorted arrays of hashes. Keys up to order 3
-are exact in 24 bits, order 4 is hashed to 24 bits, which bounds an array at
-2**24 entries whatever the corpus.
-
-Each word is scored under every language's model. A document's language is the
+The model's n-grams are those of bytes of the running text (its words, ASCII
+letters in lower case, a space after each), up to order ``ORDER`` and across words,
+counted by Spark over all distinct texts of each language. Lower orders hold continuation
+counts, n-grams at a text's start raw counts; the three discounts of an order come
+from its counts of counts; every kept n-gram stores its interpolated log-probability and every
+context its back-off weight, in sorted arrays of exact keys (the text's start is a
+byte that no word holds, a NUL counts as byte 1).
+
+Each word, after what stands before it, is scored under every language's model. A document's language is the
 model that explains all its words best (a wrong label does not count against
 it); its value is the mean negative log-probability per byte, each word taken
 under its best model, so that texts in two languages are judged by their words
@@ -34,13 +33,15 @@ from pyspark.sql import functions as F
 from loomstat.llm import common as C
 from loomstat.llm.jaccard_join import shingle_hashes
 
-ORDER = 4
-HASH_BITS = 24
+ORDER = 5
+START = bytes(ORDER - 2) + b"\n"  # before a text
 RANGE = 2.5
 LEAST_WIDTH = 0.02  # nats per byte
 SHORT = 200  # words; the bands of shorter texts widen with the spread of a mean
-CACHED = 200_000  # words of a worker's cache (some 400 bytes each with six languages)
-BATCH = 1_000_000  # bytes of texts measured at once
+CACHED = 500_000  # n-grams of a worker's cache (32 bytes each with six languages)
+BATCH = 500_000  # bytes of texts measured at once
+HELD = 300_000  # n-grams of further pieces that a task holds before it adds them up
+PIECE = 250_000  # bytes of running text whose n-grams are formed at once
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -53,8 +54,24 @@ def _words(batch: pa.RecordBatch):
         yield i, j, offs[i:j + 1] - offs[i], data[offs[i]:offs[j]], *C.words(data, offs[i:j + 1], C.SPACES, lower=False)
 
 
+def _running(raw: np.ndarray, s: np.ndarray, e: np.ndarray, first: np.ndarray):
+    """``C.running_text`` of some rows, and the parts of its n-grams."""
+    text, row, word = C.running_text(np.maximum(C.LOWER[raw], 1), s, e, first, START)
+    return row, word, C.running_grams(text, row, len(START), ORDER - 1, PIECE)
+
+
+def _order(key: np.ndarray) -> np.ndarray:
+    """Bytes of an n-gram: fewer than ``ORDER`` at a text's start only."""
+    return 2 + sum(((key >> (8 * o)) != 0).astype(np.int32) for o in range(2, ORDER))
+
+
+def _merged(held: list) -> tuple[np.ndarray, np.ndarray]:
+    u, inv = np.unique(np.concatenate([p[0] for p in held]), return_inverse=True)
+    return u, np.bincount(inv, np.concatenate([p[1] for p in held]), len(u))
+
+
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """``lang, ord, key, n`` of ``docs(lang, text)``: order 4 inside words, orders 2 and 3 at their start.
+    """``lang, ord, key, n`` of ``docs(lang, text)``: the highest order throughout the text, lower ones at its start.
     The copies of a text share one count."""
     digest = F.xxhash64("text").alias("digest")
     copies = C.cut(docs.groupBy("lang", digest).agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
@@ -66,26 +83,22 @@ def gram_counts(docs: DataFrame) -> DataFrame:
             lang = np.array(b.column("lang").to_pylist(), object)
             names, which = np.unique(lang.astype(str), return_inverse=True) if len(lang) else (np.zeros(0, str), np.zeros(0, int))
             share = np.asarray(b.column("share"))
-            held: list[list] = [[] for _ in names]
+            held: list = []
             for i, j, offs, raw, h, s, e, first in _words(b):
-                low = C.LOWER[raw]
-                of, part = np.repeat(which[i:j], np.diff(first)), np.repeat(share[i:j], np.diff(first))
-                for k in range(len(names)):
-                    mine = np.flatnonzero(of == k)
-                    if not len(mine):
-                        continue
-                    _, at, word_of = np.unique(h[mine], return_index=True, return_inverse=True)
-                    c = np.bincount(word_of, part[mine], len(at))
-                    key, word = C.word_grams(low, s[mine[at]], e[mine[at]], ORDER - 1)
-                    u, inv = np.unique(key, return_inverse=True)
-                    held[k].append((u, np.bincount(inv, c[word], len(u))))
-            for name, parts in zip(names, held):
-                if not parts:
-                    continue
-                u, inv = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-                n = np.bincount(inv, np.concatenate([p[1] for p in parts]), len(u))
-                order = np.where(u >> 16 == 0, 2, np.where(u >> 24 == 0, 3, 4)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array([str(name)] * len(u)), pa.array(order), pa.array(u), pa.array(n)], names=["lang", "ord", "key", "n"])
+                row, _, parts = _running(raw, s, e, first)
+                for x, y, key, event in parts:
+                    at = np.searchsorted(row, x, "right") - 1, np.searchsorted(row, y)  # rows in this part
+                    size = np.diff(np.clip(row[at[0]:at[1] + 1], x, y))
+                    of, part = (np.repeat(v[i:j][at[0]:at[1]], size)[event] for v in (which, share))
+                    u, inv = np.unique((of << (8 * ORDER)) | key[event], return_inverse=True)
+                    held.append((u, np.bincount(inv, part, len(u))))
+                if sum(len(u) for u, _ in held[1:]) > HELD:
+                    held[:] = [_merged(held)]
+            if not held:
+                continue
+            u, n = _merged(held)
+            key = u & ((1 << (8 * ORDER)) - 1)
+            yield pa.RecordBatch.from_arrays([pa.array(names[u >> (8 * ORDER)].tolist(), pa.string()), pa.array(_order(key).astype(np.int32)), pa.array(key), pa.array(n)], names=["lang", "ord", "key", "n"])
 
     return (rows.select("lang", "text", (1 / F.coalesce("c", F.lit(1))).alias("share")).mapInArrow(go, "lang string, ord int, key long, n double")
             .groupBy("lang", "ord", "key").agg(F.round(F.sum("n")).cast("long").alias("n")))
@@ -114,12 +127,12 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     at = lambda o: counts.where(F.col("ord") == o).select("lang", "key", "n")
     suffix = lambda df, bytes_: (df.groupBy("lang", F.col("key").bitwiseAND(F.lit((1 << 8 * bytes_) - 1)).alias("key"))
                                  .agg(F.count(F.lit(1)).alias("n")))
-    raw = {4: at(4)}
-    raw[3] = C.cut(at(3).union(suffix(raw[4], 3)))
-    raw[2] = C.cut(at(2).union(suffix(raw[3], 2)))
+    raw = {ORDER: at(ORDER)}
+    for o in range(ORDER - 1, 1, -1):
+        raw[o] = C.cut(at(o).union(suffix(raw[o + 1], o)))
     raw[1] = C.cut(suffix(raw[2], 1))
     out, lower = None, None
-    for o in (1, 2, 3, 4):
+    for o in range(1, ORDER + 1):
         rows, base = _discounted(raw[o]), F.lit(1 / 256)
         if lower is not None:
             low = lower.select("lang", F.col("key").alias("suffix"), F.col("p").alias("q"))
@@ -131,33 +144,26 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
 
 
 class Model:
-    """Sorted hash arrays of one language."""
+    """Sorted arrays of one language."""
 
     def __init__(self, order: np.ndarray, key: np.ndarray, p: np.ndarray, b: np.ndarray):
         self.grams, self.contexts = {}, {}
         for o in range(1, ORDER + 1):
             m = order == o
-            h = self.hashed(key[m], o)
-            u, at = np.unique(h, return_index=True)
+            u, at = np.unique(key[m], return_index=True)
             self.grams[o] = (u, np.log(p[m][at]).astype(np.float32))
             u, at = np.unique(key[m] >> 8, return_index=True)
-            self.contexts[o] = (u.astype(np.int32), np.log(b[m][at]).astype(np.float32))
-
-    @staticmethod
-    def hashed(key: np.ndarray, order: int) -> np.ndarray:
-        if order < 4:
-            return key.astype(np.int32)
-        return (C.mix(key.astype(np.uint64)) >> np.uint64(64 - HASH_BITS)).astype(np.int32)
+            self.contexts[o] = (u, np.log(b[m][at]).astype(np.float32))
 
     def log_probs(self, key: np.ndarray) -> np.ndarray:
         """Natural log-probability of each n-gram's last byte."""
         out = np.full(len(key), np.log(1 / 256))
-        size = np.where(key >> 16 == 0, 2, np.where(key >> 24 == 0, 3, 4))
+        size = _order(key)
         for o in range(1, ORDER + 1):
             part = key & ((1 << 8 * o) - 1)
             there = size >= o
-            found, value = _look(self.grams[o], self.hashed(part, o))
-            seen, back = _look(self.contexts[o], (part >> 8).astype(np.int32))
+            found, value = _look(self.grams[o], part)
+            seen, back = _look(self.contexts[o], part >> 8)
             out = np.where(there, np.where(found, value, out + np.where(seen, back, 0)), out)
         return out
 
@@ -172,7 +178,7 @@ def _look(table: tuple[np.ndarray, np.ndarray], x: np.ndarray) -> tuple[np.ndarr
 
 
 def load(model: DataFrame) -> dict[str, Model]:
-    """The arrays of every language (each at most 2**24 entries an order)."""
+    """The arrays of every language (12 bytes for each distinct n-gram of at most ``ORDER`` bytes)."""
     out = {}
     for lang in [r[0] for r in model.select("lang").distinct().collect()]:  # languages
         t = model.where(F.col("lang") == lang).select("ord", "key", "p", "b").toArrow()
@@ -225,18 +231,35 @@ def measure(docs: DataFrame, models: dict[str, Model]) -> DataFrame:
     def go(batches):
         known = _cache(mark)
 
-        def values(h, low, s, e):
-            """Scores of distinct words under every model, and the best of them."""
-            keys = h.tolist()
-            if len(known) + len(keys) > CACHED:
-                known.clear()
-            new = np.array([k for k, x in enumerate(keys) if x not in known], np.int64)
+        def look_up(grams):
+            """Places of sorted distinct n-grams in this worker's table of log-probabilities, completed as needed."""
+            key, table = known.get("table", (np.zeros(0, np.int64), np.zeros((0, len(names)), np.float32)))
+            at = np.searchsorted(key, grams)
+            new = grams[key[np.minimum(at, len(key) - 1)] != grams] if len(key) else grams
             if len(new):
-                key, word = C.word_grams(low, s[new], e[new], ORDER - 1)
-                grams, at = np.unique(key, return_inverse=True)  # few distinct n-grams make up the new words
-                each = [np.bincount(word, shared.value[m].log_probs(grams)[at], len(new)) for m in names]
-                known.update(zip(h[new].tolist(), zip(*(x.tolist() for x in each), np.max(each, 0).tolist()) if each else [(0.0,)] * len(new)))
-            return np.array([known[k] for k in keys], np.float64).reshape(len(keys), len(names) + 1)
+                if len(key) + len(new) > CACHED:
+                    key, table, new = key[:0], table[:0], grams
+                rows = np.array([shared.value[m].log_probs(new) for m in names], np.float32).reshape(len(names), len(new)).T
+                key, order = np.concatenate([key, new]), np.argsort(np.concatenate([key, new]), kind="stable")
+                key, table = key[order], np.concatenate([table, rows])[order]
+                known["table"] = key, table
+                at = np.searchsorted(key, grams)
+            return at, table
+
+        def values(raw, s, e, first):
+            """Scores of the words in their places under every model, and the best of them."""
+            _, word, parts = _running(raw, s, e, first)
+            out = np.zeros((len(names) + 1, len(word)))
+            for x, y, key, event in parts:
+                u, inv = np.unique(key[event], return_inverse=True)
+                at, table = look_up(u)
+                for k in range(len(names)):
+                    value = np.zeros(y - x)
+                    value[event] = table[at, k][inv]
+                    C.add_spans(out[k], word, x, value)
+            if names:
+                out[-1] = out[:-1].max(0)
+            return out.T
 
         for b in batches:
             best = np.zeros(b.num_rows, np.int64)
@@ -252,9 +275,7 @@ def measure(docs: DataFrame, models: dict[str, Model]) -> DataFrame:
                 for r in range(i, j):
                     w = h[first[r - i]:first[r - i + 1]]
                     n[3, r] = _repeats(shingle_hashes(w, 3), 3) if len(w) > 3 else 0
-                low = C.LOWER[raw]
-                u, at, inv = np.unique(h, return_index=True, return_inverse=True)
-                score = values(u, low, s[at], e[at])[inv]
+                score = values(raw, s, e, first)
                 add = lambda x: np.diff(np.concatenate([np.zeros((1, x.shape[1])), np.cumsum(x, 0)])[first], axis=0)
                 each = add(score[:, :len(names)])
                 best[i:j] = each.argmax(1) if len(names) else 0

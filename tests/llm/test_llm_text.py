@@ -273,6 +273,33 @@ def test_kneser_ney_sums_to_one(spark):
         assert 0.9 < total <= 1.0001
 
 
+def test_kneser_ney_reads_across_words(spark, monkeypatch):
+    monkeypatch.setattr(quality, "PIECE", 11)
+    monkeypatch.setattr(quality, "BATCH", 40)
+    texts = [("en", "The cat\n sat on the mat"), ("en", "the cat  sat on the mat"), ("en", "the cat  sat on the mat"), ("de", "die \x00 Katze"), ("de", "a"), ("en", ""), ("en", None)]
+    want: dict = {}
+    for lang, t in set(texts):  # copies count once
+        w = re.sub(r"[\x20\x09-\x0D]+", " ", (t or "").lower().replace("\x00", "\x01")).strip().encode()
+        line = b"\n" + w + b" " if w else b"\n"
+        for i in range(1, len(line)):
+            g = line[max(0, i - quality.ORDER + 1):i + 1]
+            k = (lang, len(g), int.from_bytes(g, "big"))
+            want[k] = want.get(k, 0) + 1
+    counts = C.cut(quality.gram_counts(spark.createDataFrame(texts, "lang string, text string").repartition(2)))
+    assert {(r["lang"], r["ord"], r["key"]): r["n"] for r in counts.collect()} == want
+    model = quality.kneser_ney(counts)
+    assert model.groupBy("lang", "ord", "key").count().where("count > 1").count() == 0  # starts and continuations do not mix
+    docs = spark.createDataFrame([(1, "the cat sat on the mat"), (2, "mat the on sat cat the"), (3, None), (4, "the cat " * 40)], "doc_id long, text string")
+    models = quality.load(model)
+    got = {r["doc_id"]: r for r in quality.measure(docs, models).collect()}
+    assert got[2]["value"] > got[1]["value"] + .1 and got[3]["value"] is None  # the same words in another order
+    line, total = b"\n" + b"the cat " * 40, {k: [0.0] * 80 for k in models}
+    for k, m in models.items():
+        key = np.array([int.from_bytes(line[max(0, i - quality.ORDER + 1):i + 1], "big") for i in range(1, len(line))])
+        total[k] = m.log_probs(key).reshape(80, 4).sum(1)
+    assert got[4]["lang"] == "en" and abs(got[4]["value"] + np.maximum(*total.values()).sum() / 320) < 1e-5
+
+
 def test_quality_edges(spark):
     got = {r["doc_id"]: r for r in quality.judge(edge(spark)).collect()}
     assert got[1]["n_words"] == 0 and got[1]["base_failed"] and not got[1]["kept"] and got[7]["n_words"] == 1
