@@ -121,13 +121,21 @@ vocab AS (SELECT DISTINCT term FROM tok WHERE is_train)
 SELECT doc_id, term, count(*) AS n FROM tok
 WHERE NOT is_train AND term IN (SELECT term FROM vocab) GROUP BY 1, 2""")
 def term_vectors_closed_vocab(spark, d):
-    """Test-document term counts over the training vocabulary only."""
-    s = text.ws_tokens(_split_docs(spark, d), "text")
-    bag = text.bag_of_words(s.select("doc_id", "tokens"), "doc_id", "tokens") \
-        .join(s.select("doc_id", "split"), "doc_id").persist()
-    train = bag.filter(F.col("split") == "train")
-    test = bag.filter(F.col("split") == "test")
-    return similarity.closed_vocabulary(test, train).select("doc_id", "term", "n")
+    """Test-document term counts over the training vocabulary only.
+
+    Training documents give terms only, so none of their counts is shuffled;
+    a ``doc_id`` that stands in several rows gives its counts for each."""
+    s = _split_docs(spark, d).filter(F.col("doc_id").isNotNull())
+    train, test = s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
+    terms = text.explode_tokens(text.ws_tokens(train, "text"), [], "tokens")
+    bag = text.bag_of_words(text.ws_tokens(test, "text").select("doc_id", "tokens"), "doc_id", "tokens")
+    out = similarity.closed_vocabulary(bag, terms).select("doc_id", "term", "n")
+    rows = test.groupBy("doc_id").agg(F.count(F.lit(1)).cast("int").alias("_rows")).filter(F.col("_rows") > 1)
+    if rows.limit(1).count():
+        out = (out.join(rows, "doc_id", "left")
+               .withColumn("_row", F.explode(F.sequence(F.lit(1), F.coalesce("_rows", F.lit(1)))))
+               .select("doc_id", "term", "n"))
+    return out
 
 
 def _retrieval_vectors(spark, d, caps=None):
