@@ -149,9 +149,12 @@ def _retrieval_vectors(spark, d, caps=None):
         s = tr.unionByName(te)
     s = text.ws_tokens(s, "text")
     e = text.explode_tokens(s.withColumnRenamed("source", "doc"), ["doc", "split"], "tokens")
-    # the bag feeds the train side, the test side and the vocabulary:
-    # computed once, kept (memory and disk) for the branches
-    bag = e.groupBy("doc", "split", "term").agg(F.count(F.lit(1)).alias("n")).persist()
+    # the bag feeds the train side, the test side and the vocabulary: computed
+    # once, kept (memory and disk) for the branches and dealt by term (at most
+    # two rows a source), so that no count or join by term shuffles it again
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bag = e.groupBy("doc", "split", "term").agg(F.count(F.lit(1)).alias("n")).repartition(parts, "term").persist()
+    bag.count()  # plans made before the rows are kept do not know how they lie
     train = bag.filter(F.col("split") == "train").drop("split")
     test = similarity.closed_vocabulary(bag.filter(F.col("split") == "test").drop("split"), train)
     return train, test
