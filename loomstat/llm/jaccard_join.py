@@ -10,7 +10,8 @@ tokens first:
    words and shingles. Both tables have a fixed largest size; they only shape
    the orders, so what is missing from them costs time and never a link.
 2. ``prefix_rows``: each document emits its prefix under the first order and a
-   sketch of ``SKETCH`` parity bits; equal sets are folded into one numbered node.
+   sketch of one to two parity bits a shingle (``SKETCH`` bits at least, ``WIDEST``
+   at most); equal sets are folded into one numbered node.
 3. ``candidate_links``: rows that share a token give pairs under the length
    and position filters. Two sketches never differ in more bits than the sets
    differ in shingles, so a pair whose sketches differ in more than a link
@@ -38,7 +39,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomstat.llm import common as C
@@ -48,7 +49,8 @@ SHINGLES_KEPT = 200_000  # rows of the table of common shingles, at most
 SLOT_BITS = 22           # hash slots of either table, as a power of two
 BUCKET = 64              # rows of a token that are paired directly
 CELL = 256               # sets compared in one block
-SKETCH = 1024            # parity bits of a set
+SKETCH = 1024            # parity bits of a set, at least: a power of two
+WIDEST = 1 << 17         # parity bits of a set, at most: a power of two
 BLOCK = 512              # sketches in one block of a large bucket
 ID_SLOTS = 1 << 26       # hash slots of the wanted ids, 64 to a row of a broadcast table
 ROUNDS = 3               # random dealings of a large group
@@ -158,10 +160,23 @@ def _first(s: np.ndarray, t: int, seed: np.uint64) -> np.ndarray:
     return s[np.argsort(keys)]
 
 
-def sketch(s: np.ndarray) -> np.ndarray:
-    """Parity of the number of shingles in each of ``SKETCH`` slots, as 64-bit words."""
-    slot = (C.mix(s) % np.uint64(SKETCH)).astype(np.int64)
-    return np.packbits((np.bincount(slot, minlength=SKETCH) & 1).astype(np.uint8)).view(np.int64)
+def sketch(s: np.ndarray, width: int = SKETCH) -> np.ndarray:
+    """Parity of the number of shingles in each of ``width`` slots, as 64-bit words."""
+    slot = (C.mix(s) & np.uint64(width - 1)).astype(np.int64)
+    return np.packbits((np.bincount(slot, minlength=width) & 1).astype(np.uint8)).view(np.int64)
+
+
+def _width(n: int) -> int:
+    """Slots for a set of ``n``, ``n`` at least up to ``WIDEST``: parities of fewer
+    would differ in half of the slots at most, which a link of two large sets allows.
+    A power of two, so that a wide sketch folds into a narrow one."""
+    return min(max(SKETCH, 1 << (n - 1).bit_length()), WIDEST)
+
+
+def _folded(bits: Column, words: Column) -> Column:
+    """A sketch as one of ``words`` 64-bit words: the parities of the slots that meet."""
+    part = lambda i: F.aggregate(F.sequence(i, F.size(bits) - 1, words), F.lit(0).cast("long"), lambda x, j: x.bitwiseXOR(F.get(bits, j)))
+    return F.when(F.size(bits) > words, F.transform(F.sequence(F.lit(0), words - 1), part)).otherwise(bits)
 
 
 def prefix_rows(docs: DataFrame, k: int, t: int, tables) -> DataFrame:
@@ -172,7 +187,7 @@ def prefix_rows(docs: DataFrame, k: int, t: int, tables) -> DataFrame:
         for b in batches:
             n, (sid, pre, bits) = np.zeros(b.num_rows, np.int64), ([None] * b.num_rows for _ in range(3))
             for r, s in _documents(b, k, (common.value, hot.value)):
-                n[r], sid[r], pre[r], bits[r] = len(s), _digest(s), _first(s, t, SEEDS[0]).view(np.int64), sketch(s)
+                n[r], sid[r], pre[r], bits[r] = len(s), _digest(s), _first(s, t, SEEDS[0]).view(np.int64), sketch(s, _width(len(s)))
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array(n), pa.array(sid, pa.binary()), pa.array(pre, longs), pa.array(bits, longs)],
                                              names=["doc_id", "text_hash", "n", "sid", "prefix", "sketch"])
@@ -195,8 +210,8 @@ def candidate_links(nodes: DataFrame, t: int) -> tuple[DataFrame, DataFrame]:
     rows that their sketches tie together.
     """
     tokens = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    rows = C.cut(tokens.join(shared, "token"))
+    # counted where they lie: the tokens are shuffled once, and no count of them beside
+    rows = C.cut(tokens.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("c > 1"))
     C.release(nodes.sparkSession)  # the tokens of one set alone go with their shuffle
     small = rows.where(f"c <= {BUCKET}")
     apart = _most_apart(F.col("x.n"), F.col("y.n"), t)
@@ -206,7 +221,8 @@ def candidate_links(nodes: DataFrame, t: int) -> tuple[DataFrame, DataFrame]:
                     & (2 * F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) >= F.col("x.n") + F.col("y.n") - apart))
              .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), apart.alias("apart")).distinct())
     bits = nodes.select("node", "sketch")
-    differ = F.aggregate(F.zip_with("p.sketch", "q.sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    words = F.least(F.size("p.sketch"), F.size("q.sketch"))
+    differ = F.aggregate(F.zip_with(_folded(F.col("p.sketch"), words), _folded(F.col("q.sketch"), words), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
     near = (pairs.join(bits.alias("p"), F.col("a") == F.col("p.node")).join(bits.alias("q"), F.col("b") == F.col("q.node"))
             .where(differ <= F.col("apart")).select("a", "b"))
     return near.union(_bucket_stars(rows.where(f"c > {BUCKET}").join(bits, "node"), t)), rows
@@ -218,16 +234,25 @@ def _bucket_stars(hot: DataFrame, t: int) -> DataFrame:
     def go(g: pa.Table) -> pa.Table:
         node = np.asarray(g.column("node"))
         size = np.asarray(g.column("n")).astype(np.int64)
-        words = np.asarray(g.column("sketch").combine_chunks().flatten()).astype(np.int64)
-        x = np.unpackbits(words.reshape(len(node), -1).view(np.uint8), axis=1).astype(np.float32)
-        own = x.sum(axis=1)
+        lists = g.column("sketch").combine_chunks()
+        width = np.asarray(lists.value_lengths()).astype(np.int64)
+        begin = np.cumsum(width) - width
+        flat = np.asarray(lists.flatten()).astype(np.int64)
         near = np.zeros((len(node), len(node)), bool)
-        for lo in range(0, len(node), 128):  # work arrays of 128 rows
-            hi = lo + 128
-            total = size[lo:hi, None] + size[None, :]
-            differ = own[lo:hi, None] + own[None, :] - 2 * (x[lo:hi] @ x.T)
-            near[lo:hi] = differ <= total - 2 * np.ceil(total * t / (100.0 + t) - 1e-6)
-            near[lo:hi] &= 100 * np.minimum(size[lo:hi, None], size[None, :]) >= t * np.maximum(size[lo:hi, None], size[None, :])
+        for w in np.unique(width).tolist():  # sketches of this width against those as wide or wider, folded
+            wide = np.flatnonzero(width >= w)
+            mine = np.flatnonzero(width[wide] == w)
+            bits = np.stack([np.bitwise_xor.reduce(flat[begin[r]:begin[r] + width[r]].reshape(-1, w), axis=0) for r in wide]).view(np.uint8)
+            own, both = np.zeros(len(wide), np.float32), np.zeros((len(mine), len(wide)), np.float32)
+            for lo in range(0, bits.shape[1], SKETCH // 8):  # work arrays of ``SKETCH`` bits
+                x = np.unpackbits(bits[:, lo:lo + SKETCH // 8], axis=1).astype(np.float32)
+                own += x.sum(axis=1)
+                both += x[mine] @ x.T
+            a, b = size[wide[mine]][:, None], size[wide][None, :]
+            differ = own[mine, None] + own[None, :] - 2 * both
+            ok = (differ <= a + b - 2 * np.ceil((a + b) * t / (100.0 + t) - 1e-6)) & (100 * np.minimum(a, b) >= t * np.maximum(a, b))
+            near[np.ix_(wide[mine], wide)] = ok
+            near[np.ix_(wide, wide[mine])] = ok.T
         a, b, open_ = [], [], np.ones(len(node), bool)
         for hub in range(len(node)):
             edge = np.array([hub]) if open_[hub] else np.zeros(0, np.int64)

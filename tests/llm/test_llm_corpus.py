@@ -451,6 +451,22 @@ def test_sketches_never_differ_more_than_their_sets():
         assert len(bits[0]) == jaccard_join.SKETCH
 
 
+@pytest.mark.parametrize("bucket", [64, 1])
+def test_long_texts_that_share_a_passage_are_no_candidates(spark, bucket, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BUCKET", bucket)  # 1: all buckets are compared in cells
+    rng = random.Random(17)
+    say = lambda n: [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+    passage, copied = say(600), say(4300)
+    rows = [(i, " ".join(say(4600 + 60 * i) + passage)) for i in range(6)]
+    rows += [(10, " ".join(copied)), (11, " ".join(copied[:4050]))]  # sketches of 8,192 and 4,096 bits
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tables = tuple(spark.sparkContext.broadcast(np.zeros(1 << jaccard_join.SLOT_BITS, bool)) for _ in range(2))
+    nodes = jaccard_join.prefix_rows(docs, 5, 80, tables).withColumn("node", F.col("doc_id"))
+    pairs, _ = jaccard_join.candidate_links(nodes, 80)
+    assert {(min(r), max(r)) for r in pairs.collect()} == {(10, 11)}
+    assert {(r["doc_id"], r["component_id"]) for r in jaccard_join.near_components(docs, 5, 80).collect()} == {(i, i) for i, _ in rows if i < 11} | {(11, 10)}
+
+
 def test_join_query_and_edges(spark):
     want = brute_join(sorted(texts_of(spark).items()))
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.op10_ngram_jaccard_join(spark, SF).collect()}
