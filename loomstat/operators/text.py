@@ -37,11 +37,14 @@ def ws_tokens(df: DataFrame, text: str, out: str = "tokens") -> DataFrame:
     return df.withColumn(out, LF.ws_tokens(text))
 
 
-def bag_of_words(df: DataFrame, doc: str, tokens: str, lower: bool = False) -> DataFrame:
-    """``(doc, term, n)`` term counts."""
+def bag_of_words(df: DataFrame, doc: str, tokens: str, lower: bool = False, parts: int | None = None) -> DataFrame:
+    """``(doc, term, n)`` term counts; with ``parts`` dealt by term into so
+    many, tokens being shuffled once and the counts not again for work by term."""
     e = explode_tokens(df, [doc], tokens)
     if lower:
         e = e.withColumn("term", F.lower("term"))
+    if parts:
+        e = e.repartition(parts, "term")
     return e.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("n"))
 
 

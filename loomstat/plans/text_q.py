@@ -289,8 +289,13 @@ nd AS (SELECT count(DISTINCT doc_id) AS n FROM tk)
 
 
 def _doc_bag(spark, d):
-    return text.bag_of_words(text.ws_tokens(t(spark, d, "documents", "doc_id", "text"), "text"),
-                             "doc_id", "tokens").withColumnRenamed("doc_id", "doc").persist()
+    # dealt by term, so that neither the document frequencies nor the join with
+    # them shuffles the kept bag again
+    docs = text.ws_tokens(t(spark, d, "documents", "doc_id", "text"), "text")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bag = text.bag_of_words(docs, "doc_id", "tokens", parts=parts).withColumnRenamed("doc_id", "doc").persist()
+    bag.count()  # plans made before the rows are kept do not know how they lie
+    return bag
 
 
 @query("df_filter", _DOC_TERMS_SQL + """

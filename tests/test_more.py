@@ -378,3 +378,18 @@ def test_retrieval_bag_is_dealt_by_term_once(spark, tmp_path):
         assert not re.search(r"hashpartitioning\(term#\d+, \d+\), ENSURE_REQUIREMENTS", plan)
     assert {r["term"]: r["d"] for r in by_term.collect()}["common"] == 3
     assert {(r["doc"], r["term"]): r["n"] for r in test.collect()}[("s1", "common")] == 2  # documents 16 and 19
+
+
+def test_bag_dealt_by_term_is_not_shuffled_again(spark):
+    import re
+
+    from loomstat.operators import similarity, text
+    rows = [(1, ["a", "b", "a"]), (1, ["b"]), (2, ["a"]), (None, ["a", "c"]), (3, None)]
+    df = spark.createDataFrame(rows, "doc long, tokens array<string>")
+    bag = text.bag_of_words(df, "doc", "tokens", parts=3).persist()
+    assert {tuple(r) for r in bag.collect()} == {tuple(r) for r in text.bag_of_words(df, "doc", "tokens").collect()} == {
+        (1, "a", 2), (1, "b", 2), (2, "a", 1), (None, "a", 1), (None, "c", 1)}
+    for out in (similarity.tfidf(bag, "doc"), similarity.doc_frequency_filter(bag, "doc", 1, 2.0)):
+        assert out.count() == 5
+        assert not re.search(r"hashpartitioning\(term#\d+, \d+\), ENSURE_REQUIREMENTS", out._jdf.queryExecution().executedPlan().toString())
+    bag.unpersist()
