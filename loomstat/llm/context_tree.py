@@ -13,15 +13,17 @@ block probabilities ``Pe``,
 and a bit's probability mixes the estimates along the path with the weights
 ``Pe / (2 Pw)`` from the root down.
 
-Spark counts words, then byte contexts (``text_grams``: context and byte in one
-integer), over all training documents. Trees that share the two latest context bytes are
+Spark counts words and byte contexts (``running_counts``: context and byte in one
+integer) over all training documents in one pass; a task adds up its own sums by
+sorting before they are shuffled. Trees that share the two latest context bytes are
 weighted together in numpy, in hash groups; the two upper depths have at most
 256 x 256 nodes and are weighted from the groups' sums. The result, a
 probability for each gram, is broadcast while it has at most ``MOST_GRAMS``
 rows, else texts are scored by a join of their distinct grams.
 
 Base counts come from the word table: the ``HEAD`` commonest words are
-broadcast (a fixed bound), all others meet their counts in a join.
+broadcast (a fixed bound), all others meet their counts in a join; a word that
+was not learned has none.
 
 Defined results: null text counts as empty and has only its end; the grams of
 held-out documents enter with count 0; with no training document every bit has
@@ -46,8 +48,10 @@ CACHED = 300_000    # words of a worker's cache (some 160 bytes each)
 BATCH = 2_000_000   # bytes of texts whose words are counted at once
 SLICE = 1 << 17     # bytes of words whose grams are formed at once
 HELD = 250_000      # grams that a task adds up before it passes them on
-TEXT_HELD = 1_500_000
+TEXT_HELD = 3_000_000  # grams, and words, of running text that a task adds up before it passes them on
 PIECE = 500_000     # bytes of running text whose grams are formed at once
+ROWS = 256          # rows whose grams are sorted at once: a gram has 56 bits, its row the other 8
+SORTED = 4_000_000  # grams of running text that are sorted at once to be counted
 TREES = 60_000      # grams whose trees are weighted at once (one context of two bytes at least)
 END = 0x0A    # no word holds it
 SPACE = 0x20
@@ -63,9 +67,22 @@ def lgamma(x: np.ndarray) -> np.ndarray:
     return (y - .5) * np.log(y) - y + .5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - 1 / (1680 * y ** 7) - shift
 
 
+#: log Gamma at whole numbers below ``SMALL`` plus a half, and plus one
+SMALL = 4096
+_HALF, _ONE = lgamma(np.arange(SMALL) + .5), lgamma(np.arange(SMALL) + 1.0)
+
+
+def _lgamma_after(n: np.ndarray, table: np.ndarray, more: float) -> np.ndarray:
+    """log Gamma of whole numbers ``n`` plus ``more``, by the table while they are small."""
+    out = table[np.minimum(n, SMALL - 1).astype(np.int64)]
+    large = np.flatnonzero(n >= SMALL)
+    out[large] = lgamma(n[large] + more)
+    return out
+
+
 def kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     """log of the Krichevsky-Trofimov block probability of n0 zeros and n1 ones."""
-    return lgamma(n0 + .5) + lgamma(n1 + .5) - np.log(np.pi) - lgamma(n0 + n1 + 1)
+    return _lgamma_after(n0, _HALF, .5) + _lgamma_after(n1, _HALF, .5) - np.log(np.pi) - _lgamma_after(n0 + n1, _ONE, 1.0)
 
 
 #: the end is coded after the space before it
@@ -196,40 +213,102 @@ def grams(words: DataFrame, ends: int) -> DataFrame:
     return words.select("word", "c").mapInArrow(go, "key long, n long").union(end).groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def text_grams(docs: DataFrame) -> DataFrame:
-    """``key, n`` over the running text of ``docs(text, learn)``, ends included;
-    ``n`` counts learned occurrences."""
-    def go(batches):
-        C.in_use("context_tree.grams")
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        rows = 0
-
-        def merged():
-            key, n = (np.concatenate(x) for x in zip(*held))
-            u, inv = np.unique(key, return_inverse=True)
-            return u, np.bincount(inv, n, len(u)).astype(np.int64)
+class Tally:
+    """Sums by key, distinct keys in order."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.key, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, key: np.ndarray, n: np.ndarray) -> None:
+        """Add the sums ``n`` of distinct keys in order."""
+        at = np.searchsorted(self.key, key)
+        old = at < len(self.key)
+        old[old] = self.key[at[old]] == key[old]
+        self.n[at[old]] += n[old]
+        new = np.flatnonzero(~old)
+        place = at[new] + np.arange(len(new))
+        rest = np.ones(len(self.key) + len(new), bool)
+        rest[place] = False
+        for name, more in (("key", key), ("n", n)):
+            both = np.empty(len(rest), np.int64)
+            both[rest], both[place] = getattr(self, name), more[new]
+            setattr(self, name, both)
+
+
+def _starts(key: np.ndarray) -> np.ndarray:
+    """Where each distinct value of sorted keys begins."""
+    return np.flatnonzero(np.concatenate([np.ones(min(len(key), 1), bool), key[1:] != key[:-1]]))
+
+
+def _pieces(offs: np.ndarray):
+    """Row ranges of about ``PIECE`` bytes and ``ROWS`` rows at most."""
+    for i, j in C.groups(offs, PIECE):
+        for k in range(i, j, ROWS):
+            yield k, min(k + ROWS, j)
+
+
+def task_counts(batches):
+    """``word, key, n`` of the texts of one task: hashes of learned words, and
+    grams of all running text; ``n`` counts learned occurrences."""
+    C.in_use("context_tree.counts")
+    hashes: list[np.ndarray] = []
+    keys: list[np.ndarray] = []  # a gram and whether it was learned
+    words, grams = Tally(), Tally()
+    rows = 0
+
+    def add():
+        h, key = np.concatenate(hashes), np.concatenate(keys)
+        hashes.clear()
+        keys.clear()
+        h.sort()
+        start = _starts(h)
+        words.add(h[start], np.diff(start, append=len(h)))
+        key.sort()
+        learned = key & 1
+        key >>= 1
+        start = _starts(key)
+        grams.add(key[start], np.add.reduceat(learned, start) if len(start) else learned)
+
+    def passed_on(t: Tally, word: bool):
+        for x in range(0, len(t.key), HELD):
+            key, n = t.key[x:x + HELD], t.n[x:x + HELD]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), word)), pa.array(key), pa.array(n)], names=["word", "key", "n"])
+        t.clear()
+
+    for b in batches:
+        data, offs = C.buffer(b.column("text"))
+        learn = np.asarray(b.column("learn")).astype(bool)
+        for i, j in C.groups(offs, PIECE):
+            h, s, e, first = C.words(data, offs[i:j + 1], C.SPACES)
+            hashes.append(h.view(np.int64)[np.repeat(learn[i:j], np.diff(first))])
+            text, row, _ = C.running_text(C.LOWER[data[offs[i]:offs[j]]], s, e, first, HEAD_BYTES, TAIL_BYTES)
+            weight = np.repeat(learn[i:j], np.diff(row))
+            for x, y, key, event in C.running_grams(text, row, DEPTH, DEPTH, PIECE):
+                keys.append((key[event] << 1) | weight[x:y][event])
+                rows += len(keys[-1])
+                if rows > SORTED:
+                    add()
+                    hashes.append(np.zeros(0, np.int64))
+                    rows = 0
+            if len(grams.key) > TEXT_HELD:
+                yield from passed_on(grams, False)
+            if len(words.key) > TEXT_HELD:
+                yield from passed_on(words, True)
+    if keys:
+        add()
+    yield from passed_on(words, True)
+    yield from passed_on(grams, False)
 
-        for b in batches:
-            data, offs = C.buffer(b.column("text"))
-            learn = np.asarray(b.column("learn")).astype(bool)
-            for i, j in C.groups(offs, PIECE):
-                _, s, e, first = C.words(data, offs[i:j + 1], C.SPACES)
-                text, row, _ = C.running_text(C.LOWER[data[offs[i]:offs[j]]], s, e, first, HEAD_BYTES, TAIL_BYTES)
-                weight = np.repeat(learn[i:j], np.diff(row))
-                for x, y, key, event in C.running_grams(text, row, DEPTH, DEPTH, PIECE):
-                    u, inv = np.unique(key[event], return_inverse=True)
-                    held.append((u, np.bincount(inv, weight[x:y][event], len(u)).astype(np.int64)))
-                    rows += len(u)
-                if rows > TEXT_HELD:
-                    held[:] = [merged()]
-                    rows = len(held[0][0])
-                    if rows > TEXT_HELD // 2:
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held.pop()], names=["key", "n"])
-                        rows = 0
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in merged()], names=["key", "n"])
 
-    return docs.select("text", "learn").mapInArrow(go, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+def running_counts(docs: DataFrame) -> DataFrame:
+    """``word, key, n`` over the running text of ``docs(text, learn)``: learned
+    words by their hashes, and all grams, ends included; ``n`` counts learned
+    occurrences. Tasks have added up their own rows, so these are dealt as they are."""
+    return (docs.select("text", "learn").mapInArrow(task_counts, "word boolean, key long, n long")
+            .repartition("word", "key").groupBy("word", "key").agg(F.sum("n").alias("n")))
 
 
 def _portions(t: pa.Table):
@@ -244,11 +323,11 @@ def _portions(t: pa.Table):
 
 
 def probabilities(gram: DataFrame) -> DataFrame:
-    """``key, logp``: log10 probability of each gram's byte in its context."""
+    """``key, logp``: log10 probability of each gram's byte in its context, over a table ``gram``."""
     spark = gram.sparkSession
     latest = F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    grouped = C.cut(gram.withColumn("part", F.pmod(F.xxhash64(latest), F.lit(parts))))
+    grouped = gram.withColumn("part", F.pmod(F.xxhash64(latest), F.lit(parts)))
 
     def lower(t: pa.Table) -> pa.Table:
         return pa.concat_tables([sums_of(*x) for x in _portions(t)])
@@ -315,11 +394,16 @@ def scores(docs: DataFrame, keep: list[str], running: bool = False) -> DataFrame
     ``running``: contexts reach across words, else they begin with the word."""
     spark = C.prepare(docs.sparkSession)
     sc = spark.sparkContext
-    words = C.cut(vocabulary(docs))
+    if running:
+        counts = C.cut(running_counts(docs))
+        words = counts.where("word").select(F.col("key").alias("h"), F.col("n").alias("c"))
+    else:
+        words = C.cut(vocabulary(docs))
     ends = docs.where("learn").count()
     n, v = words.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    whole = running and v <= HEAD  # no other word was learned
     n, v = n + ends, v + (ends > 0)
-    gram = C.cut(text_grams(docs) if running else grams(words, ends))
+    gram = counts.where("not word").select("key", "n") if running else C.cut(grams(words, ends))
     table = C.cut(probabilities(gram))
     small = table.count() <= (MOST_TEXT_GRAMS if running else MOST_GRAMS)
     model = sc.broadcast(_sorted_table(table)) if small else None  # 12 bytes a gram
@@ -335,17 +419,18 @@ def scores(docs: DataFrame, keep: list[str], running: bool = False) -> DataFrame
         """Scores of rows, or the place, key and number of each row's grams when these are scored by the join."""
         text, begin, _ = C.running_text(low, s, e, first, HEAD_BYTES, TAIL_BYTES)
         own, each = np.zeros(len(first) - 1), []
-        of = None if small else np.repeat(np.arange(len(own)), np.diff(begin))
+        of = np.repeat(np.arange(len(own), dtype=np.uint64), np.diff(begin))
         for x, y, key, event in C.running_grams(text, begin, DEPTH, DEPTH, PIECE):
-            u, inv = np.unique(key[event], return_inverse=True)
+            both = (key[event].view(np.uint64) << np.uint64(8)) | of[x:y][event]  # gram and row
+            both.sort()
+            at, key = (both & np.uint64(ROWS - 1)).view(np.int64), (both >> np.uint64(8)).view(np.int64)
+            start = _starts(key if small else both)
+            times = np.diff(start, append=len(both))
             if small:
-                value = np.zeros(y - x)
-                value[event] = model.value[1][np.searchsorted(model.value[0], u)][inv]
-                C.add_spans(own, begin, x, value)
-                continue
-            at = of[x:y][event]
-            pair, n = np.unique(at * len(u) + inv, return_counts=True)
-            each.append((pair // max(len(u), 1), u[pair % max(len(u), 1)], n))
+                value = model.value[1][np.searchsorted(model.value[0], key[start])]
+                own += np.bincount(at, np.repeat(value, times), len(own))
+            else:
+                each.append((at[start], key[start], times))
         return own, each
 
     def go(batches):
@@ -356,15 +441,18 @@ def scores(docs: DataFrame, keep: list[str], running: bool = False) -> DataFrame
             data, offs = C.buffer(b.column("text"))
             row = np.asarray(b.column("_row")).astype(np.int64)
             ids, tails, joined = [], [], []
-            for i, j in C.groups(offs, PIECE if running else 4_000_000):
+            for i, j in _pieces(offs) if running else C.groups(offs, 4_000_000):
                 h, s, e, first = C.words(data, offs[i:j + 1], C.SPACES)
                 low = C.LOWER[data[offs[i]:offs[j]]]
-                u, at, inv = np.unique(h, return_index=True, return_inverse=True)
+                u, inv = np.unique(h, return_inverse=True)
                 p = np.searchsorted(known, u)
                 p[p == len(known)] = 0
                 common = known[p] == u if len(known) and (small or running) else np.zeros(len(u), bool)
                 c = np.where(common, count[p], 0) if len(known) else np.zeros(len(u), np.int64)
-                own = word_scores(mark, model).of(u, low, s[at], e[at]) if small and not running else np.zeros(len(u))
+                own = np.zeros(len(u))
+                if small and not running:
+                    at = np.unique(inv, return_index=True)[1]
+                    own = word_scores(mark, model).of(u, low, s[at], e[at])
                 sums = []
                 for x in (np.where(common, np.log10(c + 1.0), 0.0), common.astype(np.float64), own):
                     t = np.concatenate([[0.0], np.cumsum(x[inv])])
@@ -373,6 +461,8 @@ def scores(docs: DataFrame, keep: list[str], running: bool = False) -> DataFrame
                     sums[2], each = of_text(low, s, e, first)
                     joined += [(row[i:j][a], k, n) for a, k, n in each]
                 ids.append((row[i:j], np.diff(offs[i:j + 1]), np.diff(first), *sums))
+                if whole:
+                    continue
                 rare = np.flatnonzero(~common[inv])  # all words when they are scored by the join
                 tails.append((np.repeat(row[i:j], np.diff(first))[rare], u[inv[rare]].view(np.int64)))
             for parts, kind in ((ids, 0), (tails, 1), (joined, 2)):
@@ -397,7 +487,7 @@ def scores(docs: DataFrame, keep: list[str], running: bool = False) -> DataFrame
     by_word = not small and not running
     if by_word:
         each = each.join(_joined_scores(words, table), "h")
-    rare = (out.where("h is not null and times is null").select("_row", "h").join(each, "h").groupBy("_row")
+    rare = (out.where("h is not null and times is null").select("_row", "h").join(each, "h", "left").groupBy("_row")
             .agg(F.sum(F.log10(F.col("c") + 1.0)).alias("lg2"), F.sum((F.col("c") > 0).cast("long")).alias("seen2"),
                  *([F.sum("word_score").alias("own2")] if by_word else [])))
     found = out.where("h is null").drop("h", "times").join(rare, "_row", "left")

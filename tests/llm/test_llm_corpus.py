@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -379,6 +380,52 @@ def brute_running(texts):
     return logp
 
 
+def test_kt_of_small_and_large_counts():
+    n = np.array([0, 1, 7, context_tree.SMALL - 1, context_tree.SMALL, 1e6])
+    n0, n1 = (x.ravel() for x in np.meshgrid(n, n))
+    want = [math.lgamma(a + .5) + math.lgamma(b + .5) - math.log(math.pi) - math.lgamma(a + b + 1) for a, b in zip(n0, n1)]
+    assert np.allclose(context_tree.kt(n0, n1), want, rtol=1e-10, atol=1e-9)
+
+
+def test_task_passes_on_each_sum_once(monkeypatch):
+    """A task gives each word and gram one row, however many pieces and sorts its texts take."""
+    monkeypatch.setattr(context_tree, "PIECE", 40)
+    monkeypatch.setattr(context_tree, "SORTED", 100)
+    texts = ["the cat on the mat", None, "", "The CAT sat\ton \u00e9\u00ff", "zebra"] * 60
+    learn = [i % 4 != 0 for i in range(len(texts))]
+    D, words, grams = context_tree.DEPTH, {}, {}
+    for t, w in zip(texts, learn):
+        ws = (t or "").encode().lower().split()
+        s = b"\0" * (D - 1) + b" " + b"".join(x + b" " for x in ws) + bytes([context_tree.END])
+        for i in range(D, len(s)):
+            k = int.from_bytes(s[i - D:i + 1], "big")
+            grams[k] = grams.get(k, 0) + w
+        for x in ws if w else []:
+            words[x] = words.get(x, 0) + 1
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i:i + 50]), pa.array(learn[i:i + 50])], names=["text", "learn"]) for i in range(0, len(texts), 50)]
+    out = pa.Table.from_batches(list(context_tree.task_counts(batches))).to_pylist()
+    got = [(r["key"], r["n"]) for r in out if not r["word"]]
+    assert len(got) == len(grams) and dict(got) == grams
+    got = [r["n"] for r in out if r["word"]]
+    assert sorted(got) == sorted(words.values())
+
+
+@pytest.mark.parametrize("most", [6_000_000, 0])
+def test_many_short_texts_in_one_piece(spark, most, monkeypatch):
+    monkeypatch.setattr(context_tree, "MOST_TEXT_GRAMS", most)  # 0: texts are scored by the join
+    texts = ["the cat", "the dog sat", None, "zebra \u00ff\u00fe the"]
+    rows = [(i, texts[i * i % 7 % 4], i % 5 != 0) for i in range(3 * context_tree.ROWS + 5)]
+    plain, learned = lambda t: b" ".join((t or "").encode().lower().split()), {}
+    for _, t, learn in rows:
+        if learn:
+            learned[plain(t)] = learned.get(plain(t), 0) + 1
+    logp = brute_running(learned)
+    want = {t: logp(plain(t)) for t in texts}
+    got = context_tree.scores(spark.createDataFrame(rows, "doc_id long, text string, learn boolean").coalesce(1), ["doc_id"], running=True).collect()
+    assert len(got) == len(rows)
+    assert all(abs(r["score"] - want[rows[r["doc_id"]][1]]) < 1e-4 for r in got)
+
+
 def test_context_tree_edges(spark):
     docs = edge(spark).withColumn("learn", F.lit(True))
     assert context_tree.scores(docs, ["doc_id", "key"]).count() == 9
