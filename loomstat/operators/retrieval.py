@@ -103,7 +103,7 @@ class Block:
         self.terms, self.cut = ordered[first], np.concatenate([first, [len(ordered)]])
         self.term = np.empty(len(terms), np.int32)  # of the documents' entries
         self.term[order] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(self.cut))
-        self.doc, self.by_term = np.repeat(np.arange(self.n, dtype=np.int32), size)[order], impact[order]
+        self.doc, self.by_term = np.repeat(np.arange(self.n), size)[order], impact[order]
 
     def best(self, terms: np.ndarray, weight: np.ndarray, size: np.ndarray, k: int, digits: int = DIGITS):
         """``(documents, scores)`` of the ``k`` best for each query of unit norm."""
